@@ -43,12 +43,15 @@ def full_reload(tables, root, fmt="parquet"):
     return {name: overwrite(df, f"{root}/{name}", fmt) for name, df in tables.items()}
 
 
+def _top_id(spark, path, id_column, fmt):
+    if not folders.exists(spark, path):
+        return None
+    return read_table(spark, path, fmt).agg(F.max(id_column)).first()[0]
+
+
 def high_water_mark(spark, path, id_column, fmt="parquet"):
     """Largest id in a table, 0 when it is missing or empty."""
-    if not folders.exists(spark, path):
-        return 0
-    top = read_table(spark, path, fmt).agg(F.coalesce(F.max(id_column), F.lit(0))).first()[0]
-    return top
+    return _top_id(spark, path, id_column, fmt) or 0
 
 
 def new_rows(source, stored, id_column, mark, overlap=0):
@@ -57,18 +60,22 @@ def new_rows(source, stored, id_column, mark, overlap=0):
     The range filter is pushed into the source scan, JDBC included.
     """
     recent = source.filter(F.col(id_column) > mark - overlap)
-    if stored is None or not overlap:
+    if not overlap:
         return recent
     known = stored.filter(F.col(id_column) > mark - overlap).select(id_column)
     return recent.join(known, id_column, "left_anti")
 
 
 def ingest_increment(source, path, id_column, overlap=0, fmt="parquet"):
-    """Append what is new in ``source``; rerun it at any interval. Returns the rows appended."""
+    """Append what is new in ``source``; rerun it at any interval. Returns the rows appended.
+
+    The first run takes everything, whatever the smallest id is.
+    """
     spark = source.sparkSession
-    mark = high_water_mark(spark, path, id_column, fmt)
-    stored = read_table(spark, path, fmt) if folders.exists(spark, path) else None
-    fresh = new_rows(source, stored, id_column, mark, overlap)
+    mark = _top_id(spark, path, id_column, fmt)
+    fresh = source if mark is None else new_rows(
+        source, read_table(spark, path, fmt), id_column, mark, overlap
+    )
     if fresh.isEmpty():
         return 0
     return append(fresh.select(*source.columns), path, fmt)
