@@ -1,7 +1,6 @@
 """Typed cleaning of the four bronze tables and of JSON messages."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _typed(df, columns, **casts):
@@ -70,21 +69,21 @@ def rejected(df, table):
 
 
 def _decode(messages, schema):
-    kept = [T.StructField(f.name, f.dataType, True) for f in messages.schema if f.name != "value"]
-    decoded = messages.select(
-        *[f.name for f in kept],
-        F.col("value").cast("string").alias("value"),
-        F.from_json(F.col("value").cast("string"), schema).alias("data"),
-    )
-    nothing_read = F.coalesce(*[F.col("data")[f.name].cast("string") for f in schema]).isNull()
-    return decoded.withColumn("unreadable", nothing_read)
+    """Each message next to its fields. The generator keeps the parser from running once per use."""
+    text = F.col("value").cast("string")
+    fields = F.inline(F.array(F.from_json(text, schema)))
+    decoded = messages.select(text.alias("_text"), fields)
+    nothing_read = F.coalesce(*[F.col(f.name).cast("string") for f in schema]).isNull()
+    return decoded, nothing_read
 
 
 def parse_messages(messages, schema):
     """Flatten JSON messages; a field of the wrong type is null, an unreadable message is left out."""
-    return _decode(messages, schema).filter(~F.col("unreadable")).select("data.*")
+    decoded, nothing_read = _decode(messages, schema)
+    return decoded.filter(~nothing_read).drop("_text")
 
 
 def rejected_messages(messages, schema):
     """The raw text of messages from which no field could be read."""
-    return _decode(messages, schema).filter("unreadable").select("value")
+    decoded, nothing_read = _decode(messages, schema)
+    return decoded.filter(nothing_read).select(F.col("_text").alias("value"))

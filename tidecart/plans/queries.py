@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..operators import carts, cleaning, kpis, periods, products, revenue, upsert
 from ..schemas import CART_CREATED, GOLD, KEYS, TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
 from ..sources import lake, messages, snapshots, tables
-from ..sources.state import StateTable, bucket_unit, month_unit, quarter_unit
+from ..sources.state import StateTable, bucket_unit, year_unit, quarter_unit
 from ..streaming import persist, realtime, windowed
 from ..streaming.historical import HistoricalMetrics
 from . import history, staging
@@ -70,11 +70,15 @@ def conversion_rate(spark, folder):
 # Daily revenue
 
 
+def _segments(spark, folder):
+    return tables.customers(spark, folder, "id_usuario", "segmento_cliente")
+
+
 def _daily(spark, folder, *more):
     sales = tables.sales(
         spark, folder, "id_transacao", "id_usuario", "valor_total_compra", "data_compra", *more
     )
-    return sales, tables.customers(spark, folder)
+    return sales, _segments(spark, folder)
 
 
 @query
@@ -195,7 +199,10 @@ def clean_transactions(spark, folder):
 
 @query
 def clean_clients(spark, folder):
-    return cleaning.clean_clients(tables.customers(spark, folder))
+    return cleaning.clean_clients(tables.customers(
+        spark, folder, "id_usuario", "nome_usuario", "email_usuario", "data_cadastro",
+        "segmento_cliente", "cidade", "estado", "pais",
+    ))
 
 
 @query
@@ -289,7 +296,7 @@ def _state(spark, name, unit, insert_only=False):
 @query
 def upsert_replace(spark, folder):
     sales, customers = _daily(spark, folder, "linha")
-    table = _state(spark, "receita_diaria", month_unit("data"))
+    table = _state(spark, "receita_diaria", year_unit("data"))
     none = F.lit(None).cast("double").alias(revenue.GROWTH)
     first = revenue.daily_revenue(sales.filter(FIRST), customers).select("*", none)
     table.write(first, 0)
@@ -436,7 +443,7 @@ def history_recompute(spark, folder):
         spark, folder, "id_transacao", "id_usuario", "id_produto", "quantidade_produto",
         "valor_total_compra", "data_compra",
     )
-    history.recompute(sales, tables.customers(spark, folder), events, root, store, finished=purchases)
+    history.recompute(sales, _segments(spark, folder), events, root, store, finished=purchases)
     return _read_back(spark, store, "batch_top_products", _RANK_ROW)
 
 
@@ -474,13 +481,13 @@ def revenue_per_user(spark, folder):
 @query
 def revenue_per_user_by_segment(spark, folder):
     sales = tables.sales(spark, folder, "id_usuario", "valor_total_compra")
-    return periods.revenue_per_user_by_segment(sales, tables.customers(spark, folder))
+    return periods.revenue_per_user_by_segment(sales, _segments(spark, folder))
 
 
 @query
 def orders_per_customer(spark, folder):
     sales = tables.sales(spark, folder, "id_usuario", "id_pedido")
-    return periods.orders_per_customer(sales, tables.customers(spark, folder))
+    return periods.orders_per_customer(sales, _segments(spark, folder))
 
 
 # Streams, run to the end of their input
@@ -547,9 +554,8 @@ def _sales_stream(spark, folder):
 def _historical(spark, folder):
     metrics = HistoricalMetrics(
         staging.new_folder(spark, "gold"), _store(spark),
-        tables.customers(spark, folder), tables.catalog(spark, folder),
+        _segments(spark, folder), tables.catalog(spark, folder),
     )
-    metrics.bootstrap(spark)
     return metrics, staging.new_folder(spark, "checkpoint")
 
 

@@ -8,6 +8,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The default int96 timestamps cannot be skipped by row-group statistics.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Distinct-count sketches and windowed sums outgrow a heap-resident state store.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

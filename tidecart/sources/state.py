@@ -3,7 +3,7 @@
 A micro-batch reads the state before it and writes its own folder ``versao=<batch>``. Running the
 batch again reads the same earlier folders and overwrites the same one, so nothing is counted
 twice; a folder without its success marker is not seen by readers. Rows are partitioned by a
-``unidade`` (a month, a quarter, a hash bucket): a batch rewrites only the units it touches, and
+``unidade`` (a year, a quarter, a hash bucket): a batch rewrites only the units it touches, and
 the newest folder holding a unit is the current one.
 """
 
@@ -108,8 +108,8 @@ class StateTable:
             self._write(spark.createDataFrame([], self.schema), f"{self.path}/versao=-1")
 
 
-def month_unit(column):
-    return F.date_format(column, "yyyy-MM")
+def year_unit(column):
+    return F.year(column)
 
 
 def quarter_unit():
@@ -123,7 +123,7 @@ def bucket_unit(column, buckets=64):
 def gold_tables(root, schemas, buckets=64):
     """The five gold tables under one folder."""
     units = {
-        "receita_diaria": month_unit("data"),
+        "receita_diaria": year_unit("data"),
         "produtos_agregados_trimestral": quarter_unit(),
         "produtos_top10_trimestral": quarter_unit(),
         "carrinhos_criados": bucket_unit("id_carrinho", buckets),

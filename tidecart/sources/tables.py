@@ -49,20 +49,25 @@ def sales(spark, folder, *columns):
     return df.selectExpr(*[f"{every[c]} AS {c}" for c in columns])
 
 
-def customers(spark, folder):
+_CUSTOMER = {
+    "id_usuario": "c_custkey",
+    "nome_usuario": "c_name",
+    "email_usuario": "concat(c_name, '@example.com')",
+    "data_cadastro": "'2020-01-01'",
+    "segmento_cliente": "c_mktsegment",
+    "cidade": "cast(NULL AS string)",
+    "estado": "n_name",
+    "pais": "'Brasil'",
+}
+
+
+def customers(spark, folder, *columns):
     """dados_clientes."""
-    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
-    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-    return joined.select(
-        F.col("c_custkey").alias("id_usuario"),
-        F.col("c_name").alias("nome_usuario"),
-        F.concat("c_name", F.lit("@example.com")).alias("email_usuario"),
-        F.lit("2020-01-01").alias("data_cadastro"),
-        F.col("c_mktsegment").alias("segmento_cliente"),
-        F.lit(None).cast("string").alias("cidade"),
-        F.col("n_name").alias("estado"),
-        F.lit("Brasil").alias("pais"),
-    )
+    df = table(spark, folder, "customer")
+    if "estado" in columns:
+        nation = table(spark, folder, "nation")
+        df = df.join(nation, df.c_nationkey == nation.n_nationkey, "left")
+    return df.selectExpr(*[f"{_CUSTOMER[c]} AS {c}" for c in columns])
 
 
 def catalog(spark, folder):

@@ -48,13 +48,13 @@ class HistoricalMetrics:
             if totals.isEmpty():
                 return
             days = revenue.touched_days(totals)
-            months = table.units_of(days)
-            month_before = table.units_of(days.select(F.add_months("data", -1).alias("data")))
-            before = table.read(spark, batch_id, months | month_before).drop(revenue.GROWTH)
+            years = table.units_of(days)
+            year_before = table.units_of(days.select(F.add_months("data", -12).alias("data")))
+            before = table.read(spark, batch_id, years | year_before).drop(revenue.GROWTH)
             merged = upsert.upsert_replace(before, totals, ["data", "segmento_cliente"])
-            # Rewritten months see the month before them, so growth on their first day is right.
+            # Rewritten years see the year before them, so growth on their first day is right.
             refreshed = revenue.growth_since_yesterday(merged)
-            table.write(table.in_units(refreshed, months), batch_id)
+            table.write(table.in_units(refreshed, years), batch_id)
         finally:
             totals.unpersist()
         latest = revenue.trailing_days(table.read(spark, batch_id + 1), as_of=self.as_of)
