@@ -5,14 +5,19 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 
-def money(column):
-    """Amounts are summed as decimals, so a total does not depend on the order of rows."""
-    return F.col(column).cast("decimal(18,2)")
+def cents(column):
+    """An amount in whole cents: integer sums are exact in any order and cheap to add up."""
+    return F.floor(F.col(column) * 100 + F.lit(0.5)).cast("long")
+
+
+def amount(summed_cents):
+    """Summed cents as a double in the currency unit, rounded once."""
+    return (summed_cents.cast("decimal(20,0)") / 100).cast("double")
 
 
 def total(column):
-    """Exact sum of an amount, handed out as double."""
-    return F.sum(money(column)).cast("double")
+    """Exact sum of an amount."""
+    return amount(F.sum(cents(column)))
 
 
 def growth(current, previous):

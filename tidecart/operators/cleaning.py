@@ -1,6 +1,7 @@
 """Typed cleaning of the four bronze tables and of JSON messages."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _typed(df, columns, **casts):
@@ -68,22 +69,28 @@ def rejected(df, table):
     ])
 
 
-def _decode(messages, schema):
-    """Each message next to its fields. The generator keeps the parser from running once per use."""
+def _decode(messages, schema, columns=None):
+    """Each message next to its fields, of which only ``columns`` are decoded.
+
+    A message is readable when it is a JSON object with at least one key, whatever columns are
+    asked for; the keys are looked at only where no column has a value. The generator keeps the
+    parser from running once per use of a field.
+    """
     text = F.col("value").cast("string")
-    fields = F.inline(F.array(F.from_json(text, schema)))
-    decoded = messages.select(text.alias("_text"), fields)
-    nothing_read = F.coalesce(*[F.col(f.name).cast("string") for f in schema]).isNull()
-    return decoded, nothing_read
+    wanted = T.StructType([f for f in schema if columns is None or f.name in columns])
+    decoded = messages.select(text.alias("_text"), F.inline(F.array(F.from_json(text, wanted))))
+    has_value = F.coalesce(*[F.col(f.name).cast("string") for f in wanted]).isNotNull()
+    has_keys = F.coalesce(F.size(F.json_object_keys("_text")), F.lit(0)) > 0
+    return decoded, has_value | has_keys
 
 
-def parse_messages(messages, schema):
+def parse_messages(messages, schema, columns=None):
     """Flatten JSON messages; a field of the wrong type is null, an unreadable message is left out."""
-    decoded, nothing_read = _decode(messages, schema)
-    return decoded.filter(~nothing_read).drop("_text")
+    decoded, readable = _decode(messages, schema, columns)
+    return decoded.filter(readable).drop("_text")
 
 
 def rejected_messages(messages, schema):
-    """The raw text of messages from which no field could be read."""
-    decoded, nothing_read = _decode(messages, schema)
-    return decoded.filter(nothing_read).select(F.col("_text").alias("value"))
+    """The raw text of unreadable messages."""
+    decoded, readable = _decode(messages, schema)
+    return decoded.filter(~readable).select(F.col("_text").alias("value"))

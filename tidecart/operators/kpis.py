@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import money, percentage, total
+from ..functions.expressions import amount, cents, percentage, total
 from ..schemas import CART_CREATED
 from .lookup import sum_by_attribute
 
@@ -30,9 +30,9 @@ def category_revenue_from_catalog(sales, catalog):
     """Revenue by category when the category has to be looked up in the catalog."""
     by_category = sum_by_attribute(
         sales, catalog, "id_produto", ["categoria"],
-        {"receita": F.sum(money("valor_total_compra"))},
+        {"receita": F.sum(cents("valor_total_compra"))},
     )
-    return by_category.withColumn("receita", F.col("receita").cast("double"))
+    return by_category.withColumn("receita", amount(F.col("receita")))
 
 
 def item_counts(sales):

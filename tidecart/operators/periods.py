@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import growth, money, period_start, total
+from ..functions.expressions import amount, cents, growth, period_start, total
 
 
 def sales_per_period(sales, period="month"):
@@ -39,11 +39,11 @@ def ticket_variation(tickets):
 
 
 def revenue_by_user(sales):
-    return sales.groupBy("id_usuario").agg(F.sum(money("valor_total_compra")).alias("receita"))
+    return sales.groupBy("id_usuario").agg(F.sum(cents("valor_total_compra")).alias("receita"))
 
 
-def _mean(amount, count):
-    return F.try_divide(F.sum(amount).cast("double"), count)
+def _mean(summed, count):
+    return F.try_divide(amount(F.sum(summed)), count)
 
 
 def revenue_per_user(sales):

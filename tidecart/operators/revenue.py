@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import growth, money
+from ..functions.expressions import amount, cents, growth, total
 from .lookup import salted_left_join, sum_by_attribute
 
 GROWTH = "crescimento_receita_d-1"
@@ -18,12 +18,12 @@ def daily_revenue(sales, customers):
     daily = sum_by_attribute(
         _with_day(sales), customers, "id_usuario", ["segmento_cliente"],
         {
-            "receita_total_diaria": F.sum(money("valor_total_compra")),
+            "receita_total_diaria": F.sum(cents("valor_total_compra")),
             "numero_de_pedidos": F.count("id_transacao"),
         },
         group_by=["data"],
     )
-    return daily.withColumn("receita_total_diaria", F.col("receita_total_diaria").cast("double"))
+    return daily.withColumn("receita_total_diaria", amount(F.col("receita_total_diaria")))
 
 
 def daily_revenue_stream(sales, customers):
@@ -31,7 +31,7 @@ def daily_revenue_stream(sales, customers):
     segments = customers.select("id_usuario", "segmento_cliente")
     joined = salted_left_join(_with_day(sales), segments, "id_usuario", ["id_pedido", "id_produto"])
     return joined.groupBy("data", "segmento_cliente").agg(
-        F.sum(money("valor_total_compra")).cast("double").alias("receita_total_diaria"),
+        total("valor_total_compra").alias("receita_total_diaria"),
         F.count("id_transacao").alias("numero_de_pedidos"),
     )
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import carts, cleaning, kpis, periods, products, revenue, upsert
-from ..schemas import CART_CREATED, GOLD, KEYS, TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
+from ..schemas import CART_CREATED, GOLD, KEYS, WEB_EVENT_MESSAGE
 from ..sources import lake, messages, snapshots, tables
 from ..sources.state import StateTable, bucket_unit, year_unit, quarter_unit
 from ..streaming import persist, realtime, windowed
@@ -503,14 +503,10 @@ def _message_stream(spark, path):
 
 
 def _realtime(spark, folder, metric, schema):
-    source, message = {
-        "sales": (staging.sales_messages, TRANSACTION_MESSAGE),
-        "events": (staging.event_messages, WEB_EVENT_MESSAGE),
-    }[realtime.METRICS[metric].source]
-    stream = cleaning.parse_messages(_message_stream(spark, source(spark, folder)), message)
-    store = _store(spark)
-    checkpoints = staging.new_folder(spark, "checkpoint")
-    realtime.start_metric(metric, stream, store, checkpoints, **ALL).awaitTermination()
+    stage = {"sales": staging.sales_messages, "events": staging.event_messages}
+    source = _message_stream(spark, stage[realtime.METRICS[metric].topic](spark, folder))
+    store, checkpoints = _store(spark), staging.new_folder(spark, "checkpoint")
+    realtime.start_metric(metric, source, store, checkpoints, **ALL).awaitTermination()
     return _read_back(spark, store, metric, schema)
 
 

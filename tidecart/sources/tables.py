@@ -14,7 +14,7 @@ _FROM_LINE = {
     "id_pedido": "l_orderkey",
     "id_produto": "l_partkey",
     "quantidade_produto": "cast(l_quantity AS int)",
-    "valor_total_compra": "cast(l_extendedprice AS decimal(18,2))",
+    "valor_total_compra": "l_extendedprice",
     "linha": "l_linenumber",
 }
 _FROM_ORDER = {
@@ -108,7 +108,7 @@ def purchases(spark, folder, events=None):
     return events.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("id_pedido"),
         F.col("user_id").alias("id_usuario"),
-        F.col("value").cast("decimal(18,2)").alias("valor_total_compra"),
+        F.col("value").alias("valor_total_compra"),
         F.concat_ws("-", "user_id", F.to_date("ts")).alias("id_carrinho"),
         F.col("ts").cast("timestamp").alias("data_compra"),
     )

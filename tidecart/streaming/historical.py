@@ -11,6 +11,7 @@ from ..functions.expressions import same_keys
 from ..operators import carts, products, revenue, upsert
 from ..schemas import CART_CREATED, GOLD, KEYS
 from ..sources.state import StateTable, gold_tables
+from .adaptive import adaptive
 
 COUNTERS = T.StructType([
     T.StructField("carrinhos_criados", T.LongType()),
@@ -45,10 +46,10 @@ class HistoricalMetrics:
         table = self.gold["receita_diaria"]
         totals = totals.persist()
         try:
-            if totals.isEmpty():
-                return
             days = revenue.touched_days(totals)
             years = table.units_of(days)
+            if not years:
+                return
             year_before = table.units_of(days.select(F.add_months("data", -12).alias("data")))
             before = table.read(spark, batch_id, years | year_before).drop(revenue.GROWTH)
             merged = upsert.upsert_replace(before, totals, ["data", "segmento_cliente"])
@@ -66,9 +67,9 @@ class HistoricalMetrics:
         units, top10 = self.gold["produtos_agregados_trimestral"], self.gold["produtos_top10_trimestral"]
         partial = products.units_by_quarter(sales).persist()
         try:
-            if partial.isEmpty():
-                return
             quarters = units.units_of(partial)
+            if not quarters:
+                return
             merged = upsert.upsert_add(
                 units.read(spark, batch_id, quarters), partial,
                 ["ano", "trimestre", "id_produto"], ["unidades_vendidas"],
@@ -92,9 +93,9 @@ class HistoricalMetrics:
         ids = carts.merge_marks(marks).persist()
         known = None
         try:
-            if ids.isEmpty():
-                return
             buckets = created.units_of(ids)
+            if not buckets:
+                return
             known = self._with_history(ids, created.read(spark, batch_id, buckets), "ja_criado")
             known = self._with_history(known, finished.read(spark, batch_id, buckets), "ja_finalizado").persist()
             created.write(known.filter("criado AND NOT ja_criado"), batch_id)
@@ -131,8 +132,12 @@ class HistoricalMetrics:
     # Queries
 
     def _start(self, name, frame, batch_function, checkpoints, trigger):
+        def run(batch, batch_id):
+            with adaptive(batch):
+                batch_function(batch, batch_id)
+
         writer = frame.writeStream.queryName(f"historical_{name}").outputMode("update")
-        writer = writer.foreachBatch(batch_function)
+        writer = writer.foreachBatch(run)
         writer = writer.option("checkpointLocation", f"{checkpoints}/{name}")
         return (writer.trigger(**trigger) if trigger else writer).start()
 

@@ -17,7 +17,7 @@ _TOPICS = {
 def table_rows(messages, table):
     """Parsed messages cut to the columns of the stored table."""
     schema, columns = _TOPICS[table]
-    return parse_messages(messages, schema).select(*columns)
+    return parse_messages(messages, schema, columns).select(*columns)
 
 
 def write_batch(path, batch, batch_id):

@@ -4,46 +4,55 @@ from dataclasses import dataclass
 from typing import Callable
 
 from ..operators import kpis
-from ..schemas import KEYS
+from ..operators.cleaning import parse_messages
+from ..schemas import KEYS, TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
+from .adaptive import adaptive
 
 INTERVAL = "10 seconds"
+SCHEMAS = {"sales": TRANSACTION_MESSAGE, "events": WEB_EVENT_MESSAGE}
 
 
 @dataclass(frozen=True)
 class Metric:
-    source: str
+    topic: str
+    columns: tuple
     totals: Callable
     shape: str = "list"
     finish: Callable = staticmethod(lambda totals: totals)
 
 
 METRICS = {
-    "global_kpis": Metric("sales", kpis.global_kpis, "object"),
-    "category_revenue": Metric("sales", kpis.category_revenue),
-    "top_items": Metric("sales", kpis.item_counts, finish=kpis.top_items),
-    "carts_created": Metric("events", kpis.carts_created, "object"),
-    "carts_converted": Metric("sales", kpis.carts_converted, "object"),
+    "global_kpis": Metric("sales", ("id_pedido", "valor_total_compra"), kpis.global_kpis, "object"),
+    "category_revenue": Metric("sales", ("categoria", "valor_total_compra"), kpis.category_revenue),
+    "top_items": Metric("sales", ("item",), kpis.item_counts, finish=kpis.top_items),
+    "carts_created": Metric("events", ("tipo_evento",), kpis.carts_created, "object"),
+    "carts_converted": Metric("sales", ("id_carrinho",), kpis.carts_converted, "object"),
 }
 
 
-def start_metric(name, stream, store, checkpoints, **trigger):
-    """One query with its own checkpoint; ``trigger`` defaults to a 10 second interval."""
+def start_metric(name, messages, store, checkpoints, **trigger):
+    """One query over a message stream, with its own checkpoint; only its columns are decoded.
+
+    ``trigger`` defaults to a 10 second interval.
+    """
     metric = METRICS[name]
+    parsed = parse_messages(messages, SCHEMAS[metric.topic], metric.columns)
 
     def publish(totals, batch_id):
-        store.publish(metric.finish(totals), KEYS[name], metric.shape)
+        with adaptive(totals):
+            store.publish(metric.finish(totals), KEYS[name], metric.shape)
 
     return (
-        metric.totals(stream).writeStream.queryName(f"realtime_{name}").outputMode("complete")
+        metric.totals(parsed).writeStream.queryName(f"realtime_{name}").outputMode("complete")
         .foreachBatch(publish).option("checkpointLocation", f"{checkpoints}/{name}")
         .trigger(**(trigger or {"processingTime": INTERVAL})).start()
     )
 
 
-def start_all(sales, events, store, checkpoints, **trigger):
-    streams = {"sales": sales, "events": events}
+def start_all(sales_messages, event_messages, store, checkpoints, **trigger):
+    topics = {"sales": sales_messages, "events": event_messages}
     return [
-        start_metric(name, streams[m.source], store, checkpoints, **trigger)
+        start_metric(name, topics[m.topic], store, checkpoints, **trigger)
         for name, m in METRICS.items()
     ]
 
