@@ -12,9 +12,13 @@ def read_table(spark, path, fmt="parquet"):
     return spark.read.format(fmt).load(path)
 
 
-def stream_table(spark, path, schema, files_per_batch=None, fmt="parquet"):
-    """Follow an append-only bronze folder, also into the subfolders of its loads."""
+def stream_table(spark, path, schema, files_per_batch=None, fmt="parquet", **options):
+    """Follow an append-only bronze folder, also into the subfolders of its loads.
+
+    ``options`` go to the source, such as those by which a table format skips rewritten files.
+    """
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    reader = reader.options(**options)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)

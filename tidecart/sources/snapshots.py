@@ -52,12 +52,14 @@ class SnapshotStore:
     """Snapshots under one folder, a subfolder per key and version.
 
     ``forward``, if given, is called with the iterator of pages of each partition, so that an
-    external key-value store can be fed by the executors.
+    external key-value store can be fed by the executors. The newest ``keep`` versions of a key
+    are retained.
     """
 
-    def __init__(self, root, forward=None):
+    def __init__(self, root, forward=None, keep=50):
         self.root = root
         self.forward = forward
+        self.keep = keep
 
     def _folder(self, key):
         return f"{self.root}/{key.replace(':', '__')}"
@@ -95,6 +97,7 @@ class SnapshotStore:
         stamped.write.mode("overwrite").parquet(f"{self._folder(key)}/v{number}")
         if self.forward:
             stamped.foreachPartition(self.forward)
+        self.expire(paged.sparkSession, key, self.keep)
 
     def fetch(self, spark, key):
         """The latest pages of a key, no rows when it was never published."""
@@ -117,7 +120,7 @@ class SnapshotStore:
             return spark.createDataFrame([], SCHEMA)
         return spark.read.schema(SCHEMA).parquet(*[f"{self._folder(key)}/v{n}" for n in versions])
 
-    def expire(self, spark, key, keep=2):
+    def expire(self, spark, key, keep):
         """Drop all but the newest ``keep`` versions of a key."""
         for old in self._versions(spark, key)[:-keep]:
             folders.delete(spark, f"{self._folder(key)}/v{old}")

@@ -4,10 +4,13 @@ A micro-batch reads the state before it and writes its own folder ``versao=<batc
 batch again reads the same earlier folders and overwrites the same one, so nothing is counted
 twice; a folder without its success marker is not seen by readers. Rows are partitioned by a
 ``unidade`` (a year, a quarter, a hash bucket): a batch rewrites only the units it touches, and
-the newest folder holding a unit is the current one.
+the newest folder holding a unit is the current one. Insert-only tables keep the rows of every
+folder instead, and may fold them on reading: running sums are stored as one small increment per
+batch, not rewritten.
 """
 
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +26,10 @@ class StateTable:
     path: str
     schema: T.StructType
     unit: Column
-    # Insert-only tables: every folder adds rows, none replaces the rows of an earlier one.
+    # Every folder adds rows, none replaces the rows of an earlier one.
     insert_only: bool = False
+    # Applied to the rows of all folders, for increments that have to be summed.
+    fold: Callable[[DataFrame], DataFrame] = lambda df: df
 
     def versions(self, spark):
         return folders.committed(spark, self.path, "versao=")
@@ -58,7 +63,7 @@ class StateTable:
         paths = [p for group in chosen.values() for p in group]
         if not paths:
             return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*paths)
+        return self.fold(spark.read.schema(self.schema).parquet(*paths))
 
     def units_of(self, df):
         """Names of the units a batch touches: a few dozen at most, by design of the unit."""
@@ -86,21 +91,20 @@ class StateTable:
             folders.delete(spark, f"{self.path}/base={stale}")
         self._write(df, f"{self.path}/versao={version}")
 
-    def compact(self, spark):
-        """Fold all batch folders into one; to be run between batches.
+    def compact(self, spark, before=None):
+        """Fold the folders of finished batches into one; at the start of batch ``before``.
 
-        Folders already folded are dropped only once a later batch exists, because the last
-        batch may still be replayed and then needs the state before it.
+        What was folded is dropped by the next call, when nothing can be replayed from it.
         """
-        versions = self.versions(spark)
         bases = folders.committed(spark, self.path, "base=")
+        versions = [n for n in self.versions(spark) if before is None or n < before]
         if bases and versions and versions[-1] > bases[-1]:
             for old in [n for n in versions if n <= bases[-1]]:
                 folders.delete(spark, f"{self.path}/versao={old}")
             for old in bases[:-1]:
                 folders.delete(spark, f"{self.path}/base={old}")
         if versions and (not bases or versions[-1] > bases[-1]):
-            self._write(self.read(spark), f"{self.path}/base={versions[-1]}")
+            self._write(self.read(spark, versions[-1] + 1), f"{self.path}/base={versions[-1]}")
 
     def bootstrap(self, spark):
         """Create the empty table once, so that readers find its schema."""
@@ -120,16 +124,22 @@ def bucket_unit(column, buckets=64):
     return F.pmod(F.xxhash64(column), F.lit(buckets))
 
 
+def summed(keys, amounts):
+    """Fold for tables of increments: ``amounts`` of equal keys are added up on reading."""
+    return lambda df: df.groupBy(*keys).agg(*[F.sum(a).alias(a) for a in amounts])
+
+
 def gold_tables(root, schemas, buckets=64):
     """The five gold tables under one folder."""
-    units = {
-        "receita_diaria": year_unit("data"),
-        "produtos_agregados_trimestral": quarter_unit(),
-        "produtos_top10_trimestral": quarter_unit(),
-        "carrinhos_criados": bucket_unit("id_carrinho", buckets),
-        "carrinhos_finalizados": bucket_unit("id_carrinho", buckets),
-    }
-    return {
-        name: StateTable(f"{root}/{name}", schemas[name], unit, name.startswith("carrinhos"))
-        for name, unit in units.items()
-    }
+    def table(name, unit, **kind):
+        return StateTable(f"{root}/{name}", schemas[name], unit, **kind)
+
+    tables = [
+        table("receita_diaria", year_unit("data")),
+        table("produtos_agregados_trimestral", quarter_unit(), insert_only=True,
+              fold=summed(["ano", "trimestre", "id_produto"], ["unidades_vendidas"])),
+        table("produtos_top10_trimestral", quarter_unit()),
+        table("carrinhos_criados", bucket_unit("id_carrinho", buckets), insert_only=True),
+        table("carrinhos_finalizados", bucket_unit("id_carrinho", buckets), insert_only=True),
+    ]
+    return {t.path.rsplit("/", 1)[-1]: t for t in tables}

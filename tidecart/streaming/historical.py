@@ -22,28 +22,31 @@ COUNTERS = T.StructType([
 class HistoricalMetrics:
     """Gold tables under ``root``, snapshots in ``store``; dimensions are plain frames."""
 
-    def __init__(self, root, store, customers=None, catalog=None, as_of=None, buckets=64):
+    def __init__(self, root, store, customers=None, catalog=None, as_of=None, buckets=64,
+                 compact_every=50):
         self.root = root
         self.store = store
         self.customers = customers
         self.catalog = catalog
         self.as_of = as_of
         self.gold = gold_tables(root, GOLD, buckets)
+        self.compact_every = compact_every
         self.counters = StateTable(f"{root}/carrinhos_contagem", COUNTERS, F.lit("total"))
 
     def bootstrap(self, spark):
         for table in self.gold.values():
             table.bootstrap(spark)
 
-    def compact(self, spark):
-        """Maintenance between runs: fold the folders of past batches together."""
-        for table in [*self.gold.values(), self.counters]:
-            table.compact(spark)
+    def _compact(self, spark, batch_id, *tables):
+        if batch_id and batch_id % self.compact_every == 0:
+            for table in tables:
+                table.compact(spark, batch_id)
 
     def daily_revenue(self, totals, batch_id):
         """New totals of some days: replace them and refresh the growth that depends on them."""
         spark = totals.sparkSession
         table = self.gold["receita_diaria"]
+        self._compact(spark, batch_id, table)
         totals = totals.persist()
         try:
             days = revenue.touched_days(totals)
@@ -62,19 +65,19 @@ class HistoricalMetrics:
         self.store.publish(revenue.newest_first(latest), KEYS["daily_revenue"])
 
     def top_products(self, sales, batch_id):
-        """Add the batch's units to the quarters it touches and rank those quarters again."""
+        """Add the batch's units to the quarters it touches and rank those quarters again.
+
+        Only the increments of the batch are written; totals are summed when they are ranked.
+        """
         spark = sales.sparkSession
         units, top10 = self.gold["produtos_agregados_trimestral"], self.gold["produtos_top10_trimestral"]
+        self._compact(spark, batch_id, units, top10)
         partial = products.units_by_quarter(sales).persist()
         try:
             quarters = units.units_of(partial)
             if not quarters:
                 return
-            merged = upsert.upsert_add(
-                units.read(spark, batch_id, quarters), partial,
-                ["ano", "trimestre", "id_produto"], ["unidades_vendidas"],
-            )
-            units.write(merged, batch_id)
+            units.write(partial, batch_id)
         finally:
             partial.unpersist()
         ranked = products.rank_in_quarter(units.read(spark, batch_id + 1, quarters))
@@ -90,6 +93,7 @@ class HistoricalMetrics:
         """
         spark = marks.sparkSession
         created, finished = self.gold["carrinhos_criados"], self.gold["carrinhos_finalizados"]
+        self._compact(spark, batch_id, created, finished, self.counters)
         ids = carts.merge_marks(marks).persist()
         known = None
         try:
