@@ -7,6 +7,7 @@ visible when its write finishes.
 
 from datetime import datetime, timezone
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,34 +17,45 @@ PAGE_ROWS = 1000
 SCHEMA = "chave string, pagina long, payload string, linhas long, publicado_em timestamp"
 
 
-def json_rows(df):
-    """Rows as JSON text; null fields stay in the text, dates and times are ISO 8601."""
+def json_lines(df):
+    """Rows as JSON text with an id that ascends in the order of the frame.
+
+    Null fields stay in the text, dates and times are ISO 8601. The id holds the partition in its
+    upper bits and counts from 0 in each.
+    """
     plain = [
         F.col(f"`{f.name}`").cast("double").alias(f.name)
         if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
         for f in df.schema
     ]
-    return df.select(F.to_json(F.struct(*plain), {
+    text = F.to_json(F.struct(*plain), {
         "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS",
-    }).alias("linha"))
+    })
+    return df.select(text.alias("linha"), F.monotonically_increasing_id().alias("_id"))
 
 
-def pages(df, key, shape="list", page_rows=PAGE_ROWS):
-    """The JSON pages of a frame. ``shape`` is "list" or, for a one-row frame, "object".
+def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
+    """JSON pages numbered from 0. ``shape`` is "list" or, for a single row, "object".
 
-    Row ids ascend with the order of the frame and restart per partition in their upper bits, so
-    dividing by the page size cuts every partition into consecutive pages without a global count.
+    A row's position is the number of rows in the partitions before its own plus its place there.
+    Only the partition sizes, one row each, are brought together.
     """
-    numbered = json_rows(df).withColumn("_n", F.monotonically_increasing_id())
-    within = F.col("_n").bitwiseAND((1 << 33) - 1)
-    page = F.shiftright("_n", 33) * (1 << 33) + F.floor(within / page_rows)
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("_n", "linha"))), lambda s: s["linha"])
-    body = F.array_join(lines, ",")
+    partition, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = lines.groupBy(partition.alias("_partition")).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_partition", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    placed = lines.withColumn("_partition", partition).join(F.broadcast(starts), "_partition")
+    placed = placed.select("linha", (F.col("_start") + place).alias("_position"))
+    ordered = F.transform(
+        F.array_sort(F.collect_list(F.struct("_position", "linha"))), lambda s: s["linha"]
+    )
+    body = F.array_join(ordered, ",")
     if shape == "list":
         body = F.concat(F.lit("["), body, F.lit("]"))
     elif shape != "object":
         raise ValueError(f"unknown shape {shape!r}")
-    return numbered.groupBy(page.alias("pagina")).agg(
+    page = F.floor(F.col("_position") / page_rows)
+    return placed.groupBy(page.alias("pagina")).agg(
         body.alias("payload"), F.count(F.lit(1)).alias("linhas")
     ).select(F.lit(key).alias("chave"), "pagina", "payload", "linhas")
 
@@ -69,16 +81,16 @@ class SnapshotStore:
 
     def publish(self, df, key, shape="list", on_empty="skip", at=None):
         """Publish a frame under ``key``. An empty frame is skipped or refused."""
-        paged = pages(df, key, shape).persist()
+        lines = json_lines(df).persist()
         try:
-            if paged.isEmpty():
+            if lines.isEmpty():
                 if on_empty == "raise":
                     raise ValueError(f"nothing to publish under {key}")
                 return False
-            self._store(paged, key, at)
+            self._store(pages(lines, key, shape), key, at)
             return True
         finally:
-            paged.unpersist()
+            lines.unpersist()
 
     def publish_value(self, spark, value, key, at=None):
         """Publish a single text or number."""
