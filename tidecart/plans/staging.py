@@ -33,8 +33,13 @@ def _once(spark, folder, name, write):
     return _staged[key]
 
 
-def _in_loads(df, path):
-    df.withColumn("carga", F.expr(_LOAD)).drop("linha").write.partitionBy("carga").parquet(path)
+# Row groups of JSON text small enough for several tasks to decode one file.
+_TEXT_ROW_GROUP = 8 * 1024 * 1024
+
+
+def _in_loads(df, path, **options):
+    loads = df.withColumn("carga", F.expr(_LOAD)).drop("linha")
+    loads.write.options(**options).partitionBy("carga").parquet(path)
 
 
 def files_per_batch(spark, path):
@@ -54,7 +59,8 @@ def sales_messages(spark, folder):
 
     def write(path):
         sales = tables.sales(spark, folder, *fields, "linha")
-        _in_loads(sales.select(_as_json(fields), "linha"), path)
+        texts = sales.select(_as_json(fields), "linha")
+        _in_loads(texts, path, **{"parquet.block.size": _TEXT_ROW_GROUP})
     return _once(spark, folder, "mensagens-vendas", write)
 
 

@@ -138,7 +138,7 @@ def gold_tables(root, schemas, buckets=64):
         table("receita_diaria", year_unit("data")),
         table("produtos_agregados_trimestral", quarter_unit(), insert_only=True,
               fold=summed(["ano", "trimestre", "id_produto"], ["unidades_vendidas"])),
-        table("produtos_top10_trimestral", quarter_unit()),
+        table("produtos_top10_trimestral", F.col("ano")),
         table("carrinhos_criados", bucket_unit("id_carrinho", buckets), insert_only=True),
         table("carrinhos_finalizados", bucket_unit("id_carrinho", buckets), insert_only=True),
     ]

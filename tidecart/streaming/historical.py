@@ -81,7 +81,13 @@ class HistoricalMetrics:
         finally:
             partial.unpersist()
         ranked = products.rank_in_quarter(units.read(spark, batch_id + 1, quarters))
-        top10.write(products.with_product_names(ranked, self.catalog), batch_id)
+        named = products.with_product_names(ranked, self.catalog).persist()
+        try:
+            stored = top10.read(spark, batch_id, top10.units_of(named))
+            # Whole quarters give way, so a product that drops out leaves no stale rank behind.
+            top10.write(upsert.replace_group(stored, named, ["ano", "trimestre"]), batch_id)
+        finally:
+            named.unpersist()
         latest = products.newest_quarters_first(top10.read(spark, batch_id + 1))
         self.store.publish(latest, KEYS["top_products"])
 
