@@ -26,6 +26,21 @@ def test_ids_out_of_order_are_found_within_the_overlap(spark):
     assert lake.ingest_increment(source(0, 1, 2, 3, 4, 5, 6), path, "id", overlap=3) == 1
     assert lake.ingest_increment(source(0, 1, 2, 3, 4, 5, 6), path, "id", overlap=3) == 0
     assert rows_of(path, spark) == [0, 1, 2, 3, 4, 5, 6]
+    assert lake.ingested(spark, path).columns == ["id"]
+
+
+def test_only_the_last_id_ranges_are_opened(spark):
+    path = new_folder(spark, "bronze")
+    for top in (25, 35):
+        lake.ingest_increment(spark.range(0, top), path, "id", ids_per_range=10)
+    assert lake.high_water_mark(spark, path, "id") == 34
+    late = spark.range(0, 40).filter("id != 33")
+    assert lake.ingest_increment(late, path, "id", overlap=4, ids_per_range=10) == 5
+    assert rows_of(path, spark) == list(range(40))
+    stored = spark.read.parquet(path)
+    frame = lake.new_rows(spark.range(50), stored, "id", 39, 4, ids_per_range=10)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "faixa" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_reload_reports_rows_and_replaces_the_schema(spark):
@@ -122,6 +137,8 @@ def test_object_shape_and_read_back(spark, store):
     assert store.rows(spark, KEYS["carts_created"], "total long").first().total == 3
     with pytest.raises(ValueError):
         store.publish(one, "k", "table")
+    store.publish(spark.range(5, 9).orderBy("id"), "k", "object")
+    assert json.loads(store.fetch(spark, "k").first().payload) == {"id": 5}
 
 
 def test_empty_frames(spark, store):

@@ -29,7 +29,9 @@ def daily_revenue(sales, customers):
 def daily_revenue_stream(sales, customers):
     """The same totals as a running streaming aggregate (stream-static left join)."""
     segments = customers.select("id_usuario", "segmento_cliente")
-    joined = salted_left_join(_with_day(sales), segments, "id_usuario", ["id_pedido", "id_produto"])
+    joined = salted_left_join(
+        _with_day(sales), segments, "id_usuario", ["id_transacao", "id_pedido", "id_produto"]
+    )
     return joined.groupBy("data", "segmento_cliente").agg(
         total("valor_total_compra").alias("receita_total_diaria"),
         F.count("id_transacao").alias("numero_de_pedidos"),

@@ -279,7 +279,7 @@ def incremental_load(spark, folder):
     lake.ingest_increment(orders.filter(F.col("o_orderkey") <= middle), path, "o_orderkey")
     lake.ingest_increment(orders, path, "o_orderkey", overlap=1000)
     lake.ingest_increment(orders, path, "o_orderkey", overlap=1000)
-    return lake.read_table(spark, path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return lake.ingested(spark, path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
 # Upserts. The first load is the first lines of all orders; what follows touches the same keys.

@@ -36,9 +36,9 @@ def overwrite(df, path, fmt="parquet"):
     return counter.get["linhas"]
 
 
-def append(df, path, fmt="parquet"):
+def append(df, path, fmt="parquet", *partition_by):
     observed, counter = _counted(df)
-    observed.write.format(fmt).mode("append").save(path)
+    observed.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
     return counter.get["linhas"]
 
 
@@ -47,10 +47,20 @@ def full_reload(tables, root, fmt="parquet"):
     return {name: overwrite(df, f"{root}/{name}", fmt) for name, df in tables.items()}
 
 
+# Incrementally loaded tables are partitioned by id range, so that looking for the largest id or
+# for recent ids opens the last ranges only, however large the table has grown.
+RANGE = "faixa"
+IDS_PER_RANGE = 10_000_000
+
+
 def _top_id(spark, path, id_column, fmt):
-    if not folders.exists(spark, path):
-        return None
-    return read_table(spark, path, fmt).agg(F.max(id_column)).first()[0]
+    ranges = [int(n.split("=")[1]) for n in folders.children(spark, path) if n.startswith(f"{RANGE}=")]
+    parts = [f"{path}/{RANGE}={n}" for n in sorted(ranges, reverse=True)]
+    for part in parts or ([path] if folders.exists(spark, path) else []):
+        top = read_table(spark, part, fmt).agg(F.max(id_column)).first()[0]
+        if top is not None:
+            return top
+    return None
 
 
 def high_water_mark(spark, path, id_column, fmt="parquet"):
@@ -58,31 +68,43 @@ def high_water_mark(spark, path, id_column, fmt="parquet"):
     return _top_id(spark, path, id_column, fmt) or 0
 
 
-def new_rows(source, stored, id_column, mark, overlap=0):
+def _range_of(column, ids_per_range):
+    return F.floor(F.col(column) / ids_per_range).cast("long")
+
+
+def new_rows(source, stored, id_column, mark, overlap=0, ids_per_range=IDS_PER_RANGE):
     """Source rows not stored yet, looking ``overlap`` ids back for ids that arrived out of order.
 
-    The range filter is pushed into the source scan, JDBC included.
+    The id filter is pushed into the source scan, JDBC included, and prunes the stored ranges.
     """
-    recent = source.filter(F.col(id_column) > mark - overlap)
+    floor = mark - overlap
+    recent = source.filter(F.col(id_column) > floor)
     if not overlap:
         return recent
-    known = stored.filter(F.col(id_column) > mark - overlap).select(id_column)
-    return recent.join(known, id_column, "left_anti")
+    known = stored.filter((F.col(RANGE) >= floor // ids_per_range) & (F.col(id_column) > floor))
+    return recent.join(known.select(id_column), id_column, "left_anti")
 
 
-def ingest_increment(source, path, id_column, overlap=0, fmt="parquet"):
+def ingest_increment(source, path, id_column, overlap=0, fmt="parquet", ids_per_range=IDS_PER_RANGE):
     """Append what is new in ``source``; rerun it at any interval. Returns the rows appended.
 
     The first run takes everything, whatever the smallest id is.
     """
     spark = source.sparkSession
     mark = _top_id(spark, path, id_column, fmt)
-    fresh = source if mark is None else new_rows(
-        source, read_table(spark, path, fmt), id_column, mark, overlap
-    )
+    fresh = source
+    if mark is not None:
+        stored = read_table(spark, path, fmt)
+        fresh = new_rows(source, stored, id_column, mark, overlap, ids_per_range)
     if fresh.isEmpty():
         return 0
-    return append(fresh.select(*source.columns), path, fmt)
+    fresh = fresh.select(*source.columns).withColumn(RANGE, _range_of(id_column, ids_per_range))
+    return append(fresh, path, fmt, RANGE)
+
+
+def ingested(spark, path, fmt="parquet"):
+    """An incrementally loaded table with the columns of its source."""
+    return read_table(spark, path, fmt).drop(RANGE)
 
 
 def id_bounds(df, id_column):

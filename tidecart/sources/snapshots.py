@@ -35,7 +35,7 @@ def json_lines(df):
 
 
 def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
-    """JSON pages numbered from 0. ``shape`` is "list" or, for a single row, "object".
+    """JSON pages numbered from 0. ``shape`` is "list" or, for the first row alone, "object".
 
     A row's position is the number of rows in the partitions before its own plus its place there.
     Only the partition sizes, one row each, are brought together.
@@ -52,7 +52,9 @@ def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
     body = F.array_join(ordered, ",")
     if shape == "list":
         body = F.concat(F.lit("["), body, F.lit("]"))
-    elif shape != "object":
+    elif shape == "object":
+        placed = placed.filter(F.col("_position") == 0)
+    else:
         raise ValueError(f"unknown shape {shape!r}")
     page = F.floor(F.col("_position") / page_rows)
     return placed.groupBy(page.alias("pagina")).agg(
