@@ -190,6 +190,11 @@ ORACLE = {
                concat(p_brand, ' ', p_name) AS descricao_produto, p_type AS categoria,
                cast(p_retailprice AS decimal(18,2)) AS preco_unitario, p_size AS estoque_disponivel
         FROM part""",
+    "full_reload_audit": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, count(*) AS linhas FROM {t}"
+        for name, t in [("transacoes_vendas", "lineitem"), ("eventos_web", "events"),
+                        ("dados_clientes", "customer"), ("catalogo_produtos", "part")]
+    ),
     "incremental_load": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "upsert_replace": f"""
         SELECT * FROM ({_daily('l_linenumber <= 3')}) d WHERE data < DATE '1998-01-01'
@@ -255,6 +260,7 @@ ORACLE = {
                o_orderpriority AS metodo_pagamento, o_orderstatus AS status_pedido,
                concat(o_custkey, '-', cast(o_orderdate AS date)) AS id_carrinho
         FROM {_SALES}""",
+    "stream_persist_events": f"SELECT {_EVENT_FIELDS}, date_trunc('millisecond', ts) AS timestamp_evento FROM events",
     "stream_windowed_sales": f"""
         SELECT * FROM ({_PURCHASES_PER_DAY}) p
         WHERE cast(dia AS timestamp) + INTERVAL 1 DAY <= {_NEWEST_PURCHASE} - INTERVAL 2 DAY""",

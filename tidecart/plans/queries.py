@@ -270,6 +270,20 @@ def full_reload(spark, folder):
     return lake.read_table(spark, f"{root}/catalogo_produtos")
 
 
+@query
+def full_reload_audit(spark, folder):
+    """All four bronze tables reloaded in cleaned form, and counted."""
+    root = staging.new_folder(spark, "bronze")
+    source = {
+        "transacoes_vendas": clean_transactions(spark, folder),
+        "eventos_web": clean_web_events(spark, folder),
+        "dados_clientes": clean_clients(spark, folder),
+        "catalogo_produtos": clean_products(spark, folder),
+    }
+    lake.full_reload(source, root)
+    return lake.row_counts({name: lake.read_table(spark, f"{root}/{name}") for name in source})
+
+
 @query
 def incremental_load(spark, folder):
     """Older orders first, then everything above the high-water mark; a rerun adds nothing."""
@@ -588,14 +602,23 @@ def stream_abandonment(spark, folder):
     return _read_back(spark, metrics.store, "abandonment", "value string")
 
 
+def _persisted(spark, staged, table):
+    path, checkpoints = staging.new_folder(spark, "persisted"), staging.new_folder(spark, "checkpoint")
+    source = _message_stream(spark, staged)
+    persist.start_persist(source, table, path, checkpoints, **ALL).awaitTermination()
+    return persist.persisted(spark, path, table)
+
+
 @query
 def stream_persist(spark, folder):
     """Transaction messages persisted to bronze."""
-    path = staging.new_folder(spark, "persisted")
-    source = _message_stream(spark, staging.sales_messages(spark, folder))
-    checkpoints = staging.new_folder(spark, "checkpoint")
-    persist.start_persist(source, "transacoes_vendas", path, checkpoints, **ALL).awaitTermination()
-    return persist.persisted(spark, path, "transacoes_vendas")
+    return _persisted(spark, staging.sales_messages(spark, folder), "transacoes_vendas")
+
+
+@query
+def stream_persist_events(spark, folder):
+    """Web event messages persisted to bronze."""
+    return _persisted(spark, staging.event_messages(spark, folder), "eventos_web")
 
 
 @query
