@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import assert_same, connect
 
-FOLDER = "/root/testdata/sf0.01"
+FOLDER = "/root/testdata/sf0.001"
 QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
