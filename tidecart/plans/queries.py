@@ -264,7 +264,7 @@ def id_bounds(spark, folder):
 def full_reload(spark, folder):
     """Bronze tables reloaded twice over; what is stored is the second load."""
     root = staging.new_folder(spark, "bronze")
-    source = {"catalogo_produtos": tables.catalog(spark, folder)}
+    source = {"catalogo_produtos": clean_products(spark, folder)}
     lake.full_reload(source, root)
     lake.full_reload(source, root)
     return lake.read_table(spark, f"{root}/catalogo_produtos")
