@@ -323,7 +323,7 @@ def upsert_replace(spark, folder):
 @query
 def upsert_add(spark, folder):
     sales = _units(spark, folder, "linha")
-    table = _state(spark, "produtos_agregados_trimestral", quarter_unit())
+    table = _state(spark, "produtos_agregados_trimestral", F.col("ano"))
     keys, amounts = ["ano", "trimestre", "id_produto"], ["unidades_vendidas"]
     for batch, load in enumerate([FIRST, LATER, LATER]):
         # The last load is a replay of batch 1.
