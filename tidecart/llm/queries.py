@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import exact_dedup, language_id, line_dedup
+from . import byte_bpe, exact_dedup, language_id, line_dedup, simhash_golay, toxicity
 from .texts import id_bucket
 
 
@@ -21,6 +21,28 @@ def op1_language_id(spark, folder):
     return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_toxicity(spark, folder):
+    scored = toxicity.fit_and_score(documents(spark, folder), table(spark, folder, "labels"))
+    return scored.select("doc_id", (id_bucket("doc_id", 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def byte_pairs(docs):
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_byte_bpe(spark, folder):
+    return byte_pairs(documents(spark, folder)).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_simhash(spark, folder):
+    return simhash_golay.near_duplicates(documents(spark, folder)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_line_dedup(spark, folder):
     return line_dedup.keep_bitmaps(documents(spark, folder), min_documents=10).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(line_dedup.kept_text().cast("binary"), 256).alias("kept_sha256"))
@@ -33,6 +55,9 @@ def op10_exact_dedup(spark, folder):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op4_toxicity": op4_toxicity,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_simhash": op6_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
