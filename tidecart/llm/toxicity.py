@@ -83,7 +83,7 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=120, rate=1.0, shrink=0.03):
+def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0, shrink=0.02):
     """Fits a Machine to bounded arrays; None if only one label is present."""
     y = np.asarray(labels, dtype=np.float64)
     if not 0 < y.sum() < len(y):
