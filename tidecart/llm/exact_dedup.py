@@ -67,7 +67,9 @@ def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256
         return frame.select("*", F.first(own).over(everyone).alias("best"), F.sum("held").over(everyone).alias("size"),
                             F.row_number().over(alike).alias("place"))
 
-    salted = combined(winners, "local_id", ["digest", "salt", "content"])
+    # One exchange of the winners' texts serves both the links and the heads.
+    dealt = winners.repartition("digest", "salt")
+    salted = combined(dealt, "local_id", ["digest", "salt", "content"])
     heads = salted.filter("place = 1").select(
         "digest", "salt", F.col("best").alias("salt_id"), "content", F.col("size").alias("held"))
     final = combined(heads, "salt_id", ["digest", "content"]).select(

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, exact_dedup, language_id, line_dedup, simhash_golay, toxicity
+from . import byte_bpe, exact_dedup, language_id, line_dedup, secret_scan, simhash_golay, toxicity
 from .texts import id_bucket
 
 
@@ -21,6 +21,15 @@ def op1_language_id(spark, folder):
     return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op2_secret_scan(spark, folder):
+    docs = documents(spark, folder)
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    return found.select(
+        "doc_id", *[secret_scan.number_of("spans", kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(secret_scan.written(F.filter("spans", secret_scan.is_base)).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"))
+
+
 def op4_toxicity(spark, folder):
     scored = toxicity.fit_and_score(documents(spark, folder), table(spark, folder, "labels"))
     return scored.select("doc_id", (id_bucket("doc_id", 3) == 1).alias("held_out"), "score",
@@ -55,6 +64,7 @@ def op10_exact_dedup(spark, folder):
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_secret_scan": op2_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
