@@ -4,11 +4,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, exact_dedup, language_id, line_dedup, secret_scan, simhash_golay, toxicity
-from .texts import id_bucket
+from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, secret_scan, simhash_golay, toxicity
+from .texts import id_bucket, importable
 
 
 def documents(spark, folder):
+    importable(spark)
     return table(spark, folder, "documents")
 
 
@@ -52,6 +53,10 @@ def op6_simhash(spark, folder):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_decontamination(spark, folder):
+    return decontamination.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def op9_line_dedup(spark, folder):
     return line_dedup.keep_bitmaps(documents(spark, folder), min_documents=10).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(line_dedup.kept_text().cast("binary"), 256).alias("kept_sha256"))
@@ -68,6 +73,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -1,6 +1,9 @@
 """Helpers that the text operators share: null-safe text columns, bounded slices of Arrow batches,
 words of a slice, and where lineage is cut."""
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -76,3 +79,11 @@ def cut(frame):
     if context.getCheckpointDir() is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return frame.checkpoint()
+
+
+def importable(spark):
+    """Lets Python workers that have this package's folder find it; elsewhere ship it with ``--py-files``."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
