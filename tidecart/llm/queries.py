@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, secret_scan, simhash_golay, toxicity
+from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, secret_scan, simhash_golay, toxicity
 from .texts import id_bucket, importable
 
 
@@ -31,6 +31,13 @@ def op2_secret_scan(spark, folder):
         secret_scan.written(F.col("spans")).alias("spans"))
 
 
+def op3_lm_scoring(spark, folder):
+    bucket = id_bucket("doc_id", 5)
+    scores, tokens = lm_scoring.fit_and_score(documents(spark, folder), bucket != 1)
+    return scores.select("doc_id", (bucket == 1).alias("held_out"), "n_tokens", "n_known",
+                         F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op4_toxicity(spark, folder):
     scored = toxicity.fit_and_score(documents(spark, folder), table(spark, folder, "labels"))
     return scored.select("doc_id", (id_bucket("doc_id", 3) == 1).alias("held_out"), "score",
@@ -70,6 +77,7 @@ def op10_exact_dedup(spark, folder):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
