@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, secret_scan, simhash_golay, toxicity
+from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, secret_scan, simhash_golay, token_shards, toxicity
 from .texts import id_bucket, importable
 
 
@@ -60,6 +60,10 @@ def op6_simhash(spark, folder):
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_token_shards(spark, folder):
+    return token_shards.write_and_read(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_decontamination(spark, folder):
     return decontamination.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_simhash": op6_simhash,
+    "op7_token_shards": op7_token_shards,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
