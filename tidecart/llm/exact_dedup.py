@@ -58,8 +58,9 @@ def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest (binary)."""
     rows = (docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
             .mapInArrow(_local_winners(digest), _LOCAL))
-    winners = rows.filter("content IS NOT NULL").withColumn(
-        "salt", F.pmod(F.xxhash64("digest", "local_id"), F.lit(salts)).cast("int"))
+    # None of the three is ever null in a winner; said once here, no branch adds a filter that would tell it apart.
+    winners = rows.withColumn("salt", F.pmod(F.xxhash64("digest", "local_id"), F.lit(salts)).cast("int")).filter(
+        "content IS NOT NULL AND digest IS NOT NULL AND salt IS NOT NULL")
 
     def combined(frame, own, key):
         alike = Window.partitionBy(*key).orderBy(F.col(own).desc_nulls_last())
@@ -67,17 +68,18 @@ def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256
         return frame.select("*", F.first(own).over(everyone).alias("best"), F.sum("held").over(everyone).alias("size"),
                             F.row_number().over(alike).alias("place"))
 
-    # One exchange of the winners' texts serves both the links and the heads.
+    # One exchange of the winners' texts serves both the links and the heads: both need the same columns of it.
     dealt = winners.repartition("digest", "salt")
     salted = combined(dealt, "local_id", ["digest", "salt", "content"])
     heads = salted.filter("place = 1").select(
         "digest", "salt", F.col("best").alias("salt_id"), "content", F.col("size").alias("held"))
     final = combined(heads, "salt_id", ["digest", "content"]).select(
-        "digest", "salt", "salt_id", F.col("best").alias("keep_id"), F.col("size").alias("group_size"))
-    links = salted.select("digest", "salt", "local_id", F.col("best").alias("salt_id")).distinct()
+        F.col("digest").alias("d"), F.col("salt").alias("s"), F.col("salt_id").alias("i"), F.col("held").alias("n"),
+        F.col("best").alias("keep_id"), F.col("size").alias("group_size"))
+    links = salted.select("digest", "salt", "local_id", F.col("best").alias("salt_id"), "size").distinct()
     resolved = links.join(
-        final.withColumnsRenamed({"digest": "d", "salt": "s", "salt_id": "i"}),
-        (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s")) & F.col("salt_id").eqNullSafe(F.col("i")),
+        final, (F.col("digest") == F.col("d")) & (F.col("salt") == F.col("s"))
+        & F.col("salt_id").eqNullSafe(F.col("i")) & (F.col("size") == F.col("n")),
     ).select(F.col("digest").alias("d"), F.col("local_id").alias("i"), "keep_id", "group_size")
     return rows.select("doc_id", "local_id", "digest").join(
         resolved, (F.col("digest") == F.col("d")) & F.col("local_id").eqNullSafe(F.col("i")),
