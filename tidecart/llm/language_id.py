@@ -14,6 +14,7 @@ priors, with the evidence counted as at most ``EVIDENCE`` words so that long tex
 """
 
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,6 +29,8 @@ EVIDENCE = 50.0
 LONGEST = 48
 #: Probability of a letter that no piece covers, and weight of the common distribution in smoothing.
 UNKNOWN, PRIOR = 1e-7, 50.0
+#: Bytes of text scored at a time: the lattice of their distinct words takes some sixty times as much memory.
+_SLICE = 8 << 20
 _RESULT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -56,59 +59,118 @@ def marked(word):
     return ["^" * (i == 0) + word[i:i + LONGEST] for i in range(0, len(word), LONGEST)]
 
 
-class Pieces:
-    """A trie of pieces with a vector of probabilities, one per language, at its ends."""
+class Trie:
+    """The pieces as a double array: the child of ``node`` by ``c`` is slot base[node] + c if check says so."""
 
-    def __init__(self, vocabulary, table):
-        """table: piece index by language."""
-        self.root, self.width = {}, table.shape[1]
-        for piece, row in zip(vocabulary, table):
-            node = self.root
+    def __init__(self, vocabulary):
+        alphabet = sorted({c for piece in vocabulary for c in piece})
+        self.width = len(alphabet) + 1
+        self.codes = np.zeros(0x110000, dtype=np.int32)
+        self.codes[[ord(c) for c in alphabet]] = np.arange(1, self.width)
+        children, ends = [{}], [-1]
+        for number, piece in enumerate(vocabulary):
+            node = 0
             for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = row
-        self.unknown = np.full(self.width, UNKNOWN)
-
-    def arcs(self, run):
-        """(start, end, probabilities) of all pieces within a run; single letters always have one."""
-        for start in range(len(run)):
-            node, single = self.root, False
-            for end in range(start, len(run)):
-                node = node.get(run[end])
-                if node is None:
-                    break
-                row = node.get("")
-                if row is not None:
-                    single |= end == start
-                    yield start, end + 1, row
-            if not single:
-                yield start, start + 1, self.unknown
-
-    def forward(self, run):
-        sums = [np.zeros(self.width) for _ in range(len(run) + 1)]
-        sums[0] = np.ones(self.width)
-        for start, end, row in self.arcs(run):
-            sums[end] = sums[end] + sums[start] * row
+                c = int(self.codes[ord(c)])
+                if c not in children[node]:
+                    children[node][c] = len(children)
+                    children.append({})
+                    ends.append(-1)
+                node = children[node][c]
+            ends[node] = number
+        room = len(children) + 2 * self.width
+        check, base, piece = [-1] * room, [0] * room, [-1] * room
+        check[0], low, pending = -2, 1, [(0, 0)]
+        for node, slot in pending:
+            codes = sorted(children[node])
+            piece[slot] = ends[node]
+            if not codes:
+                base[slot] = 0
+                continue
+            while check[low] != -1:
+                low += 1
+            start = max(0, low - codes[0])
+            while any(check[start + c] != -1 for c in codes):
+                start += 1
+            base[slot] = start
+            if start + 2 * self.width >= len(check):
+                more = start + 3 * self.width - len(check)
+                check, base, piece = check + [-1] * more, base + [0] * more, piece + [-1] * more
+            for c in codes:
+                check[start + c] = slot
+                pending.append((children[node][c], start + c))
+        self.check, self.base, self.piece = (np.array(a, dtype=np.int32) for a in (check, base, piece))
+        self.pieces = len(vocabulary)
+
+
+class Lattice:
+    """All ways to cut runs into pieces, as arcs between positions; row ``trie.pieces`` is the unknown letter."""
+
+    def __init__(self, trie, runs):
+        lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+        codes = trie.codes[np.frombuffer("".join(runs).encode("utf-32-le"), dtype=np.uint32)]
+        stop = np.cumsum(lengths)
+        run = np.repeat(np.arange(len(runs)), lengths)
+        limit = stop[run]
+        at, node, depth, found = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), 0, []
+        while len(at):
+            slot = trie.base[node] + codes[at + depth]
+            real = (trie.check[slot] == node) & (codes[at + depth] > 0)
+            at, node = at[real], slot[real].astype(np.int64)
+            depth += 1
+            piece = trie.piece[node]
+            hit = piece >= 0
+            found.append((at[hit], at[hit] + depth, piece[hit]))
+            more = at + depth < limit[at]
+            at, node = at[more], node[more]
+        bare = np.ones(len(codes), dtype=bool)
+        if found:
+            bare[found[0][0]] = False
+        bare = np.flatnonzero(bare)
+        found.append((bare, bare + 1, np.full(len(bare), trie.pieces)))
+        start, end, self.piece = (np.concatenate(x) for x in zip(*found))
+        self.run = run[start]
+        level = start - (stop - lengths)[self.run]
+        order = np.argsort(level, kind="stable")
+        # Positions of a run are its letters and one more, so each run has its own end.
+        self.start, self.end, self.piece, self.run = (
+            (start + self.run)[order], (end + self.run)[order], self.piece[order].astype(np.int64), self.run[order])
+        self.levels = np.append(np.flatnonzero(np.diff(level[order], prepend=-1)), len(order))
+        self.first, self.last = stop - lengths + np.arange(len(runs)), stop + np.arange(len(runs))
+        self.size = len(codes) + len(runs)
+
+    def forward(self, weights):
+        """Sums over all cuts up to each position; weights by arc, with any further axes."""
+        sums = np.zeros((self.size,) + weights.shape[1:])
+        sums[self.first] = 1
+        for a, b in zip(self.levels[:-1], self.levels[1:]):
+            sums[self.end[a:b]] += sums[self.start[a:b]] * weights[a:b]  # the arcs of a level have different ends
         return sums
 
-    def log_probability(self, word):
-        total = np.zeros(self.width)
-        for run in marked(word):
-            total += np.log(np.maximum(self.forward(run)[-1], 1e-300))
-        return total
-
-    def expected(self, run, language, times, counts):
-        """Adds expected piece counts of a run, seen ``times`` times, to counts (piece text -> number)."""
-        arcs = list(self.arcs(run))
-        ahead = [s[language] for s in self.forward(run)]
-        behind = [0.0] * (len(run) + 1)
-        behind[-1] = 1.0
-        for start, end, row in reversed(arcs):
-            behind[start] += behind[end] * row[language]
-        whole = ahead[-1]
-        if whole > 0:
-            for start, end, row in arcs:
-                counts[run[start:end]] = counts.get(run[start:end], 0.0) + times * ahead[start] * row[language] * behind[end] / whole
+    def backward(self, weights):
+        sums = np.zeros(self.size)
+        sums[self.last] = 1
+        for a, b in zip(self.levels[-2::-1], self.levels[:0:-1]):
+            np.add.at(sums, self.start[a:b], sums[self.end[a:b]] * weights[a:b])
+        return sums
+
+    def expected(self, weights, times):
+        """Expected use of each arc, for runs that were seen ``times`` times."""
+        ahead, behind = self.forward(weights), self.backward(weights)
+        whole = ahead[self.last]
+        share = np.where(whole > 0, times / np.maximum(whole, 1e-300), 0)
+        return ahead[self.start] * weights * behind[self.end] * share[self.run]
+
+
+def log_probabilities(trie, table, words):
+    """Log-probabilities of words (letters only) in each language: the sums over all their cuts."""
+    if not words:
+        return np.zeros((0, table.shape[1]))
+    runs = [marked(word) for word in words]
+    counts = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
+    lattice = Lattice(trie, list(chain.from_iterable(runs)))
+    sums = lattice.forward(table[lattice.piece])[lattice.last]
+    return np.add.reduceat(np.log(np.maximum(sums, 1e-300)), np.cumsum(counts) - counts, axis=0)
 
 
 def bounded_sample(docs, per_language, id_column, lang_column, text_column):
@@ -133,7 +195,11 @@ def _word_counts(batches):
         yield pd.DataFrame([(lang, word, n) for (lang, word), n in counts.items()], columns=["lang", "word", "n"])
 
 
-def fit(docs, vocabulary, per_language=1500, rounds=3, id_column="doc_id", lang_column="lang", text_column="text"):
+def with_unknown(table):
+    return np.vstack([table, np.full((1, table.shape[1]), UNKNOWN)])
+
+
+def fit(docs, vocabulary, per_language=500, rounds=3, id_column="doc_id", lang_column="lang", text_column="text"):
     """(languages, table of piece probabilities): fitted on the labelled rows of ``docs``.
 
     What reaches the driver is bounded by languages times pieces.
@@ -142,73 +208,90 @@ def fit(docs, vocabulary, per_language=1500, rounds=3, id_column="doc_id", lang_
     words = cut(sample.mapInPandas(_word_counts, "lang string, word string, n long")
                 .groupBy("lang", "word").agg(F.sum("n").alias("n")))
     languages = sorted(r.lang for r in words.select("lang").distinct().collect())
-    index = {piece: i for i, piece in enumerate(vocabulary)}
+    place = {lang: i for i, lang in enumerate(languages)}
     table = np.full((len(vocabulary), max(1, len(languages))), 1.0 / max(1, len(vocabulary)))
+    trie = Trie(vocabulary)
     for _ in range(rounds if languages else 0):
-        model = words.sparkSession.sparkContext.broadcast((vocabulary, table))
-        place = {lang: i for i, lang in enumerate(languages)}
+        model = words.sparkSession.sparkContext.broadcast((trie, with_unknown(table)))
 
         def count(batches):
-            known = Pieces(*model.value)
+            known, weights = model.value
             for frame in batches:
-                found = [{} for _ in place]
-                for lang, word, n in zip(frame["lang"], frame["word"], frame["n"]):
-                    for run in marked(word):
-                        known.expected(run, place[lang], n, found[place[lang]])
-                rows = [(lang, piece, c) for lang, i in place.items() for piece, c in found[i].items()]
-                yield pd.DataFrame(rows, columns=["lang", "piece", "n"])
+                runs = [(run, place[lang], n) for lang, word, n in zip(frame["lang"], frame["word"], frame["n"])
+                        for run in marked(word)]
+                lattice = Lattice(known, [r[0] for r in runs])
+                language = np.array([r[1] for r in runs])[lattice.run]
+                used = lattice.expected(weights[lattice.piece, language], np.array([r[2] for r in runs], dtype=float))
+                cells, at = np.unique(language * len(weights) + lattice.piece, return_inverse=True)
+                yield pd.DataFrame({"lang": cells // len(weights), "piece": cells % len(weights), "n": np.bincount(at, weights=used)})
 
         counts = np.zeros_like(table)
-        for row in (words.mapInPandas(count, "lang string, piece string, n double")
+        for row in (words.mapInPandas(count, "lang int, piece int, n double")
                     .groupBy("lang", "piece").agg(F.sum("n").alias("n")).collect()):
-            if row.piece in index:
-                counts[index[row.piece], place[row.lang]] = row.n
+            if row.piece < len(vocabulary):
+                counts[row.piece, row.lang] = row.n
         common = (counts.sum(axis=1) + 0.01) / (counts.sum() + 0.01 * len(vocabulary))
         table = (counts + PRIOR * common[:, None]) / (counts.sum(axis=0) + PRIOR)
         model.unpersist()
     return languages, table
 
 
-def _scorer(model, keep=150_000):
+def predictions(model, texts):
+    """(language, score) of each text."""
+    trie, languages, table = model
+    width = table.shape[1]
+    words, codes, offsets = words_of(texts)
+    bare = [letters(word) for word in words]
+    distinct = sorted({word for word in bare if word})
+    place = {word: i for i, word in enumerate(distinct)}
+    rows = np.zeros((len(distinct) + 1, width + 1))  # the last row: words without letters
+    rows[:-1, :width] = log_probabilities(trie, table, distinct)
+    rows[:-1, width] = 1
+    at = np.array([place.get(word, len(distinct)) for word in bare], dtype=np.int64)
+    sums = sums_by_text(rows[at[codes]], offsets)
+    count = sums[:, width]
+    tempered = sums[:, :width] * np.minimum(1, EVIDENCE / np.maximum(count, 1))[:, None]
+    shares = np.exp(tempered - tempered.max(axis=1, keepdims=True))
+    shares /= shares.sum(axis=1, keepdims=True)
+    best = sums[:, :width].argmax(axis=1)
+    told = (count > 0) & bool(languages)
+    names = [languages[b] if ok else UNDETERMINED for b, ok in zip(best, told)]
+    return names, np.where(told, shares[np.arange(len(best)), best], 0.0)
+
+
+def _scorer(model):
     def run(batches):
-        vocabulary, languages, table = model.value
-        pieces, known = Pieces(vocabulary, table), {}
-        width = pieces.width
-        for batch in slices(batches):
-            words, codes, offsets = words_of(texts_of(batch))
-            if len(known) > keep:  # only a cache: what is dropped is computed again
-                known.clear()
-            rows = np.zeros((len(words), width + 1))
-            for i, word in enumerate(words):
-                word = letters(word)
-                if word:
-                    found = known.get(word)
-                    if found is None:
-                        found = known[word] = pieces.log_probability(word)
-                    rows[i, :width] = found
-                    rows[i, width] = 1
-            sums = sums_by_text(rows[codes], offsets) if len(codes) else np.zeros((batch.num_rows, width + 1))
-            count = sums[:, width]
-            tempered = sums[:, :width] * np.minimum(1, EVIDENCE / np.maximum(count, 1))[:, None]
-            shares = np.exp(tempered - tempered.max(axis=1, keepdims=True))
-            shares /= shares.sum(axis=1, keepdims=True)
-            best = sums[:, :width].argmax(axis=1)
-            told = (count > 0) & bool(languages)
-            names = [languages[b] if ok else UNDETERMINED for b, ok in zip(best, told)]
-            yield record(_RESULT, batch.column(0), names, np.where(told, shares[np.arange(len(best)), best], 0.0))
+        for batch in slices(batches, _SLICE):
+            yield record(_RESULT, batch.column(0), *predictions(model.value, texts_of(batch)))
     return run
 
 
+def _keeper(model, text_column, least):
+    def run(batches):
+        for batch in slices(batches, _SLICE, text_column):
+            names, scores = predictions(model.value, texts_of(batch, text_column))
+            yield batch.filter(pa.array([name != UNDETERMINED and s >= least for name, s in zip(names, scores)], pa.bool_()))
+    return run
+
+
+def shared_model(docs, languages, table, vocabulary):
+    return docs.sparkSession.sparkContext.broadcast((Trie(vocabulary), languages, with_unknown(table)))
+
+
 def identify(docs, languages, table, vocabulary, id_column="doc_id", text_column="text"):
     """One row per row of ``docs``: doc_id, lang_pred, score. Reads only the text."""
-    model = docs.sparkSession.sparkContext.broadcast((vocabulary, languages, table))
+    model = shared_model(docs, languages, table, vocabulary)
     return (docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
             .mapInArrow(_scorer(model), "doc_id long, lang_pred string, score double"))
 
 
-def fit_and_identify(docs, model_file, held_out=2, **options):
-    """Learns from labelled rows whose crc32(doc_id) mod 4 is not ``held_out``; predicts every row."""
+def keep_told(docs, languages, table, vocabulary, least=0.3, text_column="text"):
+    """The rows of ``docs``, with all columns, that have a language with a score of ``least`` or more."""
+    model = shared_model(docs, languages, table, vocabulary)
+    return docs.mapInArrow(_keeper(model, text_column, least), docs.schema)
+
+
+def learn(docs, model_file, held_out=2, **options):
+    """(languages, table, vocabulary), from labelled rows whose crc32(doc_id) mod 4 is not ``held_out``."""
     vocabulary = pieces_of(model_file)
-    learned = docs.filter(id_bucket("doc_id", 4) != held_out)
-    languages, table = fit(learned, vocabulary, **options)
-    return identify(docs, languages, table, vocabulary)
+    return *fit(docs.filter(id_bucket("doc_id", 4) != held_out), vocabulary, **options), vocabulary
