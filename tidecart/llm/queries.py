@@ -13,13 +13,14 @@ def documents(spark, folder):
     return table(spark, folder, "documents")
 
 
-def language(docs):
-    return language_id.fit_and_identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
+def language_model(docs):
+    return language_id.learn(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op1_language_id(spark, folder):
-    found = language(documents(spark, folder))
-    return found.select("doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+    docs = documents(spark, folder)
+    return language_id.identify(docs, *language_model(docs)).select(
+        "doc_id", (id_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
 def op2_secret_scan(spark, folder):

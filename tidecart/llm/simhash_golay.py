@@ -26,6 +26,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .texts import cut, record, slices, texts_of
@@ -35,7 +36,7 @@ WIDTHS = (23, 23, 18)
 #: Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
 _KEYS_IN_SLICE = 20_000
-_BUCKET_BYTES = 24 << 20
+_BUCKET_BYTES = 4 << 20
 #: Mean number of 16-byte entries for a fingerprint, measured on random fingerprints.
 _ENTRIES = 181
 
@@ -188,7 +189,7 @@ def links(distinct, radius=RADIUS):
     buckets = max(1, -(-number * _ENTRIES * 16 // _BUCKET_BYTES))
     dealt = (distinct.repartition(max(1, -(-number // _KEYS_IN_SLICE)), "fp")
              .mapInArrow(_dealt_keys(buckets), "bucket int, entries binary"))
-    return (dealt.repartition(int(buckets), "bucket").groupBy("bucket").applyInArrow(_linked(radius), "a long, b long")
+    return (dealt.repartition(max(1, -(-buckets // 5)), "bucket").groupBy("bucket").applyInArrow(_linked(radius), "a long, b long")
             .distinct())
 
 
@@ -226,8 +227,12 @@ def near_duplicates(docs, radius=RADIUS, shingle_words=4, id_column="doc_id", te
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs, id_column="doc_id", **options):
-    """The row with the smallest id of each group of near-duplicates, with all columns of ``docs``."""
-    found = near_duplicates(docs, id_column=id_column, **options).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(found, F.col(id_column).cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+def keep_one(docs, id_column="doc_id", text_column="text", **options):
+    """The row with the smallest id of each group of near-duplicates, with all columns; of repeated ids one row."""
+    no_id = F.lit(-(2 ** 63))
+    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options).filter(
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("__id")).distinct()
+    own = docs.withColumn("__own_id", F.coalesce(F.col(id_column).cast("long"), no_id))
+    first = F.row_number().over(Window.partitionBy("__own_id").orderBy(F.xxhash64(text_column)))
+    return own.join(found, F.col("__own_id") == F.col("__id"), "left_semi").withColumn("__place", first).filter(
+        "__place = 1").select(*[f"`{c}`" for c in docs.columns])
