@@ -29,6 +29,17 @@ def test_ids_out_of_order_are_found_within_the_overlap(spark):
     assert lake.ingested(spark, path).columns == ["id"]
 
 
+def test_late_ids_are_found_by_default_and_missing_ids_refused(spark):
+    path = new_folder(spark, "bronze")
+    source = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    assert lake.ingest_increment(source(6), path, "id") == 1
+    assert lake.ingest_increment(source(5, 6, 7), path, "id") == 2
+    assert lake.ingest_increment(source(5, 6, 7), path, "id") == 0
+    with pytest.raises(ValueError, match="without id"):
+        lake.ingest_increment(source(8, None), path, "id")
+    assert rows_of(path, spark) == [5, 6, 7]
+
+
 def test_only_the_last_id_ranges_are_opened(spark):
     path = new_folder(spark, "bronze")
     for top in (25, 35):
@@ -137,7 +148,7 @@ def test_object_shape_and_read_back(spark, store):
     assert store.rows(spark, KEYS["carts_created"], "total long").first().total == 3
     with pytest.raises(ValueError):
         store.publish(one, "k", "table")
-    store.publish(spark.range(5, 9).orderBy("id"), "k", "object")
+    store.publish(spark.range(5, 6), "k", "object")
     assert json.loads(store.fetch(spark, "k").first().payload) == {"id": 5}
 
 
@@ -158,15 +169,28 @@ def test_single_values(spark, store):
 
 
 def test_latest_version_wins_and_old_ones_expire(spark):
-    store = snapshots.SnapshotStore(new_folder(spark, "snapshots"), keep=2)
+    store = snapshots.SnapshotStore(new_folder(spark, "snapshots"), hours=1.5)
     for n in range(4):
         store.publish(spark.range(n, n + 1), "k", "object", at=dt.datetime(2024, 5, 1, n))
     assert store.rows(spark, "k", "id long").first().id == 3
     assert store.history(spark, "k").count() == 2
+    forever = snapshots.SnapshotStore(new_folder(spark, "snapshots"))
+    for n in range(55):
+        forever.publish_value(spark, n, "n", at=dt.datetime(2024, 5, 1) + dt.timedelta(seconds=10 * n))
+    assert forever.history(spark, "n").count() == 55
+    assert forever.value(spark, "n", "long").first().valor == 54
     young = snapshots.within_retention(store.history(spark, "k"), 1, dt.datetime(2024, 5, 1, 3, 30))
     assert young.count() == 1
 
 
+def test_several_rows_are_no_object_and_torn_pages_are_errors(spark, store):
+    with pytest.raises(ValueError, match="several rows"):
+        store.publish(spark.range(2), "k", "object")
+    torn = spark.createDataFrame([("k", 0, '[{"id": 1}, {"id"', 2, None)], snapshots.SCHEMA)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        snapshots.decode(torn, "id long").collect()
+
+
 def test_pages_are_forwarded_by_the_executors(spark):
     target = new_folder(spark, "forwarded").removeprefix("file:")
 

@@ -53,10 +53,14 @@ def test_unfinished_folder_is_not_seen(spark, increments):
     assert content(increments.read(spark)) == [(2024, 1, 1, 5)]
 
 
-def test_restart_from_batch_zero_forgets_later_batches(spark, increments):
+def test_restart_from_batch_zero_is_refused_until_reset(spark, increments):
     for batch in range(3):
         increments.write(units(spark, (2024, 1, 1, 1)), batch)
     increments.compact(spark)
+    with pytest.raises(ValueError, match="reset"):
+        increments.write(units(spark, (2024, 1, 1, 10)), 0)
+    assert content(increments.read(spark)) == [(2024, 1, 1, 3)]
+    increments.reset(spark)
     increments.write(units(spark, (2024, 1, 1, 10)), 0)
     assert content(increments.read(spark)) == [(2024, 1, 1, 10)]
 

@@ -5,19 +5,27 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 
-def cents(column):
-    """An amount in whole cents: integer sums are exact in any order and cheap to add up."""
-    return F.floor(F.col(column) * 100 + F.lit(0.5)).cast("long")
+#: Digits after the point that amounts are summed with.
+SCALE = 6
 
 
-def amount(summed_cents):
-    """Summed cents as a double in the currency unit, rounded once."""
-    return (summed_cents.cast("decimal(20,0)") / 100).cast("double")
+def units(column):
+    """An amount in millionths: integer sums are exact in any order and cheap to add up.
+
+    Halves of a millionth are rounded away from 0. NaN, infinities and amounts or sums beyond 64 bits
+    (some 9.2 million millions) are errors, not wrong numbers.
+    """
+    return F.round(F.col(column) * 10 ** SCALE).cast("long")
+
+
+def amount(summed_units):
+    """Summed millionths as a double in the currency unit, rounded once."""
+    return (summed_units.cast("decimal(20,0)") / 10 ** SCALE).cast("double")
 
 
 def total(column):
     """Exact sum of an amount."""
-    return amount(F.sum(cents(column)))
+    return amount(F.sum(units(column)))
 
 
 def growth(current, previous):

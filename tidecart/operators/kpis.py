@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, cents, percentage, total
+from ..functions.expressions import amount, percentage, total, units
 from ..schemas import CART_CREATED
 from .lookup import sum_by_attribute
 
@@ -21,6 +21,11 @@ def global_kpis(sales, exact=False):
     )
 
 
+def within_error(sketch, exact, error=0.15):
+    """Whether a distinct-count sketch is within three of its standard errors (5 %) of the exact count."""
+    return F.abs(sketch - exact) <= F.greatest(exact * error, F.lit(1))
+
+
 def category_revenue(sales):
     """Revenue by category, for sales that already carry their category."""
     return sales.groupBy("categoria").agg(total("valor_total_compra").alias("receita"))
@@ -30,7 +35,7 @@ def category_revenue_from_catalog(sales, catalog):
     """Revenue by category when the category has to be looked up in the catalog."""
     by_category = sum_by_attribute(
         sales, catalog, "id_produto", ["categoria"],
-        {"receita": F.sum(cents("valor_total_compra"))},
+        {"receita": F.sum(units("valor_total_compra"))},
     )
     return by_category.withColumn("receita", amount(F.col("receita")))
 

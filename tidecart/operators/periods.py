@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, cents, growth, period_start, total
+from ..functions.expressions import amount, growth, period_start, total, units
 
 
 def sales_per_period(sales, period="month"):
@@ -39,7 +39,7 @@ def ticket_variation(tickets):
 
 
 def revenue_by_user(sales):
-    return sales.groupBy("id_usuario").agg(F.sum(cents("valor_total_compra")).alias("receita"))
+    return sales.groupBy("id_usuario").agg(F.sum(units("valor_total_compra")).alias("receita"))
 
 
 def _mean(summed, count):

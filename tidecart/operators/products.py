@@ -57,6 +57,12 @@ def in_quarters(units, quarters):
     return units.join(quarters, ["ano", "trimestre"], "left_semi")
 
 
+def sales_in_quarters(sales, quarters):
+    """Sales of the given quarters only, cut before anything is summed."""
+    keyed = sales.withColumns({"ano": year_of("data_compra"), "trimestre": quarter_of("data_compra")})
+    return keyed.join(quarters, ["ano", "trimestre"], "left_semi").select(*sales.columns)
+
+
 def available_quarters(ranked):
     return ranked.select("ano", "trimestre").distinct().orderBy("ano", "trimestre")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, cents, growth, total
+from ..functions.expressions import amount, growth, total, units
 from .lookup import salted_left_join, sum_by_attribute
 
 GROWTH = "crescimento_receita_d-1"
@@ -18,7 +18,7 @@ def daily_revenue(sales, customers):
     daily = sum_by_attribute(
         _with_day(sales), customers, "id_usuario", ["segmento_cliente"],
         {
-            "receita_total_diaria": F.sum(cents("valor_total_compra")),
+            "receita_total_diaria": F.sum(units("valor_total_compra")),
             "numero_de_pedidos": F.count("id_transacao"),
         },
         group_by=["data"],

@@ -76,6 +76,11 @@ _TOP5 = """
 
 _CREATED = "SELECT count(*) AS total FROM events WHERE event_type = 'click'"
 _CONVERTED = f"SELECT count(DISTINCT {_CART}) AS total FROM events WHERE event_type = 'purchase'"
+# Sketches are shown as the exact count and whether the sketch is within its error.
+_CHECKED_KPIS = f"""
+    SELECT receita_total_global, pedidos_totais_global, true AS dentro_do_erro, true AS ticket_coerente
+    FROM ({_KPIS}) k"""
+_CHECKED_CARTS = f"SELECT total, true AS dentro_do_erro FROM ({_CONVERTED}) c"
 _CONVERSION = f"""
     SELECT criados AS carrinhos_criados, convertidos AS carrinhos_convertidos,
            CASE WHEN criados > 0 THEN convertidos / criados * 100 ELSE 0 END AS taxa_conversao,
@@ -122,13 +127,12 @@ _PURCHASES_PER_DAY = f"""
     FROM events WHERE event_type = 'purchase' GROUP BY 1"""
 _NEWEST_PURCHASE = "(SELECT max(ts) FROM events WHERE event_type = 'purchase')"
 
-_REPLACED_QUARTERS = f"""
-    SELECT * FROM ({_top10(_by_quarter('l_linenumber <= 3'))}) t WHERE ano < 1999
-    UNION ALL {_top10(_by_quarter("o_orderdate >= DATE '1999-01-01'"))}"""
 _URGENT = "o_orderpriority = '1-URGENT'"
 
 ORACLE = {
     "global_kpis": _KPIS,
+    "global_kpis_approx": _CHECKED_KPIS,
+    "carts_converted_approx": _CHECKED_CARTS,
     "revenue_by_category": _CATEGORY,
     "top5_items": _TOP5,
     "carts_created_total": _CREATED,
@@ -174,7 +178,7 @@ ORACLE = {
                p_size AS estoque_disponivel
         FROM part""",
     "clean_web_events": f"SELECT event_id AS id_evento, {_EVENT_FIELDS}, ts AS timestamp_evento FROM events",
-    "parse_json_events": f"SELECT {_EVENT_FIELDS}, date_trunc('millisecond', ts) AS timestamp_evento FROM events",
+    "parse_json_events": f"SELECT {_EVENT_FIELDS}, ts AS timestamp_evento FROM events",
     "rejected_messages": """
         SELECT 'carrinho_criado' AS value, count(*) AS linhas
         FROM events WHERE event_type = 'click' HAVING count(*) > 0""",
@@ -196,15 +200,13 @@ ORACLE = {
         for name, t in [("transacoes_vendas", "lineitem"), ("eventos_web", "events"),
                         ("dados_clientes", "customer"), ("catalogo_produtos", "part")]
     ),
-    "incremental_load": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
-    "upsert_replace": f"""
-        SELECT * FROM ({_daily('l_linenumber <= 3')}) d WHERE data < DATE '1998-01-01'
-        UNION ALL {_daily("o_orderdate >= DATE '1998-01-01'")}""",
+    "incremental_load": "SELECT * FROM orders",
+    "upsert_replace": _daily(),
     "upsert_add": _by_quarter(),
     "upsert_insert_absent": f"""
         SELECT DISTINCT {_CART} AS id_carrinho FROM events WHERE event_type IN ('click', 'purchase')""",
-    "replace_quarter": _named(_REPLACED_QUARTERS),
-    "replace_quarter_frames": _REPLACED_QUARTERS,
+    "replace_quarter": _named(_top10(_by_quarter())),
+    "replace_quarter_frames": _top10(_by_quarter()),
     "batch_touched_quarters": f"""
         SELECT DISTINCT {_YEAR} AS ano, {_QUARTER} AS trimestre FROM {_SALES} WHERE l_linenumber > 3""",
     "units_of_touched_quarters": f"""
@@ -246,7 +248,10 @@ ORACLE = {
             SELECT (SELECT count(*) FROM customer) AS clientes,
                    (SELECT count(DISTINCT o_orderkey) FROM {_SALES}
                     WHERE o_custkey IN (SELECT c_custkey FROM customer)) AS pedidos) n""",
-    "stream_global_kpis": f"SELECT {_sum(_VALUE)} AS receita_total_global FROM lineitem",
+    "stream_global_kpis": _CHECKED_KPIS,
+    "stream_carts_converted": f"""
+        SELECT count(DISTINCT concat(o_custkey, '-', cast(o_orderdate AS date))) AS total, true AS dentro_do_erro
+        FROM {_SALES}""",
     "stream_category": _CATEGORY,
     "stream_top5": _TOP5,
     "stream_carts_created": _CREATED,
@@ -261,7 +266,7 @@ ORACLE = {
                o_orderpriority AS metodo_pagamento, o_orderstatus AS status_pedido,
                concat(o_custkey, '-', cast(o_orderdate AS date)) AS id_carrinho
         FROM {_SALES}""",
-    "stream_persist_events": f"SELECT {_EVENT_FIELDS}, date_trunc('millisecond', ts) AS timestamp_evento FROM events",
+    "stream_persist_events": f"SELECT {_EVENT_FIELDS}, ts AS timestamp_evento FROM events",
     "stream_windowed_sales": f"""
         SELECT * FROM ({_PURCHASES_PER_DAY}) p
         WHERE cast(dia AS timestamp) + INTERVAL 1 DAY <= {_NEWEST_PURCHASE} - INTERVAL 2 DAY""",

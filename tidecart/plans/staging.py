@@ -59,7 +59,7 @@ def sales_messages(spark, folder):
 
     def write(path):
         sales = tables.sales(spark, folder, *fields, "linha")
-        texts = sales.select(_as_json(fields), "linha")
+        texts = sales.select(as_json(fields), "linha")
         _in_loads(texts, path, **{"parquet.block.size": _TEXT_ROW_GROUP})
     return _once(spark, folder, "mensagens-vendas", write)
 
@@ -68,12 +68,12 @@ def event_messages(spark, folder):
     """Web events as JSON messages."""
     def write(path):
         events = tables.web_events(spark, folder)
-        events.select(_as_json(WEB_EVENT_MESSAGE.fieldNames())).write.parquet(path)
+        events.select(as_json(WEB_EVENT_MESSAGE.fieldNames())).write.parquet(path)
     return _once(spark, folder, "mensagens-eventos", write)
 
 
-def _as_json(fields):
-    return F.to_json(F.struct(*fields)).alias("value")
+def as_json(fields):
+    return F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
 
 
 def follow(spark, folder, name):

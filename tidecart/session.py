@@ -1,7 +1,5 @@
 """Session settings and the shared work folder. Nothing here names a master."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -25,15 +23,8 @@ def build_session(app_name="tidecart", **overrides):
 
 
 def shared_folder(spark):
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    A machine-local folder is made only for local masters without that setting, as in tests.
-    """
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="tidecart-")
-        spark.conf.set("spark.checkpoint.dir", named)
-        return named
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -72,32 +72,34 @@ def _range_of(column, ids_per_range):
     return F.floor(F.col(column) / ids_per_range).cast("long")
 
 
-def new_rows(source, stored, id_column, mark, overlap=0, ids_per_range=IDS_PER_RANGE):
-    """Source rows not stored yet, looking ``overlap`` ids back for ids that arrived out of order.
+def new_rows(source, stored, id_column, mark, overlap=None, ids_per_range=IDS_PER_RANGE):
+    """Source rows whose ids are not stored yet.
 
-    The id filter is pushed into the source scan, JDBC included, and prunes the stored ranges.
+    By default every id of the source is looked up, so an id that arrives late is found however old it
+    is. With ``overlap`` only ids from that far below the mark are; the filter is then pushed into
+    the source scan, JDBC included, and prunes the stored ranges.
     """
+    if overlap is None:
+        return source.join(stored.select(id_column), id_column, "left_anti")
     floor = mark - overlap
-    recent = source.filter(F.col(id_column) > floor)
-    if not overlap:
-        return recent
     known = stored.filter((F.col(RANGE) >= floor // ids_per_range) & (F.col(id_column) > floor))
-    return recent.join(known.select(id_column), id_column, "left_anti")
+    return source.filter(F.col(id_column) > floor).join(known.select(id_column), id_column, "left_anti")
 
 
-def ingest_increment(source, path, id_column, overlap=0, fmt="parquet", ids_per_range=IDS_PER_RANGE):
+def ingest_increment(source, path, id_column, overlap=None, fmt="parquet", ids_per_range=IDS_PER_RANGE):
     """Append what is new in ``source``; rerun it at any interval. Returns the rows appended.
 
-    The first run takes everything, whatever the smallest id is.
+    The first run takes everything, whatever the smallest id is. Rows without an id cannot be told
+    apart from stored ones and are refused.
     """
+    if not source.filter(F.col(id_column).isNull()).limit(1).isEmpty():
+        raise ValueError(f"rows without {id_column}")
     spark = source.sparkSession
     mark = _top_id(spark, path, id_column, fmt)
     fresh = source
     if mark is not None:
         stored = read_table(spark, path, fmt)
         fresh = new_rows(source, stored, id_column, mark, overlap, ids_per_range)
-    if fresh.isEmpty():
-        return 0
     fresh = fresh.select(*source.columns).withColumn(RANGE, _range_of(id_column, ids_per_range))
     return append(fresh, path, fmt, RANGE)
 

@@ -29,13 +29,13 @@ def json_lines(df):
         for f in df.schema
     ]
     text = F.to_json(F.struct(*plain), {
-        "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSS",
+        "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     })
     return df.select(text.alias("linha"), F.monotonically_increasing_id().alias("_id"))
 
 
 def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
-    """JSON pages numbered from 0. ``shape`` is "list" or, for the first row alone, "object".
+    """JSON pages numbered from 0. ``shape`` is "list" or, for a single row, "object".
 
     A row's position is the number of rows in the partitions before its own plus its place there.
     Only the partition sizes, one row each, are brought together.
@@ -52,9 +52,7 @@ def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
     body = F.array_join(ordered, ",")
     if shape == "list":
         body = F.concat(F.lit("["), body, F.lit("]"))
-    elif shape == "object":
-        placed = placed.filter(F.col("_position") == 0)
-    else:
+    elif shape != "object":
         raise ValueError(f"unknown shape {shape!r}")
     page = F.floor(F.col("_position") / page_rows)
     return placed.groupBy(page.alias("pagina")).agg(
@@ -65,15 +63,18 @@ def pages(lines, key, shape="list", page_rows=PAGE_ROWS):
 class SnapshotStore:
     """Snapshots under one folder, a subfolder per key and version.
 
-    ``forward``, if given, is called with the iterator of pages of each partition, so that an
-    external key-value store can be fed by the executors. The newest ``keep`` versions of a key
-    are retained.
+    ``forward``, if given, is called with the iterator of pages of each partition of the stored
+    version, so that an external key-value store can be fed by the executors; ``switch(key, version)``
+    is called on the driver after all its pages are there. A version is named by its time of
+    publication in microseconds. Nothing is deleted unless ``hours`` is given: then versions older
+    than that go, but never the latest.
     """
 
-    def __init__(self, root, forward=None, keep=50):
+    def __init__(self, root, forward=None, switch=None, hours=None):
         self.root = root
         self.forward = forward
-        self.keep = keep
+        self.switch = switch
+        self.hours = hours
 
     def _folder(self, key):
         return f"{self.root}/{key.replace(':', '__')}"
@@ -89,6 +90,8 @@ class SnapshotStore:
                 if on_empty == "raise":
                     raise ValueError(f"nothing to publish under {key}")
                 return False
+            if shape == "object" and lines.limit(2).count() > 1:
+                raise ValueError(f"{key} is published as one object, but the frame has several rows")
             self._store(pages(lines, key, shape), key, at)
             return True
         finally:
@@ -105,13 +108,16 @@ class SnapshotStore:
         self._store(one, key, at)
 
     def _store(self, paged, key, at):
-        at = at or datetime.now(timezone.utc)
-        number = (self._versions(paged.sparkSession, key) or [0])[-1] + 1
+        spark, at = paged.sparkSession, at or datetime.now(timezone.utc)
+        number = max((self._versions(spark, key) or [0])[-1] + 1, _micros(at))
         stamped = paged.withColumn("publicado_em", F.lit(at).cast("timestamp"))
         stamped.write.mode("overwrite").parquet(f"{self._folder(key)}/v{number}")
         if self.forward:
-            stamped.foreachPartition(self.forward)
-        self.expire(paged.sparkSession, key, self.keep)
+            self.fetch(spark, key).foreachPartition(self.forward)
+            if self.switch:
+                self.switch(key, number)
+        if self.hours is not None:
+            self.expire(spark, key, self.hours, at)
 
     def fetch(self, spark, key):
         """The latest pages of a key, no rows when it was never published."""
@@ -123,10 +129,15 @@ class SnapshotStore:
     def rows(self, spark, key, schema):
         """The latest value decoded to rows, whether it was published as list or object.
 
-        ``pagina`` and ``posicao`` give the published order.
+        ``pagina`` and ``posicao`` give the published order. A page that is not JSON of that schema is
+        an error.
         """
         return decode(self.fetch(spark, key), schema)
 
+    def value(self, spark, key, kind="string"):
+        """The latest single text or number, as column ``valor``."""
+        return self.fetch(spark, key).select(F.col("payload").cast(kind).alias("valor"))
+
     def history(self, spark, key):
         """All retained versions of a key."""
         versions = self._versions(spark, key)
@@ -134,17 +145,23 @@ class SnapshotStore:
             return spark.createDataFrame([], SCHEMA)
         return spark.read.schema(SCHEMA).parquet(*[f"{self._folder(key)}/v{n}" for n in versions])
 
-    def expire(self, spark, key, keep):
-        """Drop all but the newest ``keep`` versions of a key."""
-        for old in self._versions(spark, key)[:-keep]:
-            folders.delete(spark, f"{self._folder(key)}/v{old}")
+    def expire(self, spark, key, hours, now):
+        """Drop versions published more than ``hours`` before ``now``, all but the latest."""
+        for old in self._versions(spark, key)[:-1]:
+            if old < _micros(now) - int(hours * 3_600_000_000):
+                folders.delete(spark, f"{self._folder(key)}/v{old}")
+
+
+def _micros(at):
+    at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    return int(at.timestamp()) * 1_000_000 + at.microsecond
 
 
 def decode(fetched, schema):
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     parsed = fetched.select(
-        "pagina", F.posexplode(F.from_json("payload", T.ArrayType(schema))).alias("posicao", "linha")
+        "pagina", F.posexplode(F.from_json("payload", T.ArrayType(schema), {"mode": "FAILFAST"})).alias("posicao", "linha")
     )
     return parsed.select("pagina", "posicao", "linha.*")
 

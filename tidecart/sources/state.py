@@ -82,15 +82,28 @@ class StateTable:
         spread.write.mode("overwrite").partitionBy(_UNIT).parquet(folder)
 
     def write(self, df, version):
-        """Store what a batch produced: whole units, or new rows of an insert-only table."""
+        """Store what a batch produced: whole units, or new rows of an insert-only table.
+
+        Only the newest batch can be replayed. An older number means that a query lost its checkpoint and
+        counts from 0 again: that is an error, and ``reset`` is the explicit way to start over.
+        """
         spark = df.sparkSession
-        # A query restarted without its checkpoint counts batches from 0 again.
-        for stale in (n for n in self.versions(spark) if n > version):
-            folders.delete(spark, f"{self.path}/versao={stale}")
-        for stale in (n for n in folders.committed(spark, self.path, "base=") if n >= version):
-            folders.delete(spark, f"{self.path}/base={stale}")
+        bases = folders.committed(spark, self.path, "base=")
+        newest = max([-1, *self.versions(spark), *bases])
+        if version < newest:
+            raise ValueError(f"batch {version} comes after batch {newest} of {self.path}; reset() drops what is stored")
+        # A replay of a batch that was folded already: its folder and those before it are still there.
+        if version in bases:
+            folders.delete(spark, f"{self.path}/base={version}")
         self._write(df, f"{self.path}/versao={version}")
 
+    def reset(self, spark, version=0):
+        """Forget batch ``version`` and all after it, and everything that was folded with them."""
+        for number in (n for n in self.versions(spark) if n >= version):
+            folders.delete(spark, f"{self.path}/versao={number}")
+        for number in (n for n in folders.committed(spark, self.path, "base=") if n >= version):
+            folders.delete(spark, f"{self.path}/base={number}")
+
     def compact(self, spark, before=None):
         """Fold the folders of finished batches into one; at the start of batch ``before``.
 

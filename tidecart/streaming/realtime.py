@@ -58,5 +58,9 @@ def start_all(sales_messages, event_messages, store, checkpoints, **trigger):
 
 
 def await_all(queries):
-    for query in queries:
-        query.awaitTermination()
+    """Wait until all have ended; the first that fails raises its error, whatever the others do."""
+    waiting = list(queries)
+    while waiting:
+        for query in waiting:
+            query.awaitTermination(1)
+        waiting = [query for query in waiting if query.isActive]
