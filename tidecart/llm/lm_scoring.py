@@ -10,7 +10,8 @@ The model is never in one place. Documents are cut into slices. A slice asks for
 bigrams (64-bit hashes) and brings its own training counts with it; requests meet in hash buckets, where the
 counts of all slices are added up and sent back to each asker. There they make the part of the automaton that
 the slice's documents can reach. A word of a third of all tokens is one row for each slice, so no key is hot.
-Buckets grow in number with the text, so that each stays near ``bucket_bytes``.
+Buckets grow in number with the text, so that each stays near ``bucket_bytes``. Sorted keys travel as
+differences, by byte plane and compressed.
 
 Counts cover all training rows. Defined cases: null texts are empty; every text ends with an end token, so an
 empty one has one token; repeated rows count each time; rows with a null id are scored but not learned from.
@@ -39,20 +40,20 @@ _SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known
 
 
 def tokens_of(texts):
-    """(hashes of the distinct words and the end, codes of all tokens, offsets by text)."""
+    """(sorted keys of the distinct words and the end, codes of all tokens in that order, offsets by text)."""
     words, codes, offsets = words_of(pc.ascii_lower(texts))
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words] + [int(_END)], dtype=np.uint64)
+    keys, place = np.unique(np.array([xxhash.xxh64_intdigest(w) for w in words] + [int(_END)], dtype=np.uint64), return_inverse=True)
     ends = offsets[1:] + np.arange(len(texts))
-    stream = np.full(len(codes) + len(texts), len(words), dtype=np.int64)
+    stream = np.full(len(codes) + len(texts), place[-1], dtype=np.int64)
     inner = np.ones(len(stream), dtype=bool)
     inner[ends] = False
-    stream[inner] = codes
-    return hashes, stream, np.append(0, ends + 1)
+    stream[inner] = place[codes]
+    return keys, stream, np.append(0, ends + 1)
 
 
-def bigram_keys(hashes, stream, offsets):
+def bigram_keys(keys, stream, offsets):
     """A hash for each token with the one before it, or the start."""
-    current = hashes[stream]
+    current = keys[stream]
     before = np.roll(current, 1)
     before[offsets[:-1]] = _START
     mixed = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (current + np.uint64(0x7F4A7C15F39CC060))
@@ -60,9 +61,22 @@ def bigram_keys(hashes, stream, offsets):
     return mixed ^ (mixed >> np.uint64(29))
 
 
-def spread(hashes):
-    """Word keys in the order and range of buckets."""
-    return (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+def packed(numbers):
+    """Unsigned numbers as compressed byte planes."""
+    return zstandard.compress(np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpacked(data):
+    planes = np.frombuffer(zstandard.decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def packed_keys(keys):
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data):
+    return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
 def bucket_of(keys, bits):
@@ -72,8 +86,8 @@ def bucket_of(keys, bits):
 def _word_counts(batches):
     schema = pa.schema([("word", pa.int64()), ("n", pa.int64())])
     for batch in slices(batches, 2 * _SLICE):
-        hashes, stream, _ = tokens_of(texts_of(batch))
-        yield record(schema, hashes.view(np.int64), np.bincount(stream, minlength=len(hashes)))
+        keys, stream, _ = tokens_of(texts_of(batch))
+        yield record(schema, keys.view(np.int64), np.bincount(stream, minlength=len(keys)))
 
 
 def totals(docs, learned, text_column="text"):
@@ -87,21 +101,21 @@ def totals(docs, learned, text_column="text"):
 def _requests(bits):
     def run(batches):
         for batch in slices(batches, _SLICE):
-            hashes, stream, offsets = tokens_of(texts_of(batch))
+            words, stream, offsets = tokens_of(texts_of(batch))
             learned = batch.column("learned").to_numpy(zero_copy_only=False).astype(bool)
             lengths = np.diff(offsets)
             ids = batch.column("doc_id")
-            name = xxhash.xxh64_intdigest(repr(ids.to_pylist()).encode() + stream.tobytes() + hashes.tobytes()) >> 1
+            name = xxhash.xxh64_intdigest(repr(ids.to_pylist()).encode() + stream.tobytes() + words.tobytes()) >> 1
             counted = np.repeat(learned, lengths)
-            rows = [(name, _DOCUMENTS, int(name % (1 << bits)), hashes.tobytes(),
-                     zstandard.compress(stream.astype(np.int32).tobytes(), 1), ids.to_pylist(), learned.tolist(), lengths.tolist())]
-            for kind, keys in enumerate((spread(hashes)[stream], bigram_keys(hashes, stream, offsets))):
-                distinct, at = np.unique(keys, return_inverse=True)
-                counts = np.bincount(at[counted], minlength=len(distinct)).astype(np.uint32)
-                bounds = np.searchsorted(bucket_of(distinct, bits), np.arange((1 << bits) + 1))
+            rows = [(name, _DOCUMENTS, int(name % (1 << bits)), None, zstandard.compress(stream.astype(np.int32).tobytes(), 3),
+                     ids.to_pylist(), learned.tolist(), lengths.tolist())]
+            pairs, at = np.unique(bigram_keys(words, stream, offsets), return_inverse=True)
+            for kind, keys, places in ((0, words, stream), (1, pairs, at)):
+                counts = np.bincount(places[counted], minlength=len(keys))
+                bounds = np.searchsorted(bucket_of(keys, bits), np.arange((1 << bits) + 1))
                 for bucket in np.flatnonzero(np.diff(bounds)).tolist():
                     a, b = bounds[bucket], bounds[bucket + 1]
-                    rows.append((name, kind, bucket, distinct[a:b].tobytes(), counts[a:b].tobytes(), None, None, None))
+                    rows.append((name, kind, bucket, packed_keys(keys[a:b]), packed(counts[a:b]), None, None, None))
             yield record(_PARTS_ARROW, *zip(*rows))
     return run
 
@@ -114,14 +128,15 @@ def _answered(bucket):
         asked = bucket.filter(pa.array(kinds == kind))
         if not asked.num_rows:
             continue
-        keys = [np.frombuffer(k.as_buffer(), dtype=np.uint64) for k in asked.column("keys")]
-        counts = np.concatenate([np.frombuffer(n.as_buffer(), dtype=np.uint32) for n in asked.column("numbers")])
+        keys = [unpacked_keys(k.as_py()) for k in asked.column("keys")]
+        counts = np.concatenate([unpacked(n.as_py()) for n in asked.column("numbers")])
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)[at]
         bounds = np.append(0, np.cumsum([len(k) for k in keys]))
-        answers = pa.array([zstandard.compress(total[a:b].tobytes(), 1) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
-        nothing = pa.nulls(asked.num_rows, pa.binary())
-        out.append(asked.set_column(3, "keys", nothing).set_column(4, "numbers", answers))
+        answers = pa.array([packed(total[a:b]) for a, b in zip(bounds[:-1], bounds[1:])], pa.binary())
+        if kind == 1:  # the words' keys are needed again, to find the order of the bigrams
+            asked = asked.set_column(3, "keys", pa.nulls(asked.num_rows, pa.binary()))
+        out.append(asked.set_column(4, "numbers", answers))
     return pa.concat_tables([t.cast(_PARTS_ARROW) for t in out])
 
 
@@ -143,13 +158,12 @@ class BackoffAutomaton:
         return total
 
 
-def score_slice(hashes, stream, offsets, word_counts, bigram_counts, tokens, distinct, starts, pseudo):
+def score_slice(words, stream, offsets, word_counts, bigram_counts, tokens, distinct, starts, pseudo):
     """(n_known, base_score, score) by document; counts are in the order of the slice's sorted distinct keys."""
-    _, at = np.unique(spread(hashes), return_inverse=True)
-    counts = word_counts[at].astype(np.float64)
+    counts = word_counts.astype(np.float64)
     base = np.log10((counts + 0.5) / (tokens + 0.5 * (distinct + 1)))
-    _, first, at = np.unique(bigram_keys(hashes, stream, offsets), return_index=True, return_inverse=True)
-    begin, width = len(hashes), len(hashes) + 1
+    _, first = np.unique(bigram_keys(words, stream, offsets), return_index=True)
+    begin, width = len(words), len(words) + 1
     before = np.roll(stream, 1)
     before[offsets[:-1]] = begin
     context = np.append(counts, starts)
@@ -158,25 +172,27 @@ def score_slice(hashes, stream, offsets, word_counts, bigram_counts, tokens, dis
     automaton = BackoffAutomaton(base.tolist(), np.log10(pseudo / (context + pseudo)).tolist(),
                                  dict(zip((before[seen] * width + stream[seen]).tolist(), arcs.tolist())), width)
     known, summed = np.add.reduceat(counts[stream] > 0, offsets[:-1], dtype=np.int64), np.add.reduceat(base[stream], offsets[:-1])
-    words = stream.tolist()
-    return known, summed, [automaton.read(words[a:b], begin) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    codes = stream.tolist()
+    return known, summed, [automaton.read(codes[a:b], begin) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
 
 
 def _scored(tokens, distinct, starts, pseudo):
     def run(parts):
-        rows, answers, documents = parts.to_pylist(), {}, []
+        rows, answers, keys, documents = parts.to_pylist(), {}, {}, []
         for row in rows:
             if row["kind"] == _DOCUMENTS:
                 documents.append(row)
             else:
-                answers[row["kind"], row["bucket"]] = np.frombuffer(zstandard.decompress(row["numbers"]), dtype=np.uint64)
-        gathered = [[answers[key] for key in sorted(answers) if key[0] == kind] for kind in (0, 1)]
-        counts = [np.concatenate(g) if g else np.zeros(0, dtype=np.uint64) for g in gathered]
+                answers[row["kind"], row["bucket"]] = unpacked(row["numbers"])
+                if row["kind"] == 0:
+                    keys[row["bucket"]] = unpacked_keys(row["keys"])
+        words = np.concatenate([keys[bucket] for bucket in sorted(keys)])
+        counts = [np.concatenate([answers[key] for key in sorted(answers) if key[0] == kind]) for kind in (0, 1)]
         out = []
         for row in documents:
             stream = np.frombuffer(zstandard.decompress(row["numbers"]), dtype=np.int32).astype(np.int64)
             lengths = np.array(row["lengths"], dtype=np.int64)
-            known, base, score = score_slice(np.frombuffer(row["keys"], dtype=np.uint64), stream, np.append(0, np.cumsum(lengths)),
+            known, base, score = score_slice(words, stream, np.append(0, np.cumsum(lengths)),
                                              *counts, tokens, distinct, starts, pseudo)
             out.append(pa.Table.from_batches([record(_SCORES, row["ids"], lengths, known, base, score)]))
         return pa.concat_tables(out) if out else _SCORES.empty_table()
