@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidecart.operators import carts, products, revenue
+from tidecart.plans import staging
 from tidecart.plans.staging import new_folder
 from tidecart.schemas import CART_CREATED, GOLD, KEYS, TRANSACTION_MESSAGE
 from tidecart.sources import lake, messages
@@ -219,3 +220,14 @@ def test_late_rows_are_dropped_and_counted(spark):
 
 def test_message_schema_has_the_cart(spark):
     assert "id_carrinho" in TRANSACTION_MESSAGE.fieldNames() and len(GOLD) == 5
+
+
+@pytest.mark.parametrize("stage", ["event_messages", "bronze_events", "events_by_time", "sales_messages", "bronze_sales"])
+def test_staged_inputs_take_three_batches(spark, stage):
+    staged = getattr(staging, stage)(spark, "/root/testdata/sf0.001")
+    path, checkpoint = new_folder(spark, "copy"), new_folder(spark, "checkpoint")
+    query = staging.follow(spark, staged).writeStream.format("parquet").option("path", path).option(
+        "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sum(p["numInputRows"] > 0 for p in query.recentProgress) >= 3
+    assert spark.read.parquet(path).count() == spark.read.parquet(staged).count()

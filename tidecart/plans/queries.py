@@ -568,9 +568,7 @@ def stream_carts_converted(spark, folder):
 
 
 def _sales_stream(spark, folder):
-    path = staging.bronze_sales(spark, folder)
-    schema = spark.read.parquet(path).drop("carga").schema
-    return lake.stream_table(spark, path, schema, staging.files_per_batch(spark, path))
+    return staging.follow(spark, staging.bronze_sales(spark, folder))
 
 
 def _historical(spark, folder):
@@ -606,7 +604,7 @@ def stream_top10(spark, folder):
 @query
 def stream_abandonment(spark, folder):
     metrics, checkpoints = _historical(spark, folder)
-    events = staging.follow(spark, folder, "events")
+    events = staging.follow(spark, staging.bronze_events(spark, folder))
     metrics.start_carts(
         tables.web_events(spark, folder, events), tables.purchases(spark, folder, events),
         checkpoints, **ALL,
@@ -633,10 +631,19 @@ def stream_persist_events(spark, folder):
     return _persisted(spark, staging.event_messages(spark, folder), "eventos_web")
 
 
+@query
+def stream_rejects(spark, folder):
+    """Unreadable messages of a persisted topic: here cart creations that came as bare words."""
+    path, checkpoints = staging.new_folder(spark, "persisted"), staging.new_folder(spark, "checkpoint")
+    source = _message_stream(spark, staging.event_messages(spark, folder, CART_CREATED))
+    persist.start_persist(source, "eventos_web", path, checkpoints, **ALL).awaitTermination()
+    return persist.rejected(spark, persist.rejects_path(path)).groupBy("value").agg(F.count(F.lit(1)).alias("linhas"))
+
+
 @query
 def stream_windowed_sales(spark, folder):
-    """Daily windows that are final two days behind the newest purchase."""
-    sales = tables.purchases(spark, folder, staging.follow(spark, folder, "events"))
+    """Daily windows that are final two days behind the newest purchase; later sales of a final day are left out."""
+    sales = tables.purchases(spark, folder, staging.follow(spark, staging.events_by_time(spark, folder)))
     path = staging.new_folder(spark, "windows")
     windowed.windowed_sales(sales).writeStream.outputMode("append").format("parquet").option(
         "checkpointLocation", staging.new_folder(spark, "checkpoint")

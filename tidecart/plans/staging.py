@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
 from ..session import shared_folder
-from ..sources import tables
+from ..sources import lake, tables
 
 # Lines of one order arrive in different loads, so later loads touch days and quarters again.
 LOADS = 3
@@ -37,9 +37,11 @@ def _once(spark, folder, name, write):
 _TEXT_ROW_GROUP = 8 * 1024 * 1024
 
 
-def _in_loads(df, path, **options):
-    loads = df.withColumn("carga", F.expr(_LOAD)).drop("linha")
-    loads.write.options(**options).partitionBy("carga").parquet(path)
+def _in_loads(df, path, load=_LOAD, **options):
+    """One folder per load, written one after the other: streams take files by age."""
+    loads = df.withColumn("carga", F.expr(load) if isinstance(load, str) else load).drop("linha")
+    for number in range(LOADS):
+        loads.filter(F.col("carga") == number).drop("carga").write.options(**options).parquet(f"{path}/carga={number}")
 
 
 def files_per_batch(spark, path):
@@ -64,20 +66,45 @@ def sales_messages(spark, folder):
     return _once(spark, folder, "mensagens-vendas", write)
 
 
-def event_messages(spark, folder):
-    """Web events as JSON messages."""
+# Events of all times are in each load: carts come again, and most events of a load are late.
+_EVENT_LOAD = "cast(pmod(id_evento, 3) AS int)"
+
+
+def event_messages(spark, folder, unreadable=None):
+    """Web events as JSON messages; those of one type may be left as bare words, which are no JSON objects."""
     def write(path):
         events = tables.web_events(spark, folder)
-        events.select(as_json(WEB_EVENT_MESSAGE.fieldNames())).write.parquet(path)
-    return _once(spark, folder, "mensagens-eventos", write)
+        text = as_json(WEB_EVENT_MESSAGE.fieldNames())
+        if unreadable:
+            text = F.when(F.col("tipo_evento") == unreadable, F.col("tipo_evento")).otherwise(text).alias("value")
+        _in_loads(events.select(text, F.expr(_EVENT_LOAD).alias("carga")), path, "carga")
+    return _once(spark, folder, f"mensagens-eventos-{unreadable or 'todas'}", write)
+
+
+def bronze_events(spark, folder):
+    """The events table in loads of interleaved ids."""
+    def write(path):
+        _in_loads(tables.table(spark, folder, "events"), path, "cast(pmod(event_id, 3) AS int)")
+    return _once(spark, folder, "eventos", write)
+
+
+def events_by_time(spark, folder):
+    """The events table in three loads by time; of the first third every fiftieth comes in the last load."""
+    def write(path):
+        events = tables.table(spark, folder, "events")
+        span = events.agg(F.struct(F.min("ts").alias("a"), F.max("ts").alias("b")).alias("s")).scalar()
+        place = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(span["a"].cast("timestamp"))) * 3
+                        / (F.unix_micros(span["b"].cast("timestamp")) - F.unix_micros(span["a"].cast("timestamp")) + 1))
+        late = (place == 0) & (F.col("event_id") % 50 == 0)
+        _in_loads(events, path, F.when(late, 2).otherwise(place.cast("int")))
+    return _once(spark, folder, "eventos-por-tempo", write)
 
 
 def as_json(fields):
     return F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).alias("value")
 
 
-def follow(spark, folder, name):
-    """Stream one of the given tables."""
-    schema = tables.table(spark, folder, name).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    return reader.parquet(folder)
+def follow(spark, path):
+    """Stream a staged folder, a third of its files in each micro-batch."""
+    schema = spark.read.parquet(path).drop("carga").schema
+    return lake.stream_table(spark, path, schema, files_per_batch(spark, path))

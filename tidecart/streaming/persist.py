@@ -1,8 +1,8 @@
-"""Messages persisted to bronze, one folder per micro-batch."""
+"""Messages persisted to bronze, one folder per micro-batch; unreadable ones to a folder of their own."""
 
 from functools import partial
 
-from ..operators.cleaning import parse_messages
+from ..operators.cleaning import parse_messages, rejected_messages
 from ..schemas import TRANSACTION_MESSAGE, TRANSACTION_ROW, WEB_EVENT_MESSAGE, WEB_EVENT_ROW
 from ..sources import folders
 
@@ -25,19 +25,39 @@ def write_batch(path, batch, batch_id):
     batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
 
 
-def start_persist(messages, table, path, checkpoints, sink=None, **trigger):
+def start_persist(messages, table, path, checkpoints, sink=None, rejects=None, **trigger):
     """Persist one topic. A failed batch is retried by the stream, never dropped.
 
-    ``sink(batch, batch_id)`` replaces the parquet folders by another idempotent writer.
+    The text of unreadable messages goes to ``rejects`` (by default ``path`` with ``-rejeitados``) under
+    the same batch id, so nothing is gone once the offset is committed. ``sink(batch, batch_id)``
+    replaces the parquet folders of the rows by another idempotent writer.
     """
+    write = sink or partial(write_batch, path)
+    refuse = partial(write_batch, rejects or rejects_path(path))
+
+    def store(batch, batch_id):
+        write(table_rows(batch, table), batch_id)
+        refuse(rejected_messages(batch, _TOPICS[table][0]), batch_id)
+
     return (
-        table_rows(messages, table).writeStream.queryName(f"persist_{table}")
-        .foreachBatch(sink or partial(write_batch, path))
+        messages.writeStream.queryName(f"persist_{table}").foreachBatch(store)
         .option("checkpointLocation", f"{checkpoints}/persist_{table}")
         .trigger(**(trigger or {"processingTime": INTERVAL})).start()
     )
 
 
+def rejects_path(path):
+    return f"{path}-rejeitados"
+
+
+def rejected(spark, path):
+    """The unreadable messages of finished batches."""
+    batches = folders.committed(spark, path, "lote=")
+    if not batches:
+        return spark.createDataFrame([], "value string")
+    return spark.read.schema("value string").parquet(*[f"{path}/lote={n}" for n in batches])
+
+
 def persisted(spark, path, table):
     """All rows of finished batches."""
     schema, columns = _TOPICS[table]
