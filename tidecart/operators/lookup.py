@@ -1,48 +1,23 @@
-"""Left joins from facts to dimensions that hold up for large dimensions and hot keys."""
+"""Sums of facts by the attributes of a dimension, for dimensions and keys of any size."""
 
 from pyspark.sql import functions as F
 
 
-def plan_size(df):
-    """Catalyst's size estimate in bytes for a frame (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df):
-    """True when the estimate is within the session's own broadcast threshold."""
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= plan_size(df) <= threshold
-
-
 def sum_by_attribute(fact, dimension, key, attributes, measures, group_by=()):
     """Sum additive ``measures`` of ``fact`` by dimension attributes (left join on ``key``).
 
-    A dimension within the broadcast threshold is joined first: facts are not shuffled at all.
-    Beyond it facts are summed per key before the join, so that a key holding a third of all
-    rows reaches the join as one row per group.
+    Facts are summed per key before the join, within each task before they are shuffled, so a key
+    holding a third of all rows reaches the join as one row per group. The join then has at most one
+    row for each key and group, and the optimizer chooses how to run it from what it sees at run time.
     """
-    dimension = dimension.select(key, *attributes)
-    groups = [*group_by, *attributes]
-    if fits_broadcast(dimension):
-        joined = fact.join(dimension, key, "left")
-        return joined.groupBy(*groups).agg(*[e.alias(n) for n, e in measures.items()])
     per_key = fact.groupBy(key, *group_by).agg(*[e.alias(n) for n, e in measures.items()])
     return (
-        per_key.join(dimension, key, "left")
-        .groupBy(*groups)
+        per_key.join(dimension.select(key, *attributes), key, "left")
+        .groupBy(*group_by, *attributes)
         .agg(*[F.sum(n).alias(n) for n in measures])
     )
 
 
-def salted_left_join(fact, dimension, key, spread_by, salts=16):
-    """Left join row by row, for streams where facts cannot be summed before the join.
-
-    Without adaptive execution a hot key would land in one task. When the dimension is too
-    large to broadcast, each of its rows is repeated per salt and facts pick a salt from
-    ``spread_by``, so a hot key is served by ``salts`` tasks.
-    """
-    if fits_broadcast(dimension):
-        return fact.join(dimension, key, "left")
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return fact.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
+def present(dimension):
+    """A dimension as it is now: a frame, or a function that reads it again."""
+    return dimension() if callable(dimension) else dimension

@@ -16,14 +16,15 @@ def units_by_quarter(sales):
 def last_complete_quarters(sales, quarters=4, newest=None):
     """Sales in the ``quarters`` before the quarter of the newest sale.
 
-    ``newest`` is a one-row frame with that timestamp, by default taken from ``sales``. It enters
-    the filter as a scalar subquery: no driver round trip, and no sales means no rows.
+    ``newest`` is a one-row frame with that timestamp, by default taken from ``sales``. Both bounds
+    enter the filter as one scalar subquery: no driver round trip, and no sales means no rows.
     """
     newest = sales.agg(F.max("data_compra").alias("newest")) if newest is None else newest
-    start = newest.select(F.date_trunc("quarter", F.col(newest.columns[0])).alias("start"))
-    first = start.select(F.add_months("start", -3 * quarters).cast("timestamp"))
+    start = F.date_trunc("quarter", F.col(newest.columns[0]))
+    first = F.add_months(start, -3 * quarters).cast("timestamp")
+    bounds = newest.select(F.struct(first.alias("first"), start.alias("end"))).scalar()
     bought = F.col("data_compra")
-    return sales.filter((bought >= first.scalar()) & (bought < start.scalar()))
+    return sales.filter((bought >= bounds["first"]) & (bought < bounds["end"]))
 
 
 def rank_in_quarter(units, k=10):
@@ -37,8 +38,13 @@ def rank_in_quarter(units, k=10):
 
 
 def with_product_names(ranked, catalog):
-    """Names are looked up after ranking, for at most k rows per quarter."""
-    names = catalog.select("id_produto", "nome_produto")
+    """Names are looked up after ranking, for at most k rows per quarter.
+
+    The catalog is first cut to the ranked ids, at most k for each quarter: few enough to be broadcast
+    whatever its size, so it is never shuffled.
+    """
+    names = catalog.select("id_produto", "nome_produto").join(
+        F.broadcast(ranked.select("id_produto").distinct()), "id_produto", "left_semi")
     return ranked.join(names, "id_produto", "left").select(
         "ano", "trimestre", "rank", "id_produto", "nome_produto", "unidades_vendidas"
     )

@@ -3,8 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, growth, total, units
-from .lookup import salted_left_join, sum_by_attribute
+from ..functions.expressions import SCALE, amount, growth, units
+from .lookup import sum_by_attribute
+from .upsert import upsert_add
 
 GROWTH = "crescimento_receita_d-1"
 
@@ -26,16 +27,10 @@ def daily_revenue(sales, customers):
     return daily.withColumn("receita_total_diaria", amount(F.col("receita_total_diaria")))
 
 
-def daily_revenue_stream(sales, customers):
-    """The same totals as a running streaming aggregate (stream-static left join)."""
-    segments = customers.select("id_usuario", "segmento_cliente")
-    joined = salted_left_join(
-        _with_day(sales), segments, "id_usuario", ["id_transacao", "id_pedido", "id_produto"]
-    )
-    return joined.groupBy("data", "segmento_cliente").agg(
-        total("valor_total_compra").alias("receita_total_diaria"),
-        F.count("id_transacao").alias("numero_de_pedidos"),
-    )
+def added(stored, new):
+    """Stored totals with those of newly arrived sales added; sums are rounded to what amounts are kept with."""
+    both = upsert_add(stored, new, ["data", "segmento_cliente"], ["receita_total_diaria", "numero_de_pedidos"])
+    return both.withColumn("receita_total_diaria", F.round("receita_total_diaria", SCALE))
 
 
 def _by_segment():

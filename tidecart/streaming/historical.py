@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions.expressions import same_keys
 from ..operators import carts, products, revenue, upsert
+from ..operators.lookup import present
 from ..schemas import CART_CREATED, GOLD, KEYS
 from ..sources.state import StateTable, gold_tables
 from .adaptive import adaptive
@@ -20,7 +21,11 @@ COUNTERS = T.StructType([
 
 
 class HistoricalMetrics:
-    """Gold tables under ``root``, snapshots in ``store``; dimensions are plain frames."""
+    """Gold tables under ``root``, snapshots in ``store``.
+
+    A dimension is a frame, or a function that reads it; the function is called in every batch, so that new
+    customers and products are found.
+    """
 
     def __init__(self, root, store, customers=None, catalog=None, as_of=None, buckets=64,
                  compact_every=50):
@@ -44,6 +49,13 @@ class HistoricalMetrics:
 
     def daily_revenue(self, totals, batch_id):
         """New totals of some days: replace them and refresh the growth that depends on them."""
+        self._store_days(totals, batch_id, lambda before, new: upsert.upsert_replace(before, new, ["data", "segmento_cliente"]))
+
+    def add_sales(self, sales, batch_id):
+        """New sales: summed per user and day, then by segment, and added to the totals of their days."""
+        self._store_days(revenue.daily_revenue(sales, present(self.customers)), batch_id, revenue.added)
+
+    def _store_days(self, totals, batch_id, merge):
         spark = totals.sparkSession
         table = self.gold["receita_diaria"]
         self._compact(spark, batch_id, table)
@@ -55,7 +67,7 @@ class HistoricalMetrics:
                 return
             year_before = table.units_of(days.select(F.add_months("data", -12).alias("data")))
             before = table.read(spark, batch_id, years | year_before).drop(revenue.GROWTH)
-            merged = upsert.upsert_replace(before, totals, ["data", "segmento_cliente"])
+            merged = merge(before, totals)
             # Rewritten years see the year before them, so growth on their first day is right.
             refreshed = revenue.growth_since_yesterday(merged)
             table.write(table.in_units(refreshed, years), batch_id)
@@ -81,7 +93,7 @@ class HistoricalMetrics:
         finally:
             partial.unpersist()
         ranked = products.rank_in_quarter(units.read(spark, batch_id + 1, quarters))
-        named = products.with_product_names(ranked, self.catalog).persist()
+        named = products.with_product_names(ranked, present(self.catalog)).persist()
         try:
             stored = top10.read(spark, batch_id, top10.units_of(named))
             # Whole quarters give way, so a product that drops out leaves no stale rank behind.
@@ -152,8 +164,7 @@ class HistoricalMetrics:
         return (writer.trigger(**trigger) if trigger else writer).start()
 
     def start_daily_revenue(self, sales, checkpoints, **trigger):
-        totals = revenue.daily_revenue_stream(sales, self.customers)
-        return self._start("daily_revenue", totals, self.daily_revenue, checkpoints, trigger)
+        return self._start("daily_revenue", sales, self.add_sales, checkpoints, trigger)
 
     def start_top_products(self, sales, checkpoints, **trigger):
         return self._start("top_products", sales, self.top_products, checkpoints, trigger)
