@@ -58,7 +58,14 @@ def test_reload_reports_rows_and_replaces_the_schema(spark):
     root = new_folder(spark, "bronze")
     assert lake.full_reload({"t": spark.range(5)}, root) == {"t": 5}
     assert lake.full_reload({"t": spark.range(3).select(F.col("id").alias("x"))}, root) == {"t": 3}
-    assert lake.read_table(spark, f"{root}/t").columns == ["x"]
+    assert lake.current(spark, f"{root}/t").columns == ["x"]
+    failing = spark.range(3).select(F.raise_error(F.lit("broken source")).alias("x"))
+    with pytest.raises(Exception, match="broken source"):
+        lake.full_reload({"t": failing}, root)
+    begun = lake.current(spark, f"{root}/t")
+    assert begun.count() == 3
+    assert lake.full_reload({"t": spark.range(7)}, root) == {"t": 7}
+    assert begun.count() == 3 and lake.current(spark, f"{root}/t").count() == 7
 
 
 class FakeDatabase:

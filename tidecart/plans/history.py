@@ -26,7 +26,7 @@ def recompute(sales, customers, events, gold_root, store, as_of=None, finished=N
     }
     for name, metric in metrics.items():
         lake.overwrite(metric, f"{gold_root}/{name}")
-    stored = {name: lake.read_table(spark, f"{gold_root}/{name}") for name in metrics}
+    stored = {name: lake.current(spark, f"{gold_root}/{name}") for name in metrics}
     growth = revenue.newest_first(stored["crescimento_receita"])
     store.publish(growth, KEYS["batch_growth"], on_empty="raise")
     ranking = products.newest_quarters_first(stored["produtos_mais_vendidos"])

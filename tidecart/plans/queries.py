@@ -283,7 +283,7 @@ def full_reload(spark, folder):
     source = {"catalogo_produtos": clean_products(spark, folder)}
     lake.full_reload(source, root)
     lake.full_reload(source, root)
-    return lake.read_table(spark, f"{root}/catalogo_produtos")
+    return lake.current(spark, f"{root}/catalogo_produtos")
 
 
 @query
@@ -297,7 +297,7 @@ def full_reload_audit(spark, folder):
         "catalogo_produtos": clean_products(spark, folder),
     }
     lake.full_reload(source, root)
-    return lake.row_counts({name: lake.read_table(spark, f"{root}/{name}") for name in source})
+    return lake.row_counts({name: lake.current(spark, f"{root}/{name}") for name in source})
 
 
 @query

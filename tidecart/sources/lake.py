@@ -29,13 +29,32 @@ def _counted(df):
     return df.observe(counter, F.count(F.lit(1)).alias("linhas")), counter
 
 
+VERSION = "versao="
+
+
 def overwrite(df, path, fmt="parquet"):
-    """Replace a table and its schema; the row count comes from the write itself."""
+    """Replace a table and its schema by a new version folder; the row count comes from the write itself.
+
+    ``current`` sees the new version when its write has finished, so a failed reload leaves the table as
+    it was. The version before stays for readers that have begun; older ones go.
+    """
+    spark = df.sparkSession
+    versions = folders.committed(spark, path, VERSION)
     observed, counter = _counted(df)
-    observed.write.format(fmt).mode("overwrite").save(path)
+    observed.write.format(fmt).mode("overwrite").save(f"{path}/{VERSION}{(versions or [0])[-1] + 1}")
+    for old in versions[:-1]:
+        folders.delete(spark, f"{path}/{VERSION}{old}")
     return counter.get["linhas"]
 
 
+def current(spark, path, fmt="parquet"):
+    """The latest finished version of a table that is replaced as a whole."""
+    versions = folders.committed(spark, path, VERSION)
+    if not versions:
+        raise FileNotFoundError(path)
+    return read_table(spark, f"{path}/{VERSION}{versions[-1]}", fmt)
+
+
 def append(df, path, fmt="parquet", *partition_by):
     observed, counter = _counted(df)
     observed.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
