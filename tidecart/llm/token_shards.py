@@ -38,7 +38,7 @@ from ..session import shared_folder
 from .byte_bpe import Recent
 from .texts import record, slices, texts_of
 
-_SLICE = 4 << 20
+_SLICE = 12 << 20
 _KEYS_IN_BUCKET = 4
 _SHARDS = ("part int, shard int, start_in_part long, n_ids long, width int, earlier long, doc_ids array<long>, payload binary, "
            "seeds binary, slots binary")
@@ -51,7 +51,7 @@ _FOUND = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens",
 class Encoder:
     """The tokenizers library behind a cache of the ids of words after a space."""
 
-    def __init__(self, model_file, cached=150_000):
+    def __init__(self, model_file, cached=400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,65 +61,78 @@ class Encoder:
         self.begins = np.zeros(self.size, dtype=bool)
         for token, number in self.library.get_vocab().items():
             self.begins[number] = token.startswith("Ġ")
-        self.known = Recent(lambda _: None, cached)
+        self.young, self.old, self.cached = {}, {}, cached  # two generations: what is not used falls out
+        self.first = Recent(self.whole, 50_000)
 
     def whole(self, text):
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int64)
+        """Ids as the bytes of 4-byte numbers, which join and store compactly."""
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int32).tobytes()
 
     def after_space(self, words):
         """Ids of each word with a space before it; None for words that a neighbour can change."""
-        found = [self.known.young.get(w) or self.known.old.get(w) for w in words]
-        new = [i for i, (w, ids) in enumerate(zip(words, found)) if ids is None and w and not w[0].isspace() and not w[-1].isspace()]
-        # One text of all new words: each starts where a token starts with its space.
+        if len(self.young) > self.cached:
+            self.old, self.young = self.young, {}
+        young, old, found, new = self.young, self.old, [None] * len(words), []
+        for i, word in enumerate(words):
+            ids = young.get(word)
+            if ids is None:
+                ids = old.get(word)
+                if ids is None:
+                    if word and not word[0].isspace() and not word[-1].isspace():
+                        new.append(i)
+                    continue
+                young[word] = ids
+            found[i] = ids
+        # One text of many new words: each starts where a token starts with its space.
         for begin in range(0, len(new), 2000):
             part = new[begin:begin + 2000]
-            ids = self.library.encode_batch_fast([" " + " ".join(words[i] for i in part)], add_special_tokens=False)[0].ids
-            places = np.flatnonzero(self.begins[ids]).tolist() + [len(ids)]
+            ids = self.library.encode_batch_fast([" " + " ".join([words[i] for i in part])], add_special_tokens=False)[0].ids
+            ids = np.array(ids, dtype=np.int32)
+            places = (4 * np.flatnonzero(self.begins[ids])).tolist() + [4 * len(ids)]
             if len(places) != len(part) + 1:
                 raise ValueError("words could not be told apart")
+            data = ids.tobytes()
             for i, a, b in zip(part, places[:-1], places[1:]):
-                found[i] = tuple(ids[a:b])
-        for w, ids in zip(words, found):
-            if ids is not None and w not in self.known.young:
-                if len(self.known.young) >= self.known.limit:
-                    self.known.old, self.known.young = self.known.young, {}
-                self.known.young[w] = ids
+                found[i] = young[words[i]] = data[a:b]
         return found
 
     def encode(self, texts, end):
         """(ids of all texts, each ended with ``end``; offsets by text)."""
         pieces = pc.split_pattern(texts, " ")
         coded = pieces.flatten().dictionary_encode()
-        codes, bounds = coded.indices.to_numpy().astype(np.int64), pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
-        words = coded.dictionary.to_pylist()
-        ids = self.after_space(words)
-        unsafe = np.array([i is None for i in ids], dtype=bool)
-        lengths = np.array([len(i or ()) for i in ids], dtype=np.int64)
-        flat = np.fromiter((x for i in ids if i for x in i), dtype=np.int64, count=int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
-        first = bounds[:-1]
-        heads = {}
-        bad = np.add.reduceat(np.append(unsafe[codes], False).astype(np.int64), bounds[:-1])
-        bad -= unsafe[codes[first]]  # the first word has no space before it and is encoded as it stands
-        special = np.zeros(len(texts), dtype=bool)
+        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        bounds = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
+        entries = self.after_space(words)
+        unsafe = np.array([ids is None for ids in entries], dtype=bool)
+        heads, sizes = bounds[:-1], np.diff(bounds)
+        # The first word has no space before it; a text with special tokens or with words that depend on each other is one entry.
+        alone = np.add.reduceat(unsafe[codes].astype(np.int64), heads) > unsafe[codes[heads]]
         for token in self.special:
-            special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        out, sizes = [], []
-        for row in range(len(texts)):
-            a, b = bounds[row], bounds[row + 1]
-            head = words[codes[a]]
-            if bad[row] or special[row] or head and head[-1].isspace() or not head and b - a > 1:
-                got = self.whole(texts[row].as_py())
-            else:
-                if head not in heads:
-                    heads[head] = self.whole(head)
-                inner = codes[a + 1:b]
-                held = lengths[inner]
-                at = np.repeat(starts[inner] - (np.cumsum(held) - held), held) + np.arange(held.sum())
-                got = np.concatenate([heads[head], flat[at]])
-            out += [got, [end]]
-            sizes.append(len(got) + 1)
-        return np.concatenate(out).astype(np.int64), np.append(0, np.cumsum(sizes))
+            alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        first = [words[c] for c in codes[heads].tolist()]
+        alone |= np.array([w[-1].isspace() if w else n > 1 for w, n in zip(first, sizes.tolist())], dtype=bool)
+        inner = ~np.repeat(alone, sizes)
+        inner[heads] = True
+        codes = codes.copy()
+        codes[heads] = len(entries) + np.arange(len(heads))
+        entries += [self.whole(texts[row].as_py()) if single else self.first(word) for row, (single, word) in enumerate(zip(alone.tolist(), first))]
+        entries.append(np.array([end], dtype=np.int32).tobytes())
+        entries = [e or b"" for e in entries]
+        lengths = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        flat = np.frombuffer(b"".join(entries), dtype=np.int32)
+        begins = np.cumsum(lengths) - lengths
+        # The entries of each text, then the end.
+        held = np.where(alone, 1, sizes)
+        ends = np.cumsum(held + 1) - 1
+        stream = np.full(int(held.sum()) + len(held), len(entries) - 1, dtype=np.int64)
+        filled = np.ones(len(stream), dtype=bool)
+        filled[ends] = False
+        stream[filled] = codes[inner]
+        taken = lengths[stream]
+        total = np.cumsum(taken)
+        at = np.repeat(begins[stream] - (total - taken), taken)
+        at += np.arange(len(at))
+        return flat[at], np.append(0, total[ends])
 
 
 @lru_cache(maxsize=2)
