@@ -29,8 +29,8 @@ EVIDENCE = 50.0
 LONGEST = 48
 #: Probability of a letter that no piece covers, and weight of the common distribution in smoothing.
 UNKNOWN, PRIOR = 1e-7, 50.0
-#: Bytes of text scored at a time: the lattice of their distinct words takes some sixty times as much memory.
-_SLICE = 8 << 20
+#: Bytes of text scored at a time, and words in one lattice: 20,000 take some 80 MB.
+_SLICE, _WORDS = 2 << 20, 20_000
 _RESULT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -236,16 +236,39 @@ def fit(docs, vocabulary, per_language=500, rounds=3, id_column="doc_id", lang_c
     return languages, table
 
 
+class Model:
+    """Trie, languages and table, and in each worker the log-probabilities of up to ``cached`` recent words."""
+
+    def __init__(self, trie, languages, table, cached=250_000):
+        self.trie, self.languages, self.table, self.cached = trie, languages, table, cached
+        self.places, self.rows = {}, None
+
+    def __getstate__(self):
+        return {**self.__dict__, "places": {}, "rows": None}
+
+    def log_probabilities(self, words):
+        """By word and language; words not seen lately are computed together and remembered."""
+        if self.rows is None or len(self.places) + len(words) > len(self.rows):
+            self.places, self.rows = {}, np.zeros((self.cached + len(words), self.table.shape[1]))
+        places = self.places
+        new = [word for word in words if word not in places]
+        if new:
+            for part in (new[i:i + _WORDS] for i in range(0, len(new), _WORDS)):
+                begin = len(places)
+                self.rows[begin:begin + len(part)] = log_probabilities(self.trie, self.table, part)
+                places.update(zip(part, range(begin, begin + len(part))))
+        return self.rows[np.fromiter(map(places.__getitem__, words), dtype=np.int64, count=len(words))]
+
+
 def predictions(model, texts):
     """(language, score) of each text."""
-    trie, languages, table = model
-    width = table.shape[1]
+    languages, width = model.languages, model.table.shape[1]
     words, codes, offsets = words_of(texts)
     bare = [letters(word) for word in words]
     distinct = sorted({word for word in bare if word})
     place = {word: i for i, word in enumerate(distinct)}
     rows = np.zeros((len(distinct) + 1, width + 1))  # the last row: words without letters
-    rows[:-1, :width] = log_probabilities(trie, table, distinct)
+    rows[:-1, :width] = model.log_probabilities(distinct)
     rows[:-1, width] = 1
     at = np.array([place.get(word, len(distinct)) for word in bare], dtype=np.int64)
     sums = sums_by_text(rows[at[codes]], offsets)
@@ -275,7 +298,7 @@ def _keeper(model, text_column, least):
 
 
 def shared_model(docs, languages, table, vocabulary):
-    return docs.sparkSession.sparkContext.broadcast((Trie(vocabulary), languages, with_unknown(table)))
+    return docs.sparkSession.sparkContext.broadcast(Model(Trie(vocabulary), languages, with_unknown(table)))
 
 
 def identify(docs, languages, table, vocabulary, id_column="doc_id", text_column="text"):

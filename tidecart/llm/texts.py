@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text that a task works on at a time (a single longer text is a slice of its own).
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def text_or_empty(column="text"):
