@@ -264,6 +264,18 @@ def test_near_duplicates(spark, odd, small, source):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted({c for _, _, c in brute.near(rows) if c is not None})
 
 
+def test_near_copies_of_null_and_repeated_ids(spark):
+    text = lambda name: " ".join(f"{name}{i * i}" for i in range(30))
+    near = " ".join(text("near").split()[:-1] + ["changed"])
+    # Near copies of each other by construction; everything else is far from everything.
+    assert (simhash_golay.fingerprint(near.encode()) ^ simhash_golay.fingerprint(text("near").encode())).bit_count() <= simhash_golay.RADIUS
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (None, text("c").upper()), (None, text("c")),
+            (3, text("near")), (14, near), (14, text("d")), (14, text("e")), (None, near), (20, text("f")), (None, text("f"))]
+    kept = simhash_golay.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((str(r.doc_id), r.text.lower()) for r in kept)
+    assert found == sorted((str(i), text(n)) for i, n in ((None, "a"), (None, "b"), (None, "c"), (3, "near"), (14, "d"), (14, "e"), (20, "f")))
+
+
 def test_golay_keys_meet_within_four_bits():
     random = np.random.default_rng(2)
     code = simhash_golay.Golay()

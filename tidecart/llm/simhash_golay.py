@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .texts import cut, record, slices, texts_of
+from .exact_dedup import sha256
+from .texts import cut, record, slices, text_or_empty, texts_of
 
 SEED, RADIUS = 42, 4
 WIDTHS = (23, 23, 18)
@@ -56,20 +57,22 @@ def fingerprint(data, shingle_words=4):
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(shingle_words):
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+def _fingerprints(shingle_words, digest):
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())] + [("digest", pa.binary())] * digest)
 
     def run(batches):
         for batch in slices(batches):
-            found = [fingerprint(t.as_buffer().to_pybytes(), shingle_words) for t in texts_of(batch).cast(pa.binary())]
-            yield record(schema, batch.column(0), np.array(found, dtype=np.uint64).view(np.int64))
+            texts = [t.as_buffer().to_pybytes() for t in texts_of(batch).cast(pa.binary())]
+            found = [fingerprint(t, shingle_words) for t in texts]
+            yield record(schema, batch.column(0), np.array(found, dtype=np.uint64).view(np.int64),
+                         *[[sha256(t) for t in texts]] * digest)
     return run
 
 
-def fingerprints(docs, shingle_words=4, id_column="doc_id", text_column="text"):
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
+def fingerprints(docs, shingle_words=4, id_column="doc_id", text_column="text", digest=False):
+    """doc_id and fp (the 64 bits as a signed long) of every row, and on request the SHA-256 of its text."""
     return (docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-            .mapInArrow(_fingerprints(shingle_words), "doc_id long, fp long"))
+            .mapInArrow(_fingerprints(shingle_words, digest), "doc_id long, fp long" + ", digest binary" * digest))
 
 
 class Golay:
@@ -215,24 +218,36 @@ def components(edges):
         before = now
 
 
+def rooted(distinct, radius=RADIUS):
+    """``distinct`` (fp, low) with root, one fingerprint for each component."""
+    roots = components(links(distinct.select("fp"), radius))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs, radius=RADIUS, shingle_words=4, id_column="doc_id", text_column="text"):
     """One row per row of ``docs``: doc_id, fp, component_id (smallest doc_id reachable over links)."""
     marked = cut(fingerprints(docs, shingle_words, id_column, text_column))
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
+    named = rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), radius)
+    smallest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = named.join(smallest, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs, id_column="doc_id", text_column="text", **options):
-    """The row with the smallest id of each group of near-duplicates, with all columns; of repeated ids one row."""
+def keep_one(docs, radius=RADIUS, shingle_words=4, id_column="doc_id", text_column="text"):
+    """The row with the smallest id of each group of near-duplicates, with all columns.
+
+    Null ids lose against any id; of different texts under the smallest id the one with the smallest SHA-256
+    stays, and of a repeated row (same id, equal text) one. Other groups do not matter to a row, whatever its id.
+    """
     no_id = F.lit(-(2 ** 63))
-    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("__id")).distinct()
-    own = docs.withColumn("__own_id", F.coalesce(F.col(id_column).cast("long"), no_id))
-    first = F.row_number().over(Window.partitionBy("__own_id").orderBy(F.xxhash64(text_column)))
-    return own.join(found, F.col("__own_id") == F.col("__id"), "left_semi").withColumn("__place", first).filter(
-        "__place = 1").select(*[f"`{c}`" for c in docs.columns])
+    marked = cut(fingerprints(docs, shingle_words, id_column, text_column, digest=True))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")
+    named = rooted(marked.groupBy("fp").agg(F.min(order).alias("low")), radius)
+    found = named.groupBy("root").agg(F.min("low").alias("low")).select(
+        F.coalesce("low.doc_id", no_id).alias("__id"), F.col("low.digest").alias("__digest"))
+    own = docs.withColumn("__own_id", F.coalesce(F.col(id_column).cast("long"), no_id)).withColumn(
+        "__own_digest", F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
+    first = F.row_number().over(Window.partitionBy("__own_id", "__own_digest").orderBy(text_column))
+    return own.join(found, (F.col("__own_id") == F.col("__id")) & (F.col("__own_digest") == F.col("__digest")),
+                    "left_semi").withColumn("__place", first).filter("__place = 1").select(*[f"`{c}`" for c in docs.columns])
