@@ -380,6 +380,15 @@ def test_leaks_of_odd_items(spark, odd):
     assert clean.columns == docs.columns and clean.count() == len([1 for i, _ in rows if not any(i == d for d, _ in expected)])
 
 
+def test_leaks_take_no_other_row_of_their_id(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(None, "so " + item), (None, "clean without id"), (None, None), (7, item + " end"), (7, "clean of a repeated id"), (8, "clean"), (9, item)]
+    benchmark = spark.createDataFrame([(1, item), (2, "another item that nothing holds")], "item_id long, text string")
+    for part_items in (1, 20_000):
+        kept = decontamination.drop_contaminated(spark.createDataFrame(rows, "doc_id long, text string"), benchmark, part_items=part_items)
+        assert {(r.doc_id, r.text) for r in kept.collect()} == {r for r in rows if item not in (r[1] or "")} and kept.count() == 4
+
+
 # Lines and exact copies
 
 def test_line_dedup_of_odd_rows(odd):

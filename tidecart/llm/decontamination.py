@@ -25,7 +25,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from .texts import record, slices, texts_of, words_of
+from .exact_dedup import sha256
+from .texts import record, slices, text_or_empty, texts_of, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 35, 12
@@ -183,9 +184,23 @@ def _find(model):
     return run
 
 
-def contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_column="doc_id", text_column="text",
-                 item_column="item_id", item_text_column="text"):
-    """One row for each pair of a document and an item it contains: doc_id, item_id, similarity, start_word, n_words."""
+def _find_leaking(model):
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary())])
+
+    def run(batches):
+        index = model.value
+        for batch in slices(batches):
+            if not index.ids:
+                continue
+            texts = texts_of(batch)
+            rows = pa.array(sorted({f[0] for f in index.matches(*hashed_texts(texts))}), pa.int64())
+            if len(rows):
+                yield record(schema, batch.column(0).take(rows), [sha256(t.as_buffer()) for t in texts.take(rows).cast(pa.binary())])
+    return run
+
+
+def scanned(docs, benchmark, find, schema, part_items, part_bytes, id_column, text_column, item_column, item_text_column):
+    """What ``find`` (a function of a broadcast Index) yields for all documents and all parts of the benchmark."""
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"), F.col(item_text_column).alias("text"))
     count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     parts = max(1, -(-count // part_items), -(-size // part_bytes))
@@ -194,14 +209,27 @@ def contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_col
     for part in range(parts):
         chosen = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         model = docs.sparkSession.sparkContext.broadcast(Index([(r.item_id, r.text) for r in chosen.orderBy("item_id").collect()]))
-        pairs = rows.mapInArrow(_find(model), "doc_id long, item_id long, similarity double, start_word long, n_words long")
+        pairs = rows.mapInArrow(find(model), schema)
         found = pairs if found is None else found.union(pairs)
+    return found
+
+
+def contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_column="doc_id", text_column="text",
+                 item_column="item_id", item_text_column="text"):
+    """One row for each pair of a document and an item it contains: doc_id, item_id, similarity, start_word, n_words."""
+    found = scanned(docs, benchmark, _find, "doc_id long, item_id long, similarity double, start_word long, n_words long",
+                    part_items, part_bytes, id_column, text_column, item_column, item_text_column)
     # A repeated document or item gives its pair once, with its best window.
     best = F.max_by(F.struct("similarity", "start_word", "n_words"), F.struct("similarity", -F.col("start_word"))).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
-def drop_contaminated(docs, benchmark, id_column="doc_id", **options):
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    found = contaminated(docs, benchmark, id_column=id_column, **options).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col(id_column).cast("long").eqNullSafe(F.col("__found")), "left_anti")
+def drop_contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_column="doc_id", text_column="text",
+                      item_column="item_id", item_text_column="text"):
+    """The rows of ``docs`` that hold no benchmark item, with all their columns, whatever other rows of their id hold."""
+    found = scanned(docs, benchmark, _find_leaking, "doc_id long, digest binary",
+                    part_items, part_bytes, id_column, text_column, item_column, item_text_column).select(
+        F.col("doc_id").alias("__found"), F.col("digest").alias("__digest")).distinct()
+    own = docs.withColumn("__own_digest", F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
+    return own.join(found, F.col(id_column).cast("long").eqNullSafe(F.col("__found")) & (F.col("__own_digest") == F.col("__digest")),
+                    "left_anti").select(*[f"`{c}`" for c in docs.columns])
