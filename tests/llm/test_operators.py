@@ -216,6 +216,27 @@ def test_pairs_count_beyond_single_terms():
     assert np.mean((scores >= 0.5) == np.array(labels)) > 0.9
 
 
+def test_pairs_count_with_the_defaults():
+    random = np.random.default_rng(6)
+
+    def texts(number, words):
+        sets, labels = [], []
+        for _ in range(number):
+            a, b = random.integers(0, 2, 2)
+            sets.append(np.array(sorted(set(random.integers(100, 100 + words, 8).tolist()) | ({1} if a else {2}) | ({3} if b else {4}))))
+            labels.append(int(a == b))  # neither term says anything alone
+        return labels, sets
+
+    for words, options in ((60, {}), (300, {"terms": 40})):  # 40 terms: the pair's must be among those that are kept
+        machine = toxicity.learn(*texts(1500, words), **options)
+        labels, sets = texts(500, words)  # not those learned from
+        places = [p[p >= 0] for p in map(machine.places, sets)]
+        scores = toxicity.sigmoid(machine.margins(np.concatenate(places), np.append(0, np.cumsum([len(p) for p in places]))))
+        assert np.mean((scores >= 0.5) == np.array(labels)) > 0.9
+        assert set(machine.hashes[(machine.factors != 0).any(axis=1)].tolist()) >= {1, 2, 3, 4}
+        assert len(machine.hashes) < words / 2  # terms that carry nothing have left
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     found = QUERIES["op4_toxicity"](spark, folder).join(table(spark, folder, "labels"), "doc_id").filter("held_out").collect()

@@ -7,8 +7,10 @@ than the terms: their sum is half of (square of the sum minus sum of the squares
 
 Weights and factors are fitted with proximal AdaGrad steps on a bounded sample of labelled rows:
 ``per_label`` rows of each label, those with the smallest hash of the id, and of their terms the ``terms``
-with the largest chi-square among those in ``least`` texts or more. Factor vectors shrink as groups, so terms
-that carry nothing leave the model. Scores cover every row and its whole text.
+with the most evidence among those in ``least`` texts or more: the chi-square of the term alone or, if larger,
+of its best pair, by what the pair tells beyond its two terms. Factor vectors shrink as groups, by the same
+evidence, so terms that carry nothing alone or in a pair leave the model. Scores cover every row and its
+whole text. Pairs are counted in the sample's rows in random order, up to ``pair_work`` pairs of terms in one row.
 
 Defined cases: null and empty texts have no terms and get the intercept's score; without both labels in the
 sample every score is 0. Labels that are null are not learned from; repeated labels count each time. Ties
@@ -83,7 +85,69 @@ def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0, shrink=0.02):
+def pair_evidence(y, columns, offsets, seen, hits, least):
+    """For each term the most that one pair with another tells beyond both terms and beyond chance, 0 or more.
+
+    That is the likelihood ratio (distributed as chi-square) of the pair's labels against the odds of both terms
+    taken together, less what the best of as many pairs reaches by chance.
+    """
+    found = np.zeros(len(seen))
+    rate = y.mean()
+    odds = np.log((hits + rate) / (seen - hits + 1 - rate)) - np.log(rate / (1 - rate))
+    order = np.argsort(columns, kind="stable")
+    owner = np.repeat(np.arange(len(y)), np.diff(offsets))[order]
+    bounds = np.searchsorted(columns[order], np.arange(len(seen) + 1))
+    sizes = np.diff(offsets)
+    tested = 0
+    for term in np.flatnonzero(seen >= least).tolist():
+        rows = owner[bounds[term]:bounds[term + 1]]
+        total = np.zeros(len(seen), dtype=np.int64)
+        toxic = np.zeros(len(seen), dtype=np.int64)
+        for part, into in ((rows, total), (rows[y[rows] == 1], toxic)):
+            for begin in range(0, len(part), 500):
+                some = part[begin:begin + 500]
+                ends = np.cumsum(sizes[some])
+                at = np.arange(ends[-1]) + np.repeat(offsets[some] - ends + sizes[some], sizes[some])
+                into += np.bincount(columns[at], minlength=len(seen))
+        total[term] = 0
+        other = np.flatnonzero(total >= least)
+        if not len(other):
+            continue
+        n, h = total[other], toxic[other]
+        p = sigmoid(np.log(rate / (1 - rate)) + odds[term] + odds[other])
+        told = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
+        found[term] = told.max()
+        tested += len(other)
+    return np.maximum(found - 2 * np.log(max(tested, 1)), 0)
+
+
+def _pairs_of_sample(y, codes, owner, seen, work, least):
+    """pair_evidence of all terms, from the frequent ones: a pair of terms that tell nothing alone, in fewer texts
+    than ``few``, cannot tell more than the best pair does by chance."""
+    few = max(least, int(np.ceil(np.log(max(len(seen), 2)) / -np.log(min(y.mean(), 1 - y.mean())))))
+    frequent = np.flatnonzero(seen >= few)
+    place = np.full(len(seen), -1)
+    place[frequent] = np.arange(len(frequent))
+    columns = place[codes]
+    known = columns >= 0
+    columns, owner = columns[known], owner[known]
+    sizes = np.bincount(owner, minlength=len(y)).astype(np.int64)
+    order = np.random.default_rng(12).permutation(len(y))
+    taken = np.zeros(len(y), dtype=bool)
+    taken[order[np.cumsum(sizes[order] ** 2) <= work]] = True
+    number = np.cumsum(taken) - 1
+    columns, owner = columns[taken[owner]], number[owner[taken[owner]]]
+    y = y[taken]
+    found = np.zeros(len(seen))
+    if len(columns) and 0 < y.sum() < len(y):
+        offsets = np.searchsorted(owner, np.arange(len(y) + 1))
+        total = np.bincount(columns, minlength=len(frequent))
+        toxic = np.bincount(columns, weights=y[owner], minlength=len(frequent))
+        found[frequent] = pair_evidence(y, columns, offsets, total, toxic, few)
+    return found
+
+
+def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0, shrink=0.02, pair_work=2_000_000_000):
     """Fits a Machine to bounded arrays; None if only one label is present."""
     y = np.asarray(labels, dtype=np.float64)
     if not 0 < y.sum() < len(y):
@@ -94,7 +158,9 @@ def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0
     hits = np.bincount(codes, weights=y[owner], minlength=len(every))
     expected = seen * y.mean()
     chi = np.where(seen >= least, (hits - expected) ** 2 / np.maximum(expected * (1 - seen / (len(y) + 1)), 1e-9), -1)
-    chosen = np.sort(np.argsort(-chi, kind="stable")[:terms])
+    paired = _pairs_of_sample(y, codes, owner, seen, pair_work, least)
+    evidence = np.maximum(chi, np.where(seen >= least, paired, -1))
+    chosen = np.sort(np.argsort(-evidence, kind="stable")[:terms])
     chosen = chosen[chi[chosen] >= 0]
     place = np.full(len(every), -1)
     place[chosen] = np.arange(len(chosen))
@@ -106,7 +172,7 @@ def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0
     random = np.random.default_rng(11)
     model = Machine(every[chosen], np.zeros(len(chosen)), random.normal(0, 0.01, (len(chosen), factors)), 0.0)
     # The adaptive penalty: nothing to speak of for terms that tell the labels apart, out of reach for chance.
-    pull = shrink / (1 + chi[chosen])
+    pull, pull_factors = shrink / (1 + chi[chosen]), shrink / (1 + evidence[chosen])
     w_seen, v_seen, b_seen = np.full(len(chosen), 1e-8), np.full(model.factors.shape, 1e-8), 1e-8
     for _ in range(steps):
         error = (sigmoid(model.margins(columns, offsets)) - y) * share
@@ -125,7 +191,7 @@ def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0
         step = 0.3 * rate / np.sqrt(v_seen.sum(axis=1, keepdims=True))
         moved = model.factors - step * dv
         norm = np.linalg.norm(moved, axis=1, keepdims=True)
-        model.factors = moved * np.maximum(1 - step * pull[:, None] / np.maximum(norm, 1e-12), 0)
+        model.factors = moved * np.maximum(1 - step * pull_factors[:, None] / np.maximum(norm, 1e-12), 0)
         model.intercept -= rate / np.sqrt(b_seen) * error.sum()
     used = (model.weights != 0) | (model.factors != 0).any(axis=1)
     return Machine(model.hashes[used], model.weights[used], model.factors[used], model.intercept)
