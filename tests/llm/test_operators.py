@@ -139,6 +139,19 @@ def test_language_of_odd_rows(spark, odd):
     assert {r.lang_pred for r in language_id.identify(unlabelled, *language_id.learn(unlabelled, public.path("piece_bpe_32k.model"))).collect()} == {"und"}
 
 
+def test_rows_with_a_language_stay_whatever_their_score(spark):
+    words = ["house", "garden", "river", "stone", "bread", "window", "paper", "horse"]
+    rows = [(8 * n + i, " ".join(words + [word] * 3), f"l{i}", "x") for n in range(30) for i, word in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = language_id.learn(docs, public.path("piece_bpe_32k.model"))
+    mixed = spark.createDataFrame([(1, "house garden", None, "x"), (2, "1 !", None, "x")], docs.schema)
+    told = language_id.identify(mixed, *model).filter("doc_id = 1").first()
+    assert told.lang_pred != "und" and 1 / 8 < told.score < 0.3
+    assert [r.doc_id for r in language_id.keep_told(mixed, *model).collect()] == [1]
+    one = language_id.learn(docs.filter("lang = 'l0'"), public.path("piece_bpe_32k.model"))
+    assert [r.doc_id for r in language_id.keep_told(mixed, *one).collect()] == [1]
+
+
 # Secrets
 
 @pytest.mark.parametrize("source", ["small", "odd"])

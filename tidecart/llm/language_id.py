@@ -289,11 +289,13 @@ def _scorer(model):
     return run
 
 
-def _keeper(model, text_column, least):
+def _keeper(model, text_column):
     def run(batches):
+        languages = len(model.value.languages)
+        alike = (1 + 1e-9) / languages if languages > 1 else 0.0  # the best score of a text that is alike in all
         for batch in slices(batches, _SLICE, text_column):
             names, scores = predictions(model.value, texts_of(batch, text_column))
-            yield batch.filter(pa.array([name != UNDETERMINED and s >= least for name, s in zip(names, scores)], pa.bool_()))
+            yield batch.filter(pa.array([name != UNDETERMINED and s > alike for name, s in zip(names, scores)], pa.bool_()))
     return run
 
 
@@ -308,10 +310,10 @@ def identify(docs, languages, table, vocabulary, id_column="doc_id", text_column
             .mapInArrow(_scorer(model), "doc_id long, lang_pred string, score double"))
 
 
-def keep_told(docs, languages, table, vocabulary, least=0.3, text_column="text"):
-    """The rows of ``docs``, with all columns, that have a language with a score of ``least`` or more."""
+def keep_told(docs, languages, table, vocabulary, text_column="text"):
+    """The rows of ``docs``, with all columns, that have a language; rows alike in all of several languages have none."""
     model = shared_model(docs, languages, table, vocabulary)
-    return docs.mapInArrow(_keeper(model, text_column, least), docs.schema)
+    return docs.mapInArrow(_keeper(model, text_column), docs.schema)
 
 
 def learn(docs, model_file, held_out=2, **options):
