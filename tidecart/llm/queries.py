@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import byte_bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, secret_scan, simhash_golay, token_shards, toxicity
+from . import (byte_bpe, conversation_repair, decontamination, exact_dedup, fill_in_middle, language_id, license_scan, line_dedup,
+               lm_scoring, secret_scan, simhash_golay, token_shards, toxicity)
 from .texts import id_bucket, importable
 
 
@@ -79,6 +80,28 @@ def op10_exact_dedup(spark, folder):
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_conversation_repair(spark, folder):
+    importable(spark)
+    return conversation_repair.summaries(conversation_repair.damage(table(spark, folder, "conversations")))
+
+
+def op12_fill_in_middle(spark, folder):
+    turned = fill_in_middle.restore(fill_in_middle.transform(documents(spark, folder)))
+    return turned.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                         F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_license_scan(spark, folder):
+    base = F.filter("spans", lambda s: s["base"])
+    labels = lambda spans: F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+    return license_scan.scan(documents(spark, folder)).select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["word"])).alias("last_word"),
+        labels(base).alias("base_labels"), labels(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("score"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_secret_scan": op2_secret_scan,
@@ -90,6 +113,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_license_scan": op13_license_scan,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -110,4 +136,19 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(content) AS text_sha256
         FROM t WINDOW same AS (PARTITION BY content)""",
+    "op12_fill_in_middle": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(cast(doc_id AS varchar), '')) AS h FROM documents),
+        numbers AS (
+            SELECT doc_id, text, cast(length(text) AS bigint) AS n, ('0x' || substr(h, 1, 8))::bigint AS h1, ('0x' || substr(h, 9, 8))::bigint AS h2,
+                   ('0x' || substr(h, 17, 8))::bigint AS h3, ('0x' || substr(h, 25, 8))::bigint AS h4 FROM t),
+        cuts AS (
+            SELECT doc_id, text, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+                        THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        parts AS (SELECT *, substr(text, 1, a) AS p, substr(text, a + 1, b - a) AS m, substr(text, b + 1) AS s FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM parts""",
 }
