@@ -286,6 +286,20 @@ def test_segment_tree_merges_long_runs():
         assert codec.decode(codec.encode(text)) == text.encode()
 
 
+def test_trees_merged_together_are_those_merged_alone():
+    codec, rng = byte_bpe.codec(public.path("byte_bpe_multi_50k.tiktoken"), public.PATTERN), np.random.default_rng(2)
+    pieces = [bytes(rng.choice(list("aehinorst é".encode()), rng.integers(2, byte_bpe.LONGEST_TOGETHER + 1))) for _ in range(600)]
+    pieces += [b"ab", b"aaaaaaaaaaaaaaaaaaaa", bytes(range(64)), b"  ", b"\xff\xfe"]
+    ids, offsets = byte_bpe.merged_together(pieces, codec.pairs)
+    plain = lambda piece: byte_bpe.merged(piece, {k: v for k, v in codec.ranks.items() if k != piece})
+    for piece, a, b in zip(pieces[:60] + pieces[-5:], [*offsets[:60], *offsets[-6:-1]], [*offsets[1:61], *offsets[-5:]]):
+        if piece not in codec.ranks:
+            assert tuple(ids[a:b].tolist()) == plain(piece)
+    for piece, a, b in zip(pieces, offsets[:-1], offsets[1:]):
+        if piece not in codec.ranks:
+            assert tuple(ids[a:b].tolist()) == byte_bpe.merged(piece, codec.ranks)
+
+
 # SimHash
 
 @pytest.mark.parametrize("source", ["small", "odd"])

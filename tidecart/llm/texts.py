@@ -59,6 +59,54 @@ def words_of(texts):
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), offsets
 
 
+def joined_ids(texts, after_space, of_texts, end=None, special=()):
+    """Token ids of texts from the ids of their different words: (ids of all texts, offsets by text).
+
+    ``after_space(words)`` gives the ids (bytes of 4-byte numbers) of each word with a space before it, or None where a
+    neighbour can change them; ``of_texts(texts)`` those of texts as they are, for first words and for texts
+    with such words or with one of the ``special`` strings. Each text is followed by the id ``end``, if there is one.
+    """
+    if not len(texts):
+        return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
+    pieces = pc.split_pattern(texts, " ")
+    coded = pieces.flatten().dictionary_encode()
+    codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+    bounds = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
+    entries = after_space(words)
+    unsafe = np.array([ids is None for ids in entries], dtype=bool)
+    heads, sizes = bounds[:-1], np.diff(bounds)
+    # The first word has no space before it; a text whose words depend on each other is one entry.
+    alone = np.add.reduceat(unsafe[codes].astype(np.int64), heads) > unsafe[codes[heads]]
+    for token in special:
+        alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+    first = [words[c] for c in codes[heads].tolist()]
+    alone |= np.array([w[-1].isspace() if w else n > 1 for w, n in zip(first, sizes.tolist())], dtype=bool)
+    inner = ~np.repeat(alone, sizes)
+    inner[heads] = True
+    codes = codes.copy()
+    codes[heads] = len(entries) + np.arange(len(heads))
+    entries += of_texts([texts[row].as_py() if single else word for row, (single, word) in enumerate(zip(alone.tolist(), first))])
+    entries = [e or b"" for e in entries]
+    held = np.where(alone, 1, sizes)
+    if end is not None:
+        entries.append(np.array([end], dtype=np.int32).tobytes())
+        held = held + 1
+    lengths = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+    flat = np.frombuffer(b"".join(entries), dtype=np.int32)
+    begins = np.cumsum(lengths) - lengths
+    ends = np.cumsum(held) - 1
+    stream = np.full(int(held.sum()), len(entries) - 1, dtype=np.int64)
+    filled = np.ones(len(stream), dtype=bool)
+    if end is not None:
+        filled[ends] = False
+    stream[filled] = codes[inner]
+    taken = lengths[stream]
+    total = np.cumsum(taken)
+    at = np.repeat(begins[stream] - (total - taken), taken)
+    at += np.arange(len(at))
+    return flat[at], np.append(0, total[ends])
+
+
 def sums_by_text(values, offsets):
     """Sums of rows of ``values`` (one per word) for each text; zeros for texts without words."""
     total = np.zeros((len(offsets),) + values.shape[1:], dtype=np.float64)
