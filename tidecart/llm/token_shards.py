@@ -30,16 +30,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from .byte_bpe import Recent
-from .texts import record, slices, texts_of
+from .texts import joined_ids, record, slices, texts_of
 
 _SLICE = 12 << 20
-_KEYS_IN_BUCKET = 4
+_KEYS_IN_BUCKET = 2
 _SHARDS = ("part int, shard int, start_in_part long, n_ids long, width int, earlier long, doc_ids array<long>, payload binary, "
            "seeds binary, slots binary")
 _SHARDS_ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("start_in_part", pa.int64()), ("n_ids", pa.int64()),
@@ -98,41 +97,8 @@ class Encoder:
 
     def encode(self, texts, end):
         """(ids of all texts, each ended with ``end``; offsets by text)."""
-        pieces = pc.split_pattern(texts, " ")
-        coded = pieces.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-        bounds = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
-        entries = self.after_space(words)
-        unsafe = np.array([ids is None for ids in entries], dtype=bool)
-        heads, sizes = bounds[:-1], np.diff(bounds)
-        # The first word has no space before it; a text with special tokens or with words that depend on each other is one entry.
-        alone = np.add.reduceat(unsafe[codes].astype(np.int64), heads) > unsafe[codes[heads]]
-        for token in self.special:
-            alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        first = [words[c] for c in codes[heads].tolist()]
-        alone |= np.array([w[-1].isspace() if w else n > 1 for w, n in zip(first, sizes.tolist())], dtype=bool)
-        inner = ~np.repeat(alone, sizes)
-        inner[heads] = True
-        codes = codes.copy()
-        codes[heads] = len(entries) + np.arange(len(heads))
-        entries += [self.whole(texts[row].as_py()) if single else self.first(word) for row, (single, word) in enumerate(zip(alone.tolist(), first))]
-        entries.append(np.array([end], dtype=np.int32).tobytes())
-        entries = [e or b"" for e in entries]
-        lengths = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
-        flat = np.frombuffer(b"".join(entries), dtype=np.int32)
-        begins = np.cumsum(lengths) - lengths
-        # The entries of each text, then the end.
-        held = np.where(alone, 1, sizes)
-        ends = np.cumsum(held + 1) - 1
-        stream = np.full(int(held.sum()) + len(held), len(entries) - 1, dtype=np.int64)
-        filled = np.ones(len(stream), dtype=bool)
-        filled[ends] = False
-        stream[filled] = codes[inner]
-        taken = lengths[stream]
-        total = np.cumsum(taken)
-        at = np.repeat(begins[stream] - (total - taken), taken)
-        at += np.arange(len(at))
-        return flat[at], np.append(0, total[ends])
+        return joined_ids(texts, self.after_space, lambda parts: [self.first(t) if len(t) < 64 else self.whole(t) for t in parts],
+                          end, self.special)
 
 
 @lru_cache(maxsize=2)
