@@ -200,20 +200,35 @@ def test_persist_drops_labels_and_survives_a_replay(spark):
     assert persist.persisted(spark, new_folder(spark, "nothing"), "eventos_web").count() == 0
 
 
-def test_late_rows_are_dropped_and_counted(spark):
-    path, out = new_folder(spark, "bronze"), new_folder(spark, "windows")
-    checkpoints = new_folder(spark, "checkpoint")
+def test_late_rows_are_kept_and_counted(spark):
+    path, checkpoints = new_folder(spark, "bronze"), new_folder(spark, "checkpoint")
     schema = "data_compra timestamp, valor_total_compra double"
+    metric = windowed.WindowedSales(new_folder(spark, "windows"), schema, delay=dt.timedelta(days=1))
 
     def run(*rows):
-        lake.append(spark.createDataFrame([(day(t), v) for t, v in rows], schema).coalesce(1), path)
-        query = windowed.windowed_sales(lake.stream_table(spark, path, schema), delay="1 day").writeStream.format(
-            "parquet").option("path", out).option("checkpointLocation", checkpoints).trigger(**ALL).start()
-        query.awaitTermination()
-        return windowed.late_rows(query)
+        lake.append(spark.createDataFrame([(day(t) if t else None, v) for t, v in rows], schema).coalesce(1), path)
+        metric.start(lake.stream_table(spark, path, schema), checkpoints, **ALL).awaitTermination()
+        return sorted(r.valor_total_compra for r in metric.late_rows(spark).collect())
+
+    shown = lambda frame: {(r.inicio.date().isoformat(), r.vendas_totais, r.linhas) for r in frame.collect()}
+    assert run(("2024-05-01T10:00:00", 1.0), ("2024-05-03T01:00:00", 2.0)) == []
+    # The clock stands at 2 May 01:00: the first of May is final, the second is not.
+    assert run(("2024-05-01T11:00:00", 4.0), ("2024-05-02T12:00:00", 8.0), ("2024-05-06T00:00:00", 1.0), (None, 32.0)) == [4.0, 32.0]
+    assert shown(metric.final(spark)) == {("2024-05-01", 1.0, 1), ("2024-05-02", 8.0, 1), ("2024-05-03", 2.0, 1)}
+    assert shown(metric.open(spark)) == {("2024-05-06", 1.0, 1)}
+    # The day that was final a batch ago, by a query that was restarted.
+    assert run(("2024-05-04T23:59:59.999999", 16.0)) == [4.0, 16.0, 32.0]
 
-    assert run(("2024-05-01T10:00:00", 1.0), ("2024-05-03T01:00:00", 2.0)) == 0
-    assert run(("2024-05-01T11:00:00", 4.0), ("2024-05-02T12:00:00", 8.0), ("2024-05-06T00:00:00", 1.0)) == 1
+
+def test_engine_watermark_windows(spark):
+    path, out = new_folder(spark, "bronze"), new_folder(spark, "windows")
+    schema = "data_compra timestamp, valor_total_compra double"
+    checkpoints = new_folder(spark, "checkpoint")
+    for rows in ([("2024-05-01T10:00:00", 1.0), ("2024-05-03T01:00:00", 2.0)],
+                 [("2024-05-01T11:00:00", 4.0), ("2024-05-02T12:00:00", 8.0), ("2024-05-06T00:00:00", 1.0)]):
+        lake.append(spark.createDataFrame([(day(t), v) for t, v in rows], schema).coalesce(1), path)
+        windowed.windowed_sales(lake.stream_table(spark, path, schema), delay="1 day").writeStream.format(
+            "parquet").option("path", out).option("checkpointLocation", checkpoints).trigger(**ALL).start().awaitTermination()
     got = {(r.inicio.date().isoformat(), r.vendas_totais) for r in spark.read.parquet(out).collect()}
     assert got == {("2024-05-01", 1.0), ("2024-05-02", 8.0), ("2024-05-03", 2.0)}
 

@@ -126,9 +126,9 @@ _PURCHASES_PER_DAY = f"""
            count(*) AS linhas
     FROM events WHERE event_type = 'purchase' GROUP BY 1"""
 # Every fiftieth event of the first third of the time comes last, when its day is final.
-_ON_TIME = _PURCHASES_PER_DAY.replace("WHERE", """WHERE NOT (event_id % 50 = 0 AND
-    (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) * 3
-        < (SELECT epoch_us(max(ts)) - epoch_us(min(ts)) + 1 FROM events)) AND""")
+_LATE = """(event_id % 50 = 0 AND (epoch_us(ts) - (SELECT epoch_us(min(ts)) FROM events)) * 3
+        < (SELECT epoch_us(max(ts)) - epoch_us(min(ts)) + 1 FROM events))"""
+_ON_TIME = _PURCHASES_PER_DAY.replace("WHERE", f"WHERE NOT {_LATE} AND")
 _NEWEST_PURCHASE = "(SELECT max(ts) FROM events WHERE event_type = 'purchase')"
 
 _URGENT = "o_orderpriority = '1-URGENT'"
@@ -277,4 +277,10 @@ ORACLE = {
     "stream_windowed_sales": f"""
         SELECT * FROM ({_ON_TIME}) p
         WHERE cast(dia AS timestamp) + INTERVAL 1 DAY <= {_NEWEST_PURCHASE} - INTERVAL 2 DAY""",
+    "stream_late_rows": f"""
+        SELECT event_id AS id_pedido, user_id AS id_usuario, value AS valor_total_compra, {_CART} AS id_carrinho, ts AS data_compra
+        FROM events WHERE event_type = 'purchase' AND {_LATE}""",
+    "stream_cart_ids": f"""
+        SELECT DISTINCT {_CART} AS id_carrinho, CASE event_type WHEN 'click' THEN 'criado' ELSE 'finalizado' END AS marca
+        FROM events WHERE event_type IN ('click', 'purchase')""",
 }

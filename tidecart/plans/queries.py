@@ -612,6 +612,20 @@ def stream_abandonment(spark, folder):
     return _read_back(spark, metrics.store, "abandonment", "value string")
 
 
+@query
+def stream_cart_ids(spark, folder):
+    """The id tables that the stream keeps: each cart once for each mark it has."""
+    metrics, checkpoints = _historical(spark, folder)
+    events = staging.follow(spark, staging.bronze_events(spark, folder))
+    metrics.start_carts(
+        tables.web_events(spark, folder, events), tables.purchases(spark, folder, events),
+        checkpoints, **ALL,
+    ).awaitTermination()
+    state = metrics.cart_state
+    return state.ids(spark, "criado").withColumn("marca", F.lit("criado")).unionByName(
+        state.ids(spark, "finalizado").withColumn("marca", F.lit("finalizado")))
+
+
 def _persisted(spark, staged, table):
     path, checkpoints = staging.new_folder(spark, "persisted"), staging.new_folder(spark, "checkpoint")
     source = _message_stream(spark, staged)
@@ -640,14 +654,21 @@ def stream_rejects(spark, folder):
     return persist.rejected(spark, persist.rejects_path(path)).groupBy("value").agg(F.count(F.lit(1)).alias("linhas"))
 
 
+def _windows(spark, folder):
+    """Purchases streamed by time, every fiftieth of the first third of the time in the last load."""
+    sales = tables.purchases(spark, folder, staging.follow(spark, staging.events_by_time(spark, folder)))
+    metric = windowed.WindowedSales(staging.new_folder(spark, "windows"), sales.schema)
+    metric.start(sales, staging.new_folder(spark, "checkpoint"), **ALL).awaitTermination()
+    return metric
+
+
 @query
 def stream_windowed_sales(spark, folder):
     """Daily windows that are final two days behind the newest purchase; later sales of a final day are left out."""
-    sales = tables.purchases(spark, folder, staging.follow(spark, staging.events_by_time(spark, folder)))
-    path = staging.new_folder(spark, "windows")
-    windowed.windowed_sales(sales).writeStream.outputMode("append").format("parquet").option(
-        "checkpointLocation", staging.new_folder(spark, "checkpoint")
-    ).option("path", path).trigger(**ALL).start().awaitTermination()
-    return spark.read.parquet(path).select(
-        F.to_date("inicio").alias("dia"), "vendas_totais", "linhas"
-    )
+    return _windows(spark, folder).final(spark).select(F.to_date("inicio").alias("dia"), "vendas_totais", "linhas")
+
+
+@query
+def stream_late_rows(spark, folder):
+    """The sales that came when their day was final, as they came."""
+    return _windows(spark, folder).late_rows(spark)

@@ -38,10 +38,15 @@ _TEXT_ROW_GROUP = 8 * 1024 * 1024
 
 
 def _in_loads(df, path, load=_LOAD, **options):
-    """One folder per load, written one after the other: streams take files by age."""
+    """One folder per load, written one after the other: streams take files by age.
+
+    Each load has as many files as the frame has partitions, so a third of the files is one load.
+    """
     loads = df.withColumn("carga", F.expr(load) if isinstance(load, str) else load).drop("linha")
+    files = loads.rdd.getNumPartitions()
     for number in range(LOADS):
-        loads.filter(F.col("carga") == number).drop("carga").write.options(**options).parquet(f"{path}/carga={number}")
+        part = loads.filter(F.col("carga") == number).drop("carga")
+        part.repartition(files).write.options(**options).parquet(f"{path}/carga={number}")
 
 
 def files_per_batch(spark, path):

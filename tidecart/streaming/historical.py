@@ -10,9 +10,10 @@ from pyspark.sql import types as T
 from ..functions.expressions import same_keys
 from ..operators import carts, products, revenue, upsert
 from ..operators.lookup import present
-from ..schemas import CART_CREATED, GOLD, KEYS
+from ..schemas import GOLD, KEYS
 from ..sources.state import StateTable, gold_tables
 from .adaptive import adaptive
+from .cart_state import CartState
 
 COUNTERS = T.StructType([
     T.StructField("carrinhos_criados", T.LongType()),
@@ -36,6 +37,7 @@ class HistoricalMetrics:
         self.as_of = as_of
         self.gold = gold_tables(root, GOLD, buckets)
         self.compact_every = compact_every
+        self.cart_state = CartState(f"{root}/fluxo", store)
         self.counters = StateTable(f"{root}/carrinhos_contagem", COUNTERS, F.lit("total"))
 
     def bootstrap(self, spark):
@@ -104,10 +106,10 @@ class HistoricalMetrics:
         self.store.publish(latest, KEYS["top_products"])
 
     def carts(self, marks, batch_id):
-        """Register new cart ids of either kind and publish the abandonment rate.
+        """Register cart ids of a frame that is no stream, and publish the abandonment rate.
 
         The id tables are only looked up for the ids of the batch, in the hash buckets it
-        touches; the rate itself comes from two running counters.
+        touches; the rate itself comes from two running counters. Streams keep the ids as state: ``start_carts``.
         """
         spark = marks.sparkSession
         created, finished = self.gold["carrinhos_criados"], self.gold["carrinhos_finalizados"]
@@ -170,10 +172,8 @@ class HistoricalMetrics:
         return self._start("top_products", sales, self.top_products, checkpoints, trigger)
 
     def start_carts(self, events, sales, checkpoints, **trigger):
-        """Created and finished carts in one query, so the rate follows a change on either side."""
-        created = events.filter(F.col("tipo_evento") == CART_CREATED)
-        marks = carts.mark(created, created=True).unionByName(carts.mark(sales, created=False))
-        return self._start("carts", marks, self.carts, checkpoints, trigger)
+        """Created and finished carts in one query, their ids kept as keyed state."""
+        return self.cart_state.start(events, sales, checkpoints, **trigger)
 
     def start_all(self, sales, events, checkpoints, **trigger):
         return [

@@ -1,10 +1,10 @@
-"""Messages persisted to bronze, one folder per micro-batch; unreadable ones to a folder of their own."""
+"""Messages persisted to bronze, in folders of micro-batches that are merged as they grow old; unreadable ones beside them."""
 
 from functools import partial
 
 from ..operators.cleaning import parse_messages, rejected_messages
 from ..schemas import TRANSACTION_MESSAGE, TRANSACTION_ROW, WEB_EVENT_MESSAGE, WEB_EVENT_ROW
-from ..sources import folders
+from ..sources.batches import BatchFolder
 
 INTERVAL = "10 seconds"
 
@@ -22,7 +22,7 @@ def table_rows(messages, table):
 
 def write_batch(path, batch, batch_id):
     """A replayed batch overwrites its own folder: no row is lost, none is stored twice."""
-    batch.write.mode("overwrite").parquet(f"{path}/lote={batch_id}")
+    BatchFolder(path, batch.schema).write(batch, batch_id)
 
 
 def start_persist(messages, table, path, checkpoints, sink=None, rejects=None, **trigger):
@@ -52,18 +52,11 @@ def rejects_path(path):
 
 def rejected(spark, path):
     """The unreadable messages of finished batches."""
-    batches = folders.committed(spark, path, "lote=")
-    if not batches:
-        return spark.createDataFrame([], "value string")
-    return spark.read.schema("value string").parquet(*[f"{path}/lote={n}" for n in batches])
+    return BatchFolder(path, "value string").read(spark)
 
 
 def persisted(spark, path, table):
     """All rows of finished batches."""
     schema, columns = _TOPICS[table]
-    batches = folders.committed(spark, path, "lote=")
-    rows = [f"{path}/lote={n}" for n in batches]
     fields = [f"{c} {schema[c].dataType.simpleString()}" for c in columns]
-    if not rows:
-        return spark.createDataFrame([], ", ".join(fields))
-    return spark.read.schema(", ".join(fields)).parquet(*rows)
+    return BatchFolder(path, ", ".join(fields)).read(spark)
