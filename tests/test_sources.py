@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidecart.plans.staging import new_folder
 from tidecart.schemas import KEYS
 from tidecart.session import shared_folder
-from tidecart.sources import jdbc, lake, snapshots
+from tidecart.sources import folders, footers, id_index, jdbc, lake, snapshots
 
 
 def rows_of(path, spark):
@@ -40,18 +40,63 @@ def test_late_ids_are_found_by_default_and_missing_ids_refused(spark):
     assert rows_of(path, spark) == [5, 6, 7]
 
 
-def test_only_the_last_id_ranges_are_opened(spark):
+def test_sparse_and_negative_ids_give_few_folders(spark):
+    path, far = new_folder(spark, "bronze"), 10 ** 12
+    ids = [-far, -32_768, -1, 0, 1, 32_768, 32_769, *[far * n for n in range(1, 40)]]
+    source = lambda *values: spark.createDataFrame([(i, "x") for i in values], "id long, balde string")
+    assert lake.ingest_increment(source(*ids[::2]), path, "id") == len(ids[::2])
+    assert lake.ingest_increment(source(*ids, *ids[:3]), path, "id") == len(ids[1::2]) + 1
+    assert lake.ingest_increment(source(*ids), path, "id") == 0
+    assert lake.ingest_increment(source(far * 5 + 1), path, "id") == 1
+    assert sorted({r.id for r in lake.ingested(spark, path).collect()}) == sorted({*ids, far * 5 + 1})
+    assert lake.high_water_mark(spark, path, "id") == far * 39
+    assert len([n for n in folders.children(spark, path) if n.startswith("lote=")]) == 3
+
+
+def test_a_load_that_failed_before_its_ids_were_indexed_is_not_repeated(spark, monkeypatch):
     path = new_folder(spark, "bronze")
-    for top in (25, 35):
-        lake.ingest_increment(spark.range(0, top), path, "id", ids_per_range=10)
-    assert lake.high_water_mark(spark, path, "id") == 34
-    late = spark.range(0, 40).filter("id != 33")
-    assert lake.ingest_increment(late, path, "id", overlap=4, ids_per_range=10) == 5
-    assert rows_of(path, spark) == list(range(40))
-    stored = spark.read.parquet(path)
-    frame = lake.new_rows(spark.range(50), stored, "id", 39, 4, ids_per_range=10)
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "faixa" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    lake.ingest_increment(spark.range(10), path, "id")
+    with monkeypatch.context() as broken:
+        broken.setattr(id_index, "of", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            lake.ingest_increment(spark.range(20), path, "id")
+    assert lake.ingest_increment(spark.range(25), path, "id") == 5
+    assert sorted(r.id for r in lake.ingested(spark, path).collect()) == list(range(25))
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_full_stretches_are_left_out_at_the_scan_and_no_stored_row_is_read(spark):
+    ids, path = id_index.IDS, new_folder(spark, "source")
+    spark.range(-3, 9 * ids + 10).selectExpr("id", "id * 2 AS value").write.parquet(path)
+    index = id_index.folded(id_index.of(spark.range(1, 8 * ids + 5), "id").unionByName(id_index.of(spark.range(8 * ids + 5, 9 * ids + 5), "id")))
+    assert id_index.full_stretches(index, group=2) == [(ids + 1, 9 * ids)]
+    assert id_index.full_stretches(index) == []
+    fresh = id_index.absent(spark.read.parquet(path), index, "id", group=2)
+    assert sorted(r.id for r in fresh.collect()) == [-3, -2, -1, 0, *range(9 * ids + 5, 9 * ids + 10)]
+    pushed = plan_of(fresh).split("PushedFilters: [")[1].split("]")[0]
+    assert f"LessThan(id,{ids + 1})" in pushed and f"GreaterThan(id,{9 * ids})" in pushed
+    assert all(r.mapa is None for r in index.filter("cheio").collect())
+    # The same without any stretch, by the joins alone.
+    assert sorted(r.id for r in id_index.absent(spark.read.parquet(path), index, "id").collect()) == sorted(r.id for r in fresh.collect())
+    stored = new_folder(spark, "stored")
+    lake.ingest_increment(spark.range(1, 100), stored, "id")
+    table = lake.Increments(stored, spark.range(1).schema, "id")
+    read = id_index.absent(spark.read.parquet(path), table.index.read(spark), "id").inputFiles()
+    assert any(f"{stored}/_indice/lote=0" in f for f in read) and not any(f"{stored}/lote" in f for f in read)
+
+
+def test_footers_answer_counts_and_bounds(spark):
+    path = new_folder(spark, "orders")
+    spark.range(5, 1000).selectExpr("id", "cast(id AS string) AS text").write.parquet(path)
+    bounds, counts = footers.id_bounds(spark, path, "id"), footers.row_counts(spark, {"a": path, "b": path})
+    assert bounds.collect() == [(5, 999)] and sorted(counts.collect()) == [("a", 995), ("b", 995)]
+    assert "PushedAggregation: [MIN(id), MAX(id)]" in plan_of(bounds)
+    assert plan_of(counts).split("Initial Plan")[0].count("PushedAggregation: [COUNT(") == 2
+    # The caller's session reads as before.
+    assert spark.conf.get("spark.sql.sources.useV1SourceList", "parquet") != ""
 
 
 def test_reload_reports_rows_and_replaces_the_schema(spark):
@@ -107,6 +152,30 @@ def test_only_rows_above_the_mark_are_asked_for(spark, database):
     assert database.calls[-1]["lowerBound"] == 8
 
 
+def ids_by_predicate(spark, table, predicates):
+    return [sorted((r.id for r in spark.sql(f"SELECT id FROM {table} WHERE {p}").collect()), key=lambda i: (i is not None, i)) for p in predicates]
+
+
+@pytest.mark.parametrize("ids", [[1, 10 ** 18], list(range(50)) + [10 ** 15 + i for i in range(50)], [7, 7, 7, 10 ** 9, None]])
+def test_sparse_and_clustered_ids_are_read_in_few_even_parts(spark, database, ids):
+    spark.createDataFrame([(i,) for i in ids], "id long").createOrReplaceTempView("esparsa")
+    jdbc.read_by_id(spark, "url", "esparsa", "id", {}, rows_per_partition=10)
+    predicates = database.calls[-1]["predicates"]
+    parts = ids_by_predicate(spark, "esparsa", predicates)
+    assert len(parts) <= -(-len(ids) // 10) and max(map(len, parts)) <= 11
+    assert sorted((i for part in parts for i in part), key=lambda i: (i is not None, i)) == sorted(ids, key=lambda i: (i is not None, i))
+
+
+def test_the_number_of_parts_is_bounded(spark, database):
+    spark.createDataFrame([(1,), (10 ** 18,)], "id long").createOrReplaceTempView("extremos")
+    jdbc.read_by_id(spark, "url", "extremos", "id", {}, rows_per_partition=1)
+    assert len(database.calls[-1]["predicates"]) == 2
+    assert jdbc.quantiles_query("t", "id", 3, "TABLESAMPLE SYSTEM (1)").count("TABLESAMPLE SYSTEM (1)") == 1
+    # A sample that misses the ends still covers every row.
+    assert jdbc.range_predicates("id", [5, None, 9, 5]) == ['("id" <= 5 OR "id" IS NULL)', '"id" > 5']
+    assert jdbc.range_predicates("id", []) == ["1 = 1"] == jdbc.range_predicates("id", [4])
+
+
 def test_table_counts(spark, database):
     spark.range(4).createOrReplaceTempView("um")
     spark.range(2).createOrReplaceTempView("dois")

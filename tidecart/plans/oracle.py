@@ -133,6 +133,11 @@ _NEWEST_PURCHASE = "(SELECT max(ts) FROM events WHERE event_type = 'purchase')"
 
 _URGENT = "o_orderpriority = '1-URGENT'"
 
+_LAG_GROWTH = f"""
+    SELECT *, {_growth('receita_total_diaria', 'receita_dia_anterior')} AS "crescimento_receita_d-1"
+    FROM (SELECT *, lag(receita_total_diaria) OVER (PARTITION BY segmento_cliente ORDER BY data)
+          AS receita_dia_anterior FROM ({_daily()}) d) g"""
+
 ORACLE = {
     "global_kpis": _KPIS,
     "global_kpis_approx": _CHECKED_KPIS,
@@ -143,10 +148,7 @@ ORACLE = {
     "carts_converted_total": _CONVERTED,
     "conversion_rate": _CONVERSION,
     "daily_revenue": _daily(),
-    "revenue_growth_lag": f"""
-        SELECT *, {_growth('receita_total_diaria', 'receita_dia_anterior')} AS "crescimento_receita_d-1"
-        FROM (SELECT *, lag(receita_total_diaria) OVER (PARTITION BY segmento_cliente ORDER BY data)
-              AS receita_dia_anterior FROM ({_daily()}) d) g""",
+    "revenue_growth_lag": _LAG_GROWTH,
     "revenue_growth_calendar": _calendar_growth(_daily()),
     "daily_metrics_last_30_days": f"""
         SELECT * FROM ({_calendar_growth(_daily())}) g WHERE data >= cast({_NEWEST} AS date) - 30""",
@@ -212,7 +214,8 @@ ORACLE = {
     "replace_quarter": _named(_top10(_by_quarter())),
     "replace_quarter_frames": _top10(_by_quarter()),
     "batch_touched_quarters": f"""
-        SELECT DISTINCT {_YEAR} AS ano, {_QUARTER} AS trimestre FROM {_SALES} WHERE l_linenumber > 3""",
+        SELECT DISTINCT {_YEAR} AS ano, {_QUARTER} AS trimestre,
+               cast(CASE WHEN l_linenumber > 3 THEN 1 ELSE 0 END AS integer) AS carga FROM {_SALES}""",
     "units_of_touched_quarters": f"""
         SELECT * FROM ({_by_quarter()}) u WHERE (ano, trimestre) IN (
             SELECT ({_YEAR}, {_QUARTER}) FROM {_SALES} WHERE {_URGENT} AND year(o_orderdate) = 2000)""",
@@ -234,7 +237,10 @@ ORACLE = {
     "snapshot_retention": f"""
         SELECT dia AS periodo, vendas_totais FROM ({_PURCHASES_PER_DAY}) p
         WHERE cast(dia AS timestamp) >= {_NEWEST_PURCHASE} - INTERVAL 48 HOUR""",
-    "history_recompute": _LAST_4,
+    "history_recompute": f"""
+        SELECT *, 'crescimento_receita' AS metrica FROM ({_LAG_GROWTH}) g
+        UNION ALL BY NAME SELECT *, 'produtos_mais_vendidos' AS metrica FROM ({_LAST_4}) r
+        UNION ALL BY NAME SELECT taxa_abandono, 'taxa_abandono' AS metrica FROM ({_ABANDONMENT}) a""",
     "sales_per_period": f"SELECT {_period('month')}, {_sum(_VALUE)} AS vendas_totais FROM {_SALES} GROUP BY 1",
     "orders_per_period": f"""
         SELECT {_period('week')}, count(DISTINCT l_orderkey) AS numero_pedidos FROM {_SALES} GROUP BY 1""",

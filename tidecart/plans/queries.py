@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import carts, cleaning, kpis, periods, products, revenue, upsert
-from ..schemas import CART_CREATED, GOLD, KEYS, WEB_EVENT_MESSAGE
-from ..sources import lake, messages, snapshots, tables
+from ..operators import carts, cleaning, kpis, periods, products, revenue, sketches, upsert
+from ..schemas import CART_CREATED, GOLD, KEYS, TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
+from ..sources import footers, lake, messages, snapshots, tables
 from ..sources.state import StateTable, bucket_unit, year_unit, quarter_unit
-from ..streaming import persist, realtime, windowed
+from ..streaming import persist, realtime, sketched, windowed
 from ..streaming.historical import HistoricalMetrics
 from . import history, staging
 
@@ -26,24 +26,31 @@ def global_kpis(spark, folder):
     return kpis.global_kpis(tables.sales(spark, folder, "id_pedido", "valor_total_compra"), exact=True)
 
 
+def _agrees(sketch, ids):
+    """Whether a streamed or batch sketch is near the exact count, and equals the sketch of the same ids in one pass."""
+    exact, once = ids.agg(F.count_distinct("id")).scalar(), ids.agg(F.approx_count_distinct("id")).scalar()
+    return exact, kpis.within_error(sketch, exact) & (sketch == once)
+
+
 def _checked_kpis(sketched, spark, folder):
     """Indicators with the exact number of orders, and whether the sketch agrees with it."""
-    exact = global_kpis(spark, folder).select("pedidos_totais_global").scalar()
     sketch, revenue_sum = F.col("pedidos_totais_global"), F.col("receita_total_global")
+    exact, agrees = _agrees(sketch, tables.sales(spark, folder, "id_pedido").select(F.col("id_pedido").cast("string").alias("id")))
     return sketched.select(
-        revenue_sum, exact.alias("pedidos_totais_global"), kpis.within_error(sketch, exact).alias("dentro_do_erro"),
+        revenue_sum, exact.alias("pedidos_totais_global"), agrees.alias("dentro_do_erro"),
         (F.abs(F.col("ticket_medio_global") - F.try_divide(revenue_sum, sketch)) < 1e-9).alias("ticket_coerente"),
     )
 
 
 def _checked_carts(sketched, sales):
-    exact = kpis.carts_converted(sales, exact=True).scalar()
-    return sketched.select(exact.alias("total"), kpis.within_error(F.col("total"), exact).alias("dentro_do_erro"))
+    exact, agrees = _agrees(F.col("total"), sales.select(F.col("id_carrinho").alias("id")))
+    return sketched.select(exact.alias("total"), agrees.alias("dentro_do_erro"))
 
 
 @query
 def global_kpis_approx(spark, folder):
     sales = tables.sales(spark, folder, "id_pedido", "valor_total_compra")
+    sales = sales.withColumn("id_pedido", F.col("id_pedido").cast("string"))
     return _checked_kpis(kpis.global_kpis(sales), spark, folder)
 
 
@@ -267,13 +274,15 @@ def rejected_values(spark, folder):
 
 @query
 def row_count_audit(spark, folder):
+    """Counted from the footers."""
     names = ["customer", "part", "events", "lineitem"]
-    return lake.row_counts({n: tables.table(spark, folder, n) for n in names})
+    return footers.row_counts(spark, {n: f"{folder}/{n}.parquet" for n in names})
 
 
 @query
 def id_bounds(spark, folder):
-    return lake.id_bounds(tables.table(spark, folder, "orders"), "o_orderkey")
+    """From the footers."""
+    return footers.id_bounds(spark, f"{folder}/orders.parquet", "o_orderkey")
 
 
 @query
@@ -388,7 +397,10 @@ def replace_quarter_frames(spark, folder):
 
 @query
 def batch_touched_quarters(spark, folder):
-    return products.touched_quarters(_units(spark, folder, "linha").filter(LATER))
+    """The quarters that each of the loads touches."""
+    sales = _units(spark, folder, "linha")
+    loads = [products.touched_quarters(sales.filter(load)).withColumn("carga", F.lit(number)) for number, load in enumerate([FIRST, LATER])]
+    return loads[0].unionByName(loads[1])
 
 
 @query
@@ -467,7 +479,7 @@ def snapshot_retention(spark, folder):
 
 @query
 def history_recompute(spark, folder):
-    """The batch pipeline end to end; its published ranking, parsed back."""
+    """The batch pipeline end to end; all three metrics that it published, parsed back."""
     root, store = staging.new_folder(spark, "gold"), _store(spark)
     events, purchases = tables.web_events(spark, folder), tables.purchases(spark, folder)
     sales = tables.sales(
@@ -475,7 +487,13 @@ def history_recompute(spark, folder):
         "valor_total_compra", "data_compra",
     )
     history.recompute(sales, _segments(spark, folder), events, root, store, finished=purchases)
-    return _read_back(spark, store, "batch_top_products", _RANK_ROW)
+    metrics = {
+        "crescimento_receita": _read_back(spark, store, "batch_growth", _GROWTH_ROW),
+        "produtos_mais_vendidos": _read_back(spark, store, "batch_top_products", _RANK_ROW),
+        "taxa_abandono": store.value(spark, KEYS["batch_abandonment"], "double").withColumnRenamed("valor", "taxa_abandono"),
+    }
+    named = [frame.withColumn("metrica", F.lit(name)) for name, frame in metrics.items()]
+    return named[0].unionByName(named[1], True).unionByName(named[2], True)
 
 
 # Periods and averages
@@ -521,11 +539,25 @@ def orders_per_customer(spark, folder):
     return periods.orders_per_customer(sales, _segments(spark, folder))
 
 
+def _sketched_columns(spark, folder):
+    return tables.sales(spark, folder, "id_pedido", "id_carrinho", "valor_total_compra", "data_compra")
+
+
+@query
+def sketched_periods(spark, folder):
+    """Orders and carts of every period and of all time, from one stored sketch a day."""
+    path = staging.new_folder(spark, "sketches")
+    sketches.daily_sketches(_sketched_columns(spark, folder)).write.parquet(path)
+    return sketches.all_periods(spark.read.parquet(path))
+
+
 # Streams, run to the end of their input
 
 ALL = {"availableNow": True}
 
 _KPI_ROW = "receita_total_global double, pedidos_totais_global long, ticket_medio_global double"
+_GROWTH_ROW = ("data date, segmento_cliente string, receita_total_diaria double, numero_de_pedidos long, "
+               "receita_dia_anterior double, `crescimento_receita_d-1` double")
 _RANK_ROW = "ano int, trimestre int, rank int, id_produto long, unidades_vendidas long"
 
 
@@ -672,3 +704,13 @@ def stream_windowed_sales(spark, folder):
 def stream_late_rows(spark, folder):
     """The sales that came when their day was final, as they came."""
     return _windows(spark, folder).late_rows(spark)
+
+
+@query
+def stream_sketched_periods(spark, folder):
+    """The same from the day sketches that a stream of messages keeps."""
+    days = sketched.SketchedDays(staging.new_folder(spark, "sketches"))
+    columns = ("id_pedido", "id_carrinho", "valor_total_compra", "data_compra")
+    sales = cleaning.parse_messages(_message_stream(spark, staging.sales_messages(spark, folder)), TRANSACTION_MESSAGE, columns)
+    days.start(sales, staging.new_folder(spark, "checkpoint"), **ALL).awaitTermination()
+    return sketches.all_periods(days.read(spark))

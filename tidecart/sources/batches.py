@@ -13,7 +13,8 @@ import json
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from . import folders
 
@@ -41,7 +42,7 @@ class BatchFolder:
     def _manifest(self):
         return f"{self.path}/_lotes"
 
-    def _folder(self, entry):
+    def folder(self, entry):
         return f"{self.path}/lote={_name(entry)}"
 
     def finished(self, spark, before=None):
@@ -60,26 +61,32 @@ class BatchFolder:
         entries = self.finished(spark, before)
         return json.loads(folders.read_text(spark, f"{self._manifest()}/{_name(entries[-1])}") or "{}") if entries else {}
 
-    def read(self, spark, before=None):
-        paths = [self._folder(e) for e in self.finished(spark, before)]
+    def read(self, spark, before=None, since=None):
+        """Rows of the finished batches before one id, and from another on."""
+        paths = [self.folder(e) for e in self.finished(spark, before) if since is None or e[1] >= since]
         if not paths:
             return self.fold(spark.createDataFrame([], self.schema))
         return self.fold(spark.read.schema(self.schema).parquet(*paths))
 
-    def write(self, df, batch_id, note=None):
-        """Store the rows of a batch; only the newest batch can be run again.
+    def write(self, df, batch_id, note=None, keep_empty=True):
+        """Store the rows of a batch and return their number; only the newest batch can be run again.
 
-        ``note`` may be a function, which is called when the rows are written.
+        ``note`` may be a function, which is called when the rows are written. A batch without rows may be left out.
         """
-        spark = df.sparkSession
+        spark, counter = df.sparkSession, Observation()
         entries = self.finished(spark)
         if entries and (batch_id, batch_id) < entries[-1]:
             raise ValueError(f"batch {batch_id} comes after batch {entries[-1][1]} of {self.path}")
         entry = (batch_id, batch_id)
         folders.delete(spark, f"{self._manifest()}/{_name(entry)}")
-        df.write.mode("overwrite").parquet(self._folder(entry))
+        df.observe(counter, F.count(F.lit(1)).alias("linhas")).write.mode("overwrite").parquet(self.folder(entry))
+        rows = counter.get["linhas"]
+        if not rows and not keep_empty:
+            folders.delete(spark, self.folder(entry))
+            return 0
         folders.write_text(spark, f"{self._manifest()}/{_name(entry)}", json.dumps((note() if callable(note) else note) or {}))
         self._merge(spark, [e for e in entries if e != entry])
+        return rows
 
     def _merge(self, spark, entries):
         """Merges full runs among the batches before the newest one."""
@@ -96,13 +103,13 @@ class BatchFolder:
                 return
             parts = entries[run:run + self.fan]
             whole = (parts[0][0], parts[-1][1])
-            paths = [self._folder(e) for e in parts]
+            paths = [self.folder(e) for e in parts]
             files = -(-sum(folders.size(spark, p) for p in paths) // MERGED_FILE_BYTES)
             rows = self.fold(spark.read.schema(self.schema).parquet(*paths))
-            rows.repartition(max(1, files)).write.mode("overwrite").parquet(self._folder(whole))
+            rows.repartition(max(1, files)).write.mode("overwrite").parquet(self.folder(whole))
             note = folders.read_text(spark, f"{self._manifest()}/{_name(parts[-1])}")
             folders.write_text(spark, f"{self._manifest()}/{_name(whole)}", note)
             for part in parts:
                 folders.delete(spark, f"{self._manifest()}/{_name(part)}")
-                folders.delete(spark, self._folder(part))
+                folders.delete(spark, self.folder(part))
             entries = entries[:run] + [whole] + entries[run + self.fan:]

@@ -5,7 +5,8 @@ from functools import reduce
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from . import folders
+from . import folders, id_index
+from .batches import BatchFolder
 
 
 def read_table(spark, path, fmt="parquet"):
@@ -66,66 +67,81 @@ def full_reload(tables, root, fmt="parquet"):
     return {name: overwrite(df, f"{root}/{name}", fmt) for name, df in tables.items()}
 
 
-# Incrementally loaded tables are partitioned by id range, so that looking for the largest id or
-# for recent ids opens the last ranges only, however large the table has grown.
-RANGE = "faixa"
-IDS_PER_RANGE = 10_000_000
+class Increments:
+    """A table that grows by loads, with the ids it holds in an index beside it.
 
-
-def _top_id(spark, path, id_column, fmt):
-    ranges = [int(n.split("=")[1]) for n in folders.children(spark, path) if n.startswith(f"{RANGE}=")]
-    parts = [f"{path}/{RANGE}={n}" for n in sorted(ranges, reverse=True)]
-    for part in parts or ([path] if folders.exists(spark, path) else []):
-        top = read_table(spark, part, fmt).agg(F.max(id_column)).first()[0]
-        if top is not None:
-            return top
-    return None
-
-
-def high_water_mark(spark, path, id_column, fmt="parquet"):
-    """Largest id in a table, 0 when it is missing or empty."""
-    return _top_id(spark, path, id_column, fmt) or 0
-
-
-def _range_of(column, ids_per_range):
-    return F.floor(F.col(column) / ids_per_range).cast("long")
-
-
-def new_rows(source, stored, id_column, mark, overlap=None, ids_per_range=IDS_PER_RANGE):
-    """Source rows whose ids are not stored yet.
-
-    By default every id of the source is looked up, so an id that arrives late is found however old it
-    is. With ``overlap`` only ids from that far below the mark are; the filter is then pushed into
-    the source scan, JDBC included, and prunes the stored ranges.
+    What is stored decides: ids of loads that ended before they were indexed are indexed by the next one, so a load that
+    failed at any point adds nothing twice.
     """
-    if overlap is None:
-        return source.join(stored.select(id_column), id_column, "left_anti")
-    floor = mark - overlap
-    known = stored.filter((F.col(RANGE) >= floor // ids_per_range) & (F.col(id_column) > floor))
-    return source.filter(F.col(id_column) > floor).join(known.select(id_column), id_column, "left_anti")
-
 
-def ingest_increment(source, path, id_column, overlap=None, fmt="parquet", ids_per_range=IDS_PER_RANGE):
+    def __init__(self, path, schema, id_column):
+        self.id_column = id_column
+        self.rows = BatchFolder(path, schema)
+        self.index = BatchFolder(f"{path}/_indice", id_index.SCHEMA, fold=id_index.folded)
+
+    def high_water_mark(self, spark):
+        """Largest id ever loaded, None without one; it is noted with each load."""
+        self._catch_up(spark)
+        return self.index.note(spark).get("maior")
+
+    def _catch_up(self, spark):
+        """Index the loads that are not in the index yet."""
+        loads, indexed = self.rows.finished(spark), self.index.finished(spark)
+        done = indexed[-1][1] if indexed else -1
+        if not loads or loads[-1][1] <= done:
+            return
+        counter = Observation()
+        ids = self.rows.read(spark, since=done + 1).select(self.id_column)
+        top = self.index.note(spark).get("maior")
+        ids = ids.observe(counter, F.max(self.id_column).alias("maior"))
+        self.index.write(id_index.of(ids, self.id_column), loads[-1][1],
+                         lambda: {"maior": max(v for v in (top, counter.get["maior"]) if v is not None)})
+
+    def load(self, source, overlap=None):
+        """Append the rows of ``source`` whose ids are not stored; returns their number."""
+        spark = source.sparkSession
+        mark = self.high_water_mark(spark)
+        fresh = source
+        if mark is not None:
+            if overlap is not None:
+                fresh = fresh.filter(F.col(self.id_column) > mark - overlap)
+            fresh = id_index.absent(fresh, self.index.read(spark), self.id_column)
+        loads = self.rows.finished(spark)
+        rows = self.rows.write(fresh, loads[-1][1] + 1 if loads else 0, keep_empty=False)
+        self._catch_up(spark)
+        return rows
+
+
+def _stored_schema(spark, path):
+    """The schema of the newest load."""
+    entries = BatchFolder(path, None).finished(spark)
+    return spark.read.parquet(BatchFolder(path, None).folder(entries[-1])).schema if entries else None
+
+
+def high_water_mark(spark, path, id_column):
+    """Largest id in an incrementally loaded table, 0 when it is missing or empty."""
+    schema = _stored_schema(spark, path)
+    return 0 if schema is None else Increments(path, schema, id_column).high_water_mark(spark) or 0
+
+
+def ingest_increment(source, path, id_column, overlap=None):
     """Append what is new in ``source``; rerun it at any interval. Returns the rows appended.
 
-    The first run takes everything, whatever the smallest id is. Rows without an id cannot be told
-    apart from stored ones and are refused.
+    Every id of the source is looked up in the index, so an id that arrives late is found however old it is; with
+    ``overlap`` only ids from that far below the largest are looked at, a filter that reaches the source.
+    Rows without an id cannot be told apart from stored ones and are refused.
     """
     if not source.filter(F.col(id_column).isNull()).limit(1).isEmpty():
         raise ValueError(f"rows without {id_column}")
-    spark = source.sparkSession
-    mark = _top_id(spark, path, id_column, fmt)
-    fresh = source
-    if mark is not None:
-        stored = read_table(spark, path, fmt)
-        fresh = new_rows(source, stored, id_column, mark, overlap, ids_per_range)
-    fresh = fresh.select(*source.columns).withColumn(RANGE, _range_of(id_column, ids_per_range))
-    return append(fresh, path, fmt, RANGE)
-
-
-def ingested(spark, path, fmt="parquet"):
-    """An incrementally loaded table with the columns of its source."""
-    return read_table(spark, path, fmt).drop(RANGE)
+    return Increments(path, source.schema, id_column).load(source, overlap)
+
+
+def ingested(spark, path):
+    """All rows of an incrementally loaded table."""
+    schema = _stored_schema(spark, path)
+    if schema is None:
+        raise FileNotFoundError(path)
+    return BatchFolder(path, schema).read(spark)
 
 
 def id_bounds(df, id_column):
