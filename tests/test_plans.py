@@ -48,6 +48,15 @@ def test_sketches_stay_close_to_the_exact_counts(spark):
         assert QUERIES[name](spark, FOLDER).first().dentro_do_erro
 
 
-def test_touched_quarters_are_cut_before_the_sum(spark):
-    text = plan(QUERIES["units_of_touched_quarters"](spark, FOLDER)).split("Initial Plan")[0]
-    assert text.index("HashAggregate") < text.index("LeftSemi")
+@pytest.mark.parametrize("name", ["units_of_touched_quarters", "daily_metrics_last_30_days", "top10_last_4_quarters"])
+def test_months_are_cut_at_the_scan(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER)).split("Initial Plan")[0]
+    scans = [part for part in text.split("FileScan")[1:] if "mes#" in part.split("ReadSchema")[0]]
+    assert scans and all("mes#" in part.split("PartitionFilters: [")[1].split("]")[0] for part in scans)
+    assert "l_orderkey" not in text and "o_orderdate" not in text
+
+
+@pytest.mark.parametrize("name", ["available_years", "available_quarters", "top10_slice_latest"])
+def test_readers_are_served_without_sales(spark, name):
+    frame = QUERIES[name](spark, FOLDER)
+    assert all("ranking" in file for file in frame.inputFiles())

@@ -33,3 +33,14 @@ def recompute(sales, customers, events, gold_root, store, as_of=None, finished=N
     store.publish(ranking, KEYS["batch_top_products"], on_empty="raise")
     rate = stored["taxa_abandono"].select("taxa_abandono").first()[0]
     store.publish_value(spark, rate, KEYS["batch_abandonment"])
+
+
+def recompute_months(sales, customers, totals, months=None):
+    """Daily totals of some months (default: all there are) again from stored ``sales``; the other months stay.
+
+    Only the sales of those months are read. Growth is not stored with the totals, as the first day of a month is compared
+    with the month before: ``revenue.growth_since_yesterday`` adds it on reading, over one row for each day and segment.
+    """
+    spark = customers.sparkSession
+    months = sales.months(spark) if months is None else list(months)
+    totals.write(revenue.daily_revenue(sales.read(spark, months=months), customers), months)

@@ -241,6 +241,7 @@ ORACLE = {
         SELECT *, 'crescimento_receita' AS metrica FROM ({_LAG_GROWTH}) g
         UNION ALL BY NAME SELECT *, 'produtos_mais_vendidos' AS metrica FROM ({_LAST_4}) r
         UNION ALL BY NAME SELECT taxa_abandono, 'taxa_abandono' AS metrica FROM ({_ABANDONMENT}) a""",
+    "history_recompute_month": _calendar_growth(_daily()),
     "sales_per_period": f"SELECT {_period('month')}, {_sum(_VALUE)} AS vendas_totais FROM {_SALES} GROUP BY 1",
     "orders_per_period": f"""
         SELECT {_period('week')}, count(DISTINCT l_orderkey) AS numero_pedidos FROM {_SALES} GROUP BY 1""",

@@ -1,10 +1,13 @@
 """Every registered query: (spark, folder) -> DataFrame over the tables of that folder."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..operators import carts, cleaning, kpis, periods, products, revenue, sketches, upsert
 from ..schemas import CART_CREATED, GOLD, KEYS, TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
 from ..sources import footers, lake, messages, snapshots, tables
+from ..sources.monthly import MonthlyTable, months_later, months_of_quarters, quarter_start
 from ..sources.state import StateTable, bucket_unit, year_unit, quarter_unit
 from ..streaming import persist, realtime, sketched, windowed
 from ..streaming.historical import HistoricalMetrics
@@ -121,19 +124,17 @@ def revenue_growth_calendar(spark, folder):
     return revenue.newest_first(revenue.growth_since_yesterday(daily))
 
 
-def _newest_sale(sales):
-    return sales.agg(F.max("data_compra").alias("newest"))
-
-
 @query
 def daily_metrics_last_30_days(spark, folder):
-    """The 30 days up to the newest sale, read before they are summed."""
-    sales, customers = _daily(spark, folder)
-    newest = _newest_sale(sales.select("data_compra")).select(F.to_date("newest"))
-    # One more day is read, for the growth of the first day shown.
-    recent = sales.filter(F.col("data_compra") >= F.date_sub(newest.scalar(), 31).cast("timestamp"))
-    growth = revenue.growth_since_yesterday(revenue.daily_revenue(recent, customers))
-    return revenue.newest_first(revenue.trailing_days(growth, 30, newest.scalar()))
+    """The 30 days up to the newest sale; only the months that they touch are opened."""
+    stored = staging.monthly_sales(spark, folder)
+    newest = stored.newest(spark)
+    # The days shown, and one more for the growth of the first, begin in the month before or the one before that.
+    recent = stored.read(spark, since=months_later(newest, -2))
+    last = F.to_date(stored.read(spark, since=newest).agg(F.max("data_compra")).scalar())
+    recent = recent.filter(F.col("data_compra") >= F.date_sub(last, 31).cast("timestamp"))
+    growth = revenue.growth_since_yesterday(revenue.daily_revenue(recent, _segments(spark, folder)))
+    return revenue.newest_first(revenue.trailing_days(growth, 30, last))
 
 
 @query
@@ -161,7 +162,10 @@ def top10_by_quarter(spark, folder):
 
 @query
 def top10_last_4_quarters(spark, folder):
-    recent = products.last_complete_quarters(_units(spark, folder))
+    """The four quarters before that of the newest month, which the folder names tell."""
+    stored = staging.monthly_sales(spark, folder)
+    end = quarter_start(stored.newest(spark))
+    recent = stored.read(spark, since=months_later(end, -12), before=end)
     return products.newest_quarters_first(products.rank_in_quarter(products.units_by_quarter(recent)))
 
 
@@ -175,22 +179,20 @@ def top10_named(spark, folder):
 
 @query
 def available_quarters(spark, folder):
-    return products.available_quarters(products.touched_quarters(_units(spark, folder)))
+    """Served from the published ranking."""
+    return products.available_quarters(staging.published_ranking(spark, folder))
 
 
 @query
 def available_years(spark, folder):
-    return products.available_years(products.touched_quarters(_units(spark, folder)))
+    """Served from the published ranking."""
+    return products.available_years(staging.published_ranking(spark, folder))
 
 
 @query
 def top10_slice_latest(spark, folder):
-    """The latest quarter of the ranking, with the column names shown to readers."""
-    # Sales are cut to the newest quarter before they are summed.
-    sales = _units(spark, folder)
-    start = _newest_sale(sales).select(F.date_trunc("quarter", "newest"))
-    latest = products.units_by_quarter(sales.filter(F.col("data_compra") >= start.scalar()))
-    named = products.with_product_names(products.rank_in_quarter(latest), tables.catalog(spark, folder))
+    """The latest quarter of the published ranking, with the column names shown to readers."""
+    named = products.quarter_slice(staging.published_ranking(spark, folder))
     return named.withColumnsRenamed({"nome_produto": "produto", "unidades_vendidas": "qtd_vendida"})
 
 
@@ -405,10 +407,12 @@ def batch_touched_quarters(spark, folder):
 
 @query
 def units_of_touched_quarters(spark, folder):
-    """Units restricted to the quarters in which urgent orders were placed in 2000."""
-    sales = _units(spark, folder, "metodo_pagamento")
-    batch = sales.filter("metodo_pagamento = '1-URGENT' AND year(data_compra) = 2000")
-    return products.units_by_quarter(products.sales_in_quarters(sales, products.touched_quarters(batch)))
+    """Units of the quarters in which urgent orders were placed in 2000; only their months are opened."""
+    stored = staging.monthly_sales(spark, folder)
+    batch = stored.read(spark, since=date(2000, 1, 1), before=date(2001, 1, 1)).filter("metodo_pagamento = '1-URGENT'")
+    # Bounded by the calendar.
+    touched = [(r.ano, r.trimestre) for r in products.touched_quarters(batch).collect()]
+    return products.units_by_quarter(stored.read(spark, months=months_of_quarters(touched)))
 
 
 @query
@@ -496,6 +500,18 @@ def history_recompute(spark, folder):
     return named[0].unionByName(named[1], True).unionByName(named[2], True)
 
 
+@query
+def history_recompute_month(spark, folder):
+    """Daily totals of the first lines, of which every month is computed again by itself from all lines."""
+    stored, customers = staging.monthly_sales(spark, folder), _segments(spark, folder)
+    totals = MonthlyTable(staging.new_folder(spark, "totals"), "data")
+    totals.write(revenue.daily_revenue(stored.read(spark).filter(FIRST), customers))
+    months = stored.months(spark)
+    for part in (months[::2], months[1::2]):
+        history.recompute_months(stored, customers, totals, part)
+    return revenue.growth_since_yesterday(spark.read.parquet(totals.path).drop("mes"))
+
+
 # Periods and averages
 
 

@@ -4,9 +4,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators import products
 from ..schemas import TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
 from ..session import shared_folder
 from ..sources import lake, tables
+from ..sources.monthly import MonthlyTable
 
 # Lines of one order arrive in different loads, so later loads touch days and quarters again.
 LOADS = 3
@@ -60,6 +62,22 @@ def bronze_sales(spark, folder):
     return _once(spark, folder, "vendas", write)
 
 
+def monthly_sales(spark, folder):
+    """Sales stored by month of purchase."""
+    columns = [*SALES_COLUMNS, "metodo_pagamento", "linha"]
+    path = _once(spark, folder, "vendas-por-mes", lambda path: MonthlyTable(path, "data_compra").write(tables.sales(spark, folder, *columns)))
+    return MonthlyTable(path, "data_compra")
+
+
+def published_ranking(spark, folder):
+    """The quarterly ranking with names, as it is stored for readers."""
+    def write(path):
+        units = products.units_by_quarter(monthly_sales(spark, folder).read(spark))
+        named = products.with_product_names(products.rank_in_quarter(units), tables.catalog(spark, folder))
+        named.hint("rebalance", "ano", "trimestre").write.partitionBy("ano", "trimestre").parquet(path)
+    return spark.read.parquet(_once(spark, folder, "ranking", write))
+
+
 def sales_messages(spark, folder):
     """Transactions as JSON messages."""
     fields = TRANSACTION_MESSAGE.fieldNames()
