@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from .exact_dedup import sha256
-from .texts import record, slices, text_or_empty, texts_of, words_of
+from .texts import record, slices, spare, text_or_empty, texts_of, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 35, 12
@@ -227,9 +227,10 @@ def contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_col
 def drop_contaminated(docs, benchmark, part_items=20_000, part_bytes=16 << 20, id_column="doc_id", text_column="text",
                       item_column="item_id", item_text_column="text"):
     """The rows of ``docs`` that hold no benchmark item, with all their columns, whatever other rows of their id hold."""
+    leaking, digest, own_digest = spare(docs.columns, "leaking", "digest", "own_digest")
     found = scanned(docs, benchmark, _find_leaking, "doc_id long, digest binary",
                     part_items, part_bytes, id_column, text_column, item_column, item_text_column).select(
-        F.col("doc_id").alias("__found"), F.col("digest").alias("__digest")).distinct()
-    own = docs.withColumn("__own_digest", F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
-    return own.join(found, F.col(id_column).cast("long").eqNullSafe(F.col("__found")) & (F.col("__own_digest") == F.col("__digest")),
+        F.col("doc_id").alias(leaking), F.col("digest").alias(digest)).distinct()
+    own = docs.withColumn(own_digest, F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
+    return own.join(found, F.col(id_column).cast("long").eqNullSafe(F.col(leaking)) & (F.col(own_digest) == F.col(digest)),
                     "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .texts import lower_ascii, record, slices, texts_of
+from .texts import lower_ascii, record, slices, spare, texts_of
 
 _LOCAL = "doc_id long, local_id long, digest binary, content string, held long"
 _LOCAL_ARROW = pa.schema([("doc_id", pa.int64()), ("local_id", pa.int64()), ("digest", pa.binary()),
@@ -89,11 +89,12 @@ def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256
 def keep_one(docs, id_column="doc_id", text_column="text", salts=16):
     """The rows of ``docs`` that stay, with all their columns; of a repeated row one stays."""
     no_id = F.lit(-(2 ** 63))
+    id_, digest, own_id, own_digest, place = spare(docs.columns, "id", "digest", "own_id", "own_digest", "place")
     found = groups(docs, id_column, text_column, salts).filter("kept").select(
-        F.coalesce("doc_id", no_id).alias("__id"), F.col("digest").alias("__digest")).distinct()
+        F.coalesce("doc_id", no_id).alias(id_), F.col("digest").alias(digest)).distinct()
     text = F.coalesce(F.col(text_column), F.lit(""))
-    own = docs.withColumn("__own_id", F.coalesce(F.col(id_column).cast("long"), no_id)).withColumn(
-        "__own_digest", F.unhex(F.sha2(lower_ascii(text).cast("binary"), 256)))
-    joined = own.join(found, (F.col("__own_id") == F.col("__id")) & (F.col("__own_digest") == F.col("__digest")))
-    first = F.row_number().over(Window.partitionBy("__own_id", "__own_digest").orderBy(text_column))
-    return joined.withColumn("__place", first).filter("__place = 1").select(*[joined[f"`{c}`"] for c in docs.columns])
+    own = docs.withColumn(own_id, F.coalesce(F.col(id_column).cast("long"), no_id)).withColumn(
+        own_digest, F.unhex(F.sha2(lower_ascii(text).cast("binary"), 256)))
+    joined = own.join(found, (F.col(own_id) == F.col(id_)) & (F.col(own_digest) == F.col(digest)))
+    first = F.row_number().over(Window.partitionBy(own_id, own_digest).orderBy(text_column))
+    return joined.withColumn(place, first).filter(F.col(place) == 1).select(*[joined[f"`{c}`"] for c in docs.columns])

@@ -58,8 +58,15 @@ def candidates(text, spans):
     """Runs of the credential alphabet that no base span touches."""
     if longest_word(text) < 16:
         return []
-    return [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)
-            if not any(start < m.end() and m.start() < end for _, start, end, _ in spans)]
+    found, ahead, covered = [], 0, 0
+    for m in CANDIDATE.finditer(text):
+        # Spans come by their start: the farthest end of those that begin before this run tells whether one touches it.
+        while ahead < len(spans) and spans[ahead][1] < m.end():
+            covered = max(covered, spans[ahead][2])
+            ahead += 1
+        if covered <= m.start():
+            found.append((m.start(), m.end(), m[0]))
+    return found
 
 
 class Automaton:

@@ -30,7 +30,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .exact_dedup import sha256
-from .texts import cut, record, slices, text_or_empty, texts_of
+from .texts import cut, record, slices, spare, text_or_empty, texts_of
 
 SEED, RADIUS = 42, 4
 WIDTHS = (23, 23, 18)
@@ -241,13 +241,14 @@ def keep_one(docs, radius=RADIUS, shingle_words=4, id_column="doc_id", text_colu
     stays, and of a repeated row (same id, equal text) one. Other groups do not matter to a row, whatever its id.
     """
     no_id = F.lit(-(2 ** 63))
+    id_, digest, own_id, own_digest, place = spare(docs.columns, "id", "digest", "own_id", "own_digest", "place")
     marked = cut(fingerprints(docs, shingle_words, id_column, text_column, digest=True))
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "digest")
     named = rooted(marked.groupBy("fp").agg(F.min(order).alias("low")), radius)
     found = named.groupBy("root").agg(F.min("low").alias("low")).select(
-        F.coalesce("low.doc_id", no_id).alias("__id"), F.col("low.digest").alias("__digest"))
-    own = docs.withColumn("__own_id", F.coalesce(F.col(id_column).cast("long"), no_id)).withColumn(
-        "__own_digest", F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
-    first = F.row_number().over(Window.partitionBy("__own_id", "__own_digest").orderBy(text_column))
-    return own.join(found, (F.col("__own_id") == F.col("__id")) & (F.col("__own_digest") == F.col("__digest")),
-                    "left_semi").withColumn("__place", first).filter("__place = 1").select(*[f"`{c}`" for c in docs.columns])
+        F.coalesce("low.doc_id", no_id).alias(id_), F.col("low.digest").alias(digest))
+    own = docs.withColumn(own_id, F.coalesce(F.col(id_column).cast("long"), no_id)).withColumn(
+        own_digest, F.unhex(F.sha2(text_or_empty(text_column).cast("binary"), 256)))
+    first = F.row_number().over(Window.partitionBy(own_id, own_digest).orderBy(text_column))
+    return own.join(found, (F.col(own_id) == F.col(id_)) & (F.col(own_digest) == F.col(digest)), "left_semi").withColumn(
+        place, first).filter(F.col(place) == 1).select(*[f"`{c}`" for c in docs.columns])

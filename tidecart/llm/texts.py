@@ -24,6 +24,17 @@ def lower_ascii(column):
     return F.when(ascii_only, F.lower(column)).otherwise(F.translate(column, UPPER, LOWER))
 
 
+def spare(columns, *names):
+    """Names like the given ones that no column has yet, for columns that a caller's table must not clash with."""
+    taken, free = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        free.append(name)
+    return free
+
+
 def id_bucket(column, modulus):
     """crc32 of the id as text, modulo; null for a null id."""
     return (F.crc32(F.col(column).cast("string").cast("binary")) % modulus).cast("int")
