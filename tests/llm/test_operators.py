@@ -13,7 +13,7 @@ from compare import assert_same, connect
 from tidecart.llm import (byte_bpe, decontamination, exact_dedup, language_id, line_dedup, lm_scoring, secret_scan,
                           simhash_golay, token_shards, toxicity)
 from tidecart.llm.queries import ORACLE, QUERIES
-from tidecart.llm.texts import id_bucket
+from tidecart.llm.texts import first_by_hash, id_bucket
 from tidecart.sources.tables import table
 
 FOLDER = "/root/testdata/sf0.001"
@@ -81,25 +81,79 @@ def test_empty_tables(spark, empty):
 
 # Language ID
 
-def test_lattice_sums_all_segmentations():
+def test_lattice_sums_all_segmentations(monkeypatch):
     vocabulary = language_id.pieces_of(public.path("piece_bpe_32k.model"))
     trie, random = language_id.Trie(vocabulary), np.random.default_rng(0)
     table = language_id.with_unknown(random.random((len(vocabulary), 3)) * 1e-2)
     index = {p: i for i, p in enumerate(vocabulary)}
 
     def plain(run):
-        ways = [np.ones(3)] + [np.zeros(3) for _ in run]
+        ways = [np.ones(3, dtype=np.longdouble)] + [np.zeros(3, dtype=np.longdouble) for _ in run]
         for end in range(1, len(run) + 1):
-            for start in range(end):
+            for start in range(max(0, end - trie.longest), end):
                 if run[start:end] in index:
                     ways[end] = ways[end] + ways[start] * table[index[run[start:end]]]
                 elif end == start + 1:
                     ways[end] = ways[end] + ways[start] * language_id.UNKNOWN
         return np.log(ways[-1])
 
-    words = ["house", "straße", "élève", "東京都", "x", "q" * 60]
-    expected = [sum(plain(run) for run in language_id.marked(w)) for w in words]
-    assert np.allclose(language_id.log_probabilities(trie, table, words), expected)
+    words = ["house", "straße", "élève", "東京都", "x", "q" * 60, "ab" * 60, "zwischenraum" * 30, "ሀ" * 43, "ሀ" * 48, "ሀ" * 300]
+    expected = np.array([plain("^" + w) for w in words]).astype(float)
+    assert np.allclose(language_id.log_probabilities(trie, table, words), expected, rtol=1e-12)
+    monkeypatch.setattr(language_id, "_BLOCK", 50)  # long words in blocks that hand on their sums
+    assert np.allclose(language_id.log_probabilities(trie, table, words), expected, rtol=1e-12)
+
+
+def test_a_word_of_a_million_letters():
+    vocabulary = language_id.pieces_of(public.path("piece_bpe_32k.model"))
+    trie, table = language_id.Trie(vocabulary), language_id.with_unknown(np.full((len(vocabulary), 2), 1e-5))
+    one, two = language_id.log_probabilities(trie, table, ["ab" * 250_000, "ab" * 500_000])
+    assert np.isfinite(two).all() and np.allclose(two, 2 * one, rtol=1e-4)
+
+
+def test_expected_counts_against_all_segmentations():
+    vocabulary = ("^", "^a", "^ab", "a", "ab", "b", "bab")
+    trie, weight = language_id.Trie(vocabulary), dict(zip(vocabulary, [0.1, 0.3, 0.05, 0.2, 0.25, 0.15, 0.02]))
+
+    def cuts(run):
+        return [[]] if not run else [[run[:n], *rest] for n in range(1, len(run) + 1) if run[:n] in weight for rest in cuts(run[n:])]
+
+    def plain(run):
+        total, used = 0.0, dict.fromkeys(vocabulary, 0.0)
+        for pieces in cuts(run):
+            p = np.prod([weight[x] for x in pieces])
+            total += p
+            for x in pieces:
+                used[x] += p
+        return np.array([used[x] / total for x in vocabulary])
+
+    runs, times = ["^ab" + "ab" * 9, "^abba", "^b"], np.array([3.0, 1.0, 2.0])
+    lattice = language_id.Lattice(trie, runs)
+    used = lattice.expected(np.array([*weight.values(), 1e-7])[lattice.piece], times)
+    assert np.allclose(np.bincount(lattice.piece, weights=used, minlength=len(vocabulary)), sum(n * plain(r) for r, n in zip(runs, times)))
+    lattice = language_id.Lattice(trie, ["^" + "ab" * 1000, "^ab"])
+    used = lattice.expected(np.array([*weight.values(), 1e-7])[lattice.piece], np.ones(2))
+    letters = np.zeros(lattice.size)
+    for start, end, n in zip(lattice.start, lattice.end, used):
+        letters[start:end] += n
+    assert np.allclose(letters[:2001], 1) and np.allclose(letters[2002:2005], 1)
+
+
+def test_letters_outside_the_vocabulary_tell_nothing(spark, odd):
+    docs = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("the house and the garden", "en"), ("das haus und der garten", "de")] * 20)],
+                                 "doc_id long, text string, lang string")
+    model = language_id.learn(docs, public.path("piece_bpe_32k.model"))
+    found = {r.doc_id: r for r in language_id.identify(spark.createDataFrame([(1, "ሀለሐ መሠረ ሰሸቀ"), (2, "the house")], "doc_id long, text string"), *model).collect()}
+    assert abs(found[1].score - 0.5) < 1e-9 and found[2].lang_pred == "en" and found[2].score > 0.9
+
+
+def test_first_rows_by_hash(spark):
+    rows = spark.range(30_000).selectExpr("id", "CASE WHEN id % 50 = 0 THEN 'few' WHEN id = 7 THEN 'one' ELSE 'hot' END AS key", "1 AS total")
+    chosen = first_by_hash(rows, "key", "id", 100).collect()
+    by_key = {k: sorted(r.id for r in chosen if r.key == k) for k in ("few", "one", "hot")}
+    every = rows.selectExpr("id", "key", "shiftrightunsigned(xxhash64(id), 24) AS h").collect()
+    for key, ids in by_key.items():
+        assert ids == sorted(r.id for r in sorted((r for r in every if r.key == key), key=lambda r: (r.h, r.id))[:100])
 
 
 def test_expected_counts_add_up():

@@ -8,29 +8,33 @@ those with the smallest hash of the id. Everything else covers all rows and whol
 
 Defined cases: null texts and texts without letters give ``und`` with score 0; ties go to the first
 language by name; without any labelled row every text is ``und``. Words are runs between ASCII white
-space, reduced to letters and lower-cased; words over 48 letters are scored in runs of 48. Repeated rows,
-null ids and extra columns change nothing. The score is the posterior of the chosen language with equal
-priors, with the evidence counted as at most ``EVIDENCE`` words so that long texts stay comparable.
+space, reduced to letters and lower-cased, and summed over all cuts however long they are: the sums are
+rescaled on the way, and words over ``_BLOCK`` letters are taken in blocks that hand on the sums at their edge. Only
+fitting takes words over ``LEARNED`` letters in parts. Repeated rows, null ids and extra columns change nothing. The
+score is the posterior of the chosen language with equal priors, with the evidence counted as at most ``EVIDENCE``
+words so that long texts stay comparable, and less by the share of letters that no piece covers: a text of such
+letters alone has the score 1 / languages.
 """
 
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .texts import cut, id_bucket, record, slices, sums_by_text, texts_of, words_of
+from .texts import cut, first_by_hash, id_bucket, record, slices, sums_by_text, texts_of, words_of
 
 UNDETERMINED = "und"
 EVIDENCE = 50.0
-LONGEST = 48
+#: Letters of one run in fitting.
+LEARNED = 4096
+#: Letters between two rescalings of the sums.
+RESCALED = 16
 #: Probability of a letter that no piece covers, and weight of the common distribution in smoothing.
 UNKNOWN, PRIOR = 1e-7, 50.0
-#: Bytes of text scored at a time, and words in one lattice: 20,000 take some 80 MB.
-_SLICE, _WORDS = 2 << 20, 20_000
+#: Bytes of text scored at a time, and letters in one lattice: 160,000 take some 80 MB.
+_SLICE, _BLOCK = 2 << 20, 160_000
 _RESULT = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
 
 
@@ -54,9 +58,22 @@ def letters(word):
     return word.lower() if word.isalpha() else "".join(c for c in word if c.isalpha()).lower()
 
 
-def marked(word):
-    """Runs of at most LONGEST letters, the first with the mark of a word's start."""
-    return ["^" * (i == 0) + word[i:i + LONGEST] for i in range(0, len(word), LONGEST)]
+def learned_runs(word):
+    """Runs of at most LEARNED letters, the first with the mark of a word's start."""
+    return ["^" * (i == 0) + word[i:i + LEARNED] for i in range(0, len(word), LEARNED)]
+
+
+def parts_by_letters(items, size, limit=_BLOCK):
+    """Cuts a list into parts of at most about ``limit`` letters, one item at least."""
+    part, held = [], 0
+    for item in items:
+        if part and held + size(item) > limit:
+            yield part
+            part, held = [], 0
+        part.append(item)
+        held += size(item)
+    if part:
+        yield part
 
 
 class Trie:
@@ -65,6 +82,9 @@ class Trie:
     def __init__(self, vocabulary):
         alphabet = sorted({c for piece in vocabulary for c in piece})
         self.width = len(alphabet) + 1
+        self.longest = max(map(len, vocabulary), default=1)
+        self.alone = np.zeros(0x110000, dtype=bool)
+        self.alone[[ord(piece) for piece in vocabulary if len(piece) == 1]] = True
         self.codes = np.zeros(0x110000, dtype=np.int32)
         self.codes[[ord(c) for c in alphabet]] = np.arange(1, self.width)
         children, ends = [{}], [-1]
@@ -104,11 +124,14 @@ class Trie:
 
 
 class Lattice:
-    """All ways to cut runs into pieces, as arcs between positions; row ``trie.pieces`` is the unknown letter."""
+    """All ways to cut runs into pieces, as arcs between positions; row ``trie.pieces`` is the unknown letter.
 
-    def __init__(self, trie, runs):
+    With ``own``, only arcs from the first ``own`` letters of each run are taken.
+    """
+
+    def __init__(self, trie, runs, own=None):
         lengths = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-        codes = trie.codes[np.frombuffer("".join(runs).encode("utf-32-le"), dtype=np.uint32)]
+        codes = trie.codes[np.frombuffer("".join(runs).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
         stop = np.cumsum(lengths)
         run = np.repeat(np.arange(len(runs)), lengths)
         limit = stop[run]
@@ -132,53 +155,101 @@ class Lattice:
         self.run = run[start]
         level = start - (stop - lengths)[self.run]
         order = np.argsort(level, kind="stable")
+        if own is not None:
+            order = order[:np.searchsorted(level[order], own)]
         # Positions of a run are its letters and one more, so each run has its own end.
         self.start, self.end, self.piece, self.run = (
             (start + self.run)[order], (end + self.run)[order], self.piece[order].astype(np.int64), self.run[order])
         self.levels = np.append(np.flatnonzero(np.diff(level[order], prepend=-1)), len(order))
         self.first, self.last = stop - lengths + np.arange(len(runs)), stop + np.arange(len(runs))
-        self.size = len(codes) + len(runs)
-
-    def forward(self, weights):
-        """Sums over all cuts up to each position; weights by arc, with any further axes."""
-        sums = np.zeros((self.size,) + weights.shape[1:])
-        sums[self.first] = 1
-        for a, b in zip(self.levels[:-1], self.levels[1:]):
+        self.size, self.reach = len(codes) + len(runs), np.arange(trie.longest + 1)
+
+    def _rescaled(self, sums, level):
+        """Makes the largest of the sums from ``level`` on, as far as a piece reaches, 1 in each longer run: (runs, logs)."""
+        runs = np.flatnonzero(self.last - self.first > level)
+        at = np.minimum(self.first[runs, None] + level + self.reach, self.last[runs, None])
+        values = sums[at]
+        peak = values.max(axis=1, keepdims=True)
+        peak[peak == 0] = 1
+        sums[at] = values / peak
+        return runs, np.log(peak[:, 0])
+
+    def forward(self, weights, begin=None):
+        """Sums over all cuts up to each position (weights by arc, with any further axes), and logarithms to add to them.
+
+        A position's logarithm is the sum of the returned ones from its run's first position to its own. ``begin``
+        gives the sums at the first positions of a single run.
+        """
+        sums, logs = np.zeros((self.size,) + weights.shape[1:]), np.zeros((self.size,) + weights.shape[1:])
+        if begin is None:
+            sums[self.first] = 1
+        else:
+            sums[:len(begin)] = begin
+        for level, (a, b) in enumerate(zip(self.levels[:-1], self.levels[1:])):
+            if level and level % RESCALED == 0:
+                runs, by = self._rescaled(sums, level)
+                logs[self.first[runs] + level] = by
             sums[self.end[a:b]] += sums[self.start[a:b]] * weights[a:b]  # the arcs of a level have different ends
-        return sums
+        return sums, logs
 
     def backward(self, weights):
-        sums = np.zeros(self.size)
+        """As forward, from the ends; a position's logarithm takes in those less than a piece before it."""
+        sums, logs = np.zeros(self.size), np.zeros(self.size)
         sums[self.last] = 1
-        for a, b in zip(self.levels[-2::-1], self.levels[:0:-1]):
+        for level in range(len(self.levels) - 2, -1, -1):
+            a, b = self.levels[level], self.levels[level + 1]
             np.add.at(sums, self.start[a:b], sums[self.end[a:b]] * weights[a:b])
-        return sums
+            if level and level % RESCALED == 0:
+                runs, by = self._rescaled(sums, level)
+                logs[self.first[runs] + level] = by
+        return sums, logs
 
     def expected(self, weights, times):
         """Expected use of each arc, for runs that were seen ``times`` times."""
-        ahead, behind = self.forward(weights), self.backward(weights)
-        whole = ahead[self.last]
-        share = np.where(whole > 0, times / np.maximum(whole, 1e-300), 0)
-        return ahead[self.start] * weights * behind[self.end] * share[self.run]
+        ahead, ahead_logs = self.forward(weights)
+        behind, behind_logs = self.backward(weights)
+        ahead_logs = np.cumsum(ahead_logs)  # a run's first position adds nothing, but runs before it do
+        behind_logs = np.append(np.cumsum(behind_logs[::-1])[::-1], 0)
+        reached = np.maximum(self.end - len(self.reach) + 1, self.first[self.run])
+        logs = (ahead_logs[self.start] - ahead_logs[self.last[self.run]]
+                + behind_logs[reached] - behind_logs[self.last[self.run] + 1])
+        return ahead[self.start] * weights * behind[self.end] * np.exp(logs) / ahead[self.last[self.run]] * times[self.run]
+
+
+def log_probability(trie, table, run):
+    """Log-probabilities of one long run in each language, block by block."""
+    total, begin = np.zeros(table.shape[1]), np.ones((1, table.shape[1]))
+    for at in range(0, len(run), _BLOCK):
+        own = min(_BLOCK, len(run) - at)
+        lattice = Lattice(trie, [run[at:at + own + trie.longest]], own)
+        sums, logs = lattice.forward(table[lattice.piece], begin)
+        edge = sums[own:]
+        peak = edge.max(axis=0)
+        total += logs.sum(axis=0) + np.log(peak)
+        begin = edge / peak
+    return total
 
 
 def log_probabilities(trie, table, words):
     """Log-probabilities of words (letters only) in each language: the sums over all their cuts."""
-    if not words:
-        return np.zeros((0, table.shape[1]))
-    runs = [marked(word) for word in words]
-    counts = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
-    lattice = Lattice(trie, list(chain.from_iterable(runs)))
-    sums = lattice.forward(table[lattice.piece])[lattice.last]
-    return np.add.reduceat(np.log(np.maximum(sums, 1e-300)), np.cumsum(counts) - counts, axis=0)
+    found = np.zeros((len(words), table.shape[1]))
+    short = []
+    for place, word in enumerate(words):
+        if len(word) < _BLOCK:
+            short.append((place, "^" + word))
+        else:
+            found[place] = log_probability(trie, table, "^" + word)
+    for part in parts_by_letters(short, lambda item: len(item[1])):
+        lattice = Lattice(trie, [run for _, run in part])
+        sums, logs = lattice.forward(table[lattice.piece])
+        found[[place for place, _ in part]] = np.log(sums[lattice.last]) + np.add.reduceat(logs, lattice.first, axis=0)
+    return found
 
 
 def bounded_sample(docs, per_language, id_column, lang_column, text_column):
     """Texts and languages of at most ``per_language`` labelled rows of each language."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (docs.select(F.col(lang_column).alias("lang"), F.col(id_column).alias("id")).filter("lang IS NOT NULL")
-              .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_language)
-              .select("lang", "id").distinct())
+    labelled = docs.select(F.col(lang_column).alias("lang"), F.col(id_column).alias("id")).filter("lang IS NOT NULL")
+    chosen = first_by_hash(labelled, "lang", "id", per_language).distinct()
     rows = docs.select(F.col(lang_column).alias("lang"), F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     # At most languages * per_language ids, a bound that does not grow with the table.
     return rows.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "text")
@@ -217,13 +288,14 @@ def fit(docs, vocabulary, per_language=500, rounds=3, id_column="doc_id", lang_c
         def count(batches):
             known, weights = model.value
             for frame in batches:
-                runs = [(run, place[lang], n) for lang, word, n in zip(frame["lang"], frame["word"], frame["n"])
-                        for run in marked(word)]
-                lattice = Lattice(known, [r[0] for r in runs])
-                language = np.array([r[1] for r in runs])[lattice.run]
-                used = lattice.expected(weights[lattice.piece, language], np.array([r[2] for r in runs], dtype=float))
-                cells, at = np.unique(language * len(weights) + lattice.piece, return_inverse=True)
-                yield pd.DataFrame({"lang": cells // len(weights), "piece": cells % len(weights), "n": np.bincount(at, weights=used)})
+                every = [(run, place[lang], n) for lang, word, n in zip(frame["lang"], frame["word"], frame["n"])
+                         for run in learned_runs(word)]
+                for runs in parts_by_letters(every, lambda r: len(r[0])):
+                    lattice = Lattice(known, [r[0] for r in runs])
+                    language = np.array([r[1] for r in runs])[lattice.run]
+                    used = lattice.expected(weights[lattice.piece, language], np.array([r[2] for r in runs], dtype=float))
+                    cells, at = np.unique(language * len(weights) + lattice.piece, return_inverse=True)
+                    yield pd.DataFrame({"lang": cells // len(weights), "piece": cells % len(weights), "n": np.bincount(at, weights=used)})
 
         counts = np.zeros_like(table)
         for row in (words.mapInPandas(count, "lang int, piece int, n double")
@@ -253,10 +325,9 @@ class Model:
         places = self.places
         new = [word for word in words if word not in places]
         if new:
-            for part in (new[i:i + _WORDS] for i in range(0, len(new), _WORDS)):
-                begin = len(places)
-                self.rows[begin:begin + len(part)] = log_probabilities(self.trie, self.table, part)
-                places.update(zip(part, range(begin, begin + len(part))))
+            begin = len(places)
+            self.rows[begin:begin + len(new)] = log_probabilities(self.trie, self.table, new)
+            places.update(zip(new, range(begin, begin + len(new))))
         return self.rows[np.fromiter(map(places.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
@@ -267,13 +338,19 @@ def predictions(model, texts):
     bare = [letters(word) for word in words]
     distinct = sorted({word for word in bare if word})
     place = {word: i for i, word in enumerate(distinct)}
-    rows = np.zeros((len(distinct) + 1, width + 1))  # the last row: words without letters
+    rows = np.zeros((len(distinct) + 1, width + 3))  # the last row: words without letters
     rows[:-1, :width] = model.log_probabilities(distinct)
     rows[:-1, width] = 1
+    if distinct:
+        lengths = np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct))
+        covered = model.trie.alone[np.frombuffer("".join(distinct).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)]
+        rows[:-1, width + 1] = np.add.reduceat(covered.astype(np.float64), np.cumsum(lengths) - lengths)
+        rows[:-1, width + 2] = lengths
     at = np.array([place.get(word, len(distinct)) for word in bare], dtype=np.int64)
     sums = sums_by_text(rows[at[codes]], offsets)
     count = sums[:, width]
-    tempered = sums[:, :width] * np.minimum(1, EVIDENCE / np.maximum(count, 1))[:, None]
+    told_share = sums[:, width + 1] / np.maximum(sums[:, width + 2], 1)
+    tempered = sums[:, :width] * (told_share * np.minimum(1, EVIDENCE / np.maximum(count, 1)))[:, None]
     shares = np.exp(tempered - tempered.max(axis=1, keepdims=True))
     shares /= shares.sum(axis=1, keepdims=True)
     best = sums[:, :width].argmax(axis=1)
@@ -291,11 +368,9 @@ def _scorer(model):
 
 def _keeper(model, text_column):
     def run(batches):
-        languages = len(model.value.languages)
-        alike = (1 + 1e-9) / languages if languages > 1 else 0.0  # the best score of a text that is alike in all
         for batch in slices(batches, _SLICE, text_column):
-            names, scores = predictions(model.value, texts_of(batch, text_column))
-            yield batch.filter(pa.array([name != UNDETERMINED and s > alike for name, s in zip(names, scores)], pa.bool_()))
+            names, _ = predictions(model.value, texts_of(batch, text_column))
+            yield batch.filter(pa.array([name != UNDETERMINED for name in names], pa.bool_()))
     return run
 
 
@@ -311,7 +386,7 @@ def identify(docs, languages, table, vocabulary, id_column="doc_id", text_column
 
 
 def keep_told(docs, languages, table, vocabulary, text_column="text"):
-    """The rows of ``docs``, with all columns, that have a language; rows alike in all of several languages have none."""
+    """The rows of ``docs``, with all columns, for which ``identify`` names a language."""
     model = shared_model(docs, languages, table, vocabulary)
     return docs.mapInArrow(_keeper(model, text_column), docs.schema)
 

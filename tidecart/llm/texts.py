@@ -7,6 +7,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -40,6 +41,23 @@ def id_bucket(column, modulus):
     return (F.crc32(F.col(column).cast("string").cast("binary")) % modulus).cast("int")
 
 
+def first_by_hash(rows, key, ident, limit):
+    """The ``limit`` rows of each key that come first by the hash of ``ident`` (more than one column: a list of names).
+
+    A key is counted first, and only rows under a hash that some twice ``limit`` of them fall under are ranked, so a
+    key with most of the rows brings no more of them together than any other. One row for each key is broadcast.
+    """
+    names = [ident] if isinstance(ident, str) else list(ident)
+    hashed = F.xxhash64(*names)
+    counted, total, place = spare(rows.columns, "counted", "total", "place")
+    counts = rows.groupBy(F.col(key).alias(counted)).agg(F.count(F.lit(1)).alias(total))
+    share = F.shiftrightunsigned(hashed, 24) / F.lit(float(1 << 40))
+    likely = rows.join(F.broadcast(counts), F.col(key) == F.col(counted)).filter(share * F.col(total) < 2 * limit + 100)
+    # Unsigned, as the share is.
+    order = Window.partitionBy(key).orderBy(F.shiftrightunsigned(hashed, 24), *names)
+    return likely.withColumn(place, F.row_number().over(order)).filter(F.col(place) <= limit).select(*[f"`{c}`" for c in rows.columns])
+
+
 def slices(batches, limit=SLICE_BYTES, column="text"):
     """Cuts each Arrow batch into runs of rows of at most about ``limit`` bytes of text."""
     for batch in batches:
