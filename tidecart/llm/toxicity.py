@@ -6,11 +6,11 @@ pair such as an insult with a group mention can count although neither term does
 than the terms: their sum is half of (square of the sum minus sum of the squares) in each factor.
 
 Weights and factors are fitted with proximal AdaGrad steps on a bounded sample of labelled rows:
-``per_label`` rows of each label, those with the smallest hash of the id, and of their terms the ``terms``
-with the most evidence among those in ``least`` texts or more: the chi-square of the term alone or, if larger,
-of its best pair, by what the pair tells beyond its two terms. Factor vectors shrink as groups, by the same
+``per_label`` rows of each label, those with the smallest hash of the id, and on all their terms in ``least``
+texts or more. A term's evidence is the chi-square of the term alone or, if larger, of its best pair, by what the
+pair tells beyond its two terms. Factor vectors shrink as groups, by this
 evidence, so terms that carry nothing alone or in a pair leave the model. Scores cover every row and its
-whole text. Pairs are counted in the sample's rows in random order, up to ``pair_work`` pairs of terms in one row.
+whole text. The pairs of all rows of the sample are counted, as products of blocks of the matrix of rows and terms.
 
 Defined cases: null and empty texts have no terms and get the intercept's score; without both labels in the
 sample every score is 0. Labels that are null are not learned from; repeated labels count each time. Ties
@@ -20,10 +20,9 @@ in sampling go to the smaller id. Extra columns of either table are ignored.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .texts import id_bucket, record, slices, sums_by_text, texts_of, words_of
+from .texts import first_by_hash, id_bucket, record, slices, sums_by_text, texts_of, words_of
 
 
 def term_hashes(words):
@@ -52,10 +51,9 @@ def _term_sets(batches):
 
 def bounded_sample(docs, labels, per_label, label_column, id_column, text_column):
     """(label, terms) of at most ``per_label`` labelled rows of each of the labels 0 and 1."""
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
-              .filter("label IN (0, 1) AND id IS NOT NULL").withColumn("place", F.row_number().over(order))
-              .filter(F.col("place") <= per_label).select("id", "label"))
+    usable = (labels.select(F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("label"))
+              .filter("label IN (0, 1) AND id IS NOT NULL"))
+    chosen = first_by_hash(usable, "label", "id", per_label)
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     # At most 2 * per_label ids, a bound that does not grow with the tables.
     return rows.join(F.broadcast(chosen), "id").select("label", "text").mapInArrow(
@@ -81,6 +79,10 @@ class Machine:
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
+#: Terms of one block of pairs: its counts take some 4 MB.
+_TERMS = 1000
+
+
 def sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
@@ -96,32 +98,38 @@ def pair_evidence(y, columns, offsets, seen, hits, least):
     odds = np.log((hits + rate) / (seen - hits + 1 - rate)) - np.log(rate / (1 - rate))
     order = np.argsort(columns, kind="stable")
     owner = np.repeat(np.arange(len(y)), np.diff(offsets))[order]
-    bounds = np.searchsorted(columns[order], np.arange(len(seen) + 1))
-    sizes = np.diff(offsets)
-    tested = 0
-    for term in np.flatnonzero(seen >= least).tolist():
-        rows = owner[bounds[term]:bounds[term + 1]]
-        total = np.zeros(len(seen), dtype=np.int64)
-        toxic = np.zeros(len(seen), dtype=np.int64)
-        for part, into in ((rows, total), (rows[y[rows] == 1], toxic)):
-            for begin in range(0, len(part), 500):
-                some = part[begin:begin + 500]
-                ends = np.cumsum(sizes[some])
-                at = np.arange(ends[-1]) + np.repeat(offsets[some] - ends + sizes[some], sizes[some])
-                into += np.bincount(columns[at], minlength=len(seen))
-        total[term] = 0
-        other = np.flatnonzero(total >= least)
-        if not len(other):
-            continue
-        n, h = total[other], toxic[other]
-        p = sigmoid(np.log(rate / (1 - rate)) + odds[term] + odds[other])
-        told = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
-        found[term] = told.max()
-        tested += len(other)
+    sorted_columns = columns[order]
+    blocks = [(a, min(a + _TERMS, len(seen))) for a in range(0, len(seen), _TERMS)]
+
+    def rows_and_terms(block):
+        low, high = np.searchsorted(sorted_columns, block)
+        held = np.zeros((len(y), block[1] - block[0]), dtype=np.float32)
+        held[owner[low:high], sorted_columns[low:high] - block[0]] = 1
+        return held
+
+    positive, tested = y == 1, 0
+    for i, one in enumerate(blocks):
+        left = rows_and_terms(one)
+        for other in blocks[i:]:
+            right = left if other is one else rows_and_terms(other)
+            total, toxic = left.T @ right, left[positive].T @ right[positive]  # exact: counts far below 2^24
+            counted = total >= least
+            if other is one:
+                counted &= ~np.eye(len(total), dtype=bool)
+            first, second = np.nonzero(counted)
+            if not len(first):
+                continue
+            n, h = total[first, second].astype(np.float64), toxic[first, second].astype(np.float64)
+            p = sigmoid(np.log(rate / (1 - rate)) + odds[one[0] + first] + odds[other[0] + second])
+            told = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
+            np.maximum.at(found, one[0] + first, told)
+            if other is not one:
+                np.maximum.at(found, other[0] + second, told)
+            tested += len(first) * (1 if other is one else 2)
     return np.maximum(found - 2 * np.log(max(tested, 1)), 0)
 
 
-def _pairs_of_sample(y, codes, owner, seen, work, least):
+def _pairs_of_sample(y, codes, owner, seen, least):
     """pair_evidence of all terms, from the frequent ones: a pair of terms that tell nothing alone, in fewer texts
     than ``few``, cannot tell more than the best pair does by chance."""
     few = max(least, int(np.ceil(np.log(max(len(seen), 2)) / -np.log(min(y.mean(), 1 - y.mean())))))
@@ -131,13 +139,6 @@ def _pairs_of_sample(y, codes, owner, seen, work, least):
     columns = place[codes]
     known = columns >= 0
     columns, owner = columns[known], owner[known]
-    sizes = np.bincount(owner, minlength=len(y)).astype(np.int64)
-    order = np.random.default_rng(12).permutation(len(y))
-    taken = np.zeros(len(y), dtype=bool)
-    taken[order[np.cumsum(sizes[order] ** 2) <= work]] = True
-    number = np.cumsum(taken) - 1
-    columns, owner = columns[taken[owner]], number[owner[taken[owner]]]
-    y = y[taken]
     found = np.zeros(len(seen))
     if len(columns) and 0 < y.sum() < len(y):
         offsets = np.searchsorted(owner, np.arange(len(y) + 1))
@@ -147,7 +148,7 @@ def _pairs_of_sample(y, codes, owner, seen, work, least):
     return found
 
 
-def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0, shrink=0.02, pair_work=2_000_000_000):
+def learn(labels, term_sets, least=3, factors=6, steps=60, rate=1.0, shrink=0.02):
     """Fits a Machine to bounded arrays; None if only one label is present."""
     y = np.asarray(labels, dtype=np.float64)
     if not 0 < y.sum() < len(y):
@@ -158,10 +159,9 @@ def learn(labels, term_sets, terms=5_000, least=3, factors=6, steps=60, rate=1.0
     hits = np.bincount(codes, weights=y[owner], minlength=len(every))
     expected = seen * y.mean()
     chi = np.where(seen >= least, (hits - expected) ** 2 / np.maximum(expected * (1 - seen / (len(y) + 1)), 1e-9), -1)
-    paired = _pairs_of_sample(y, codes, owner, seen, pair_work, least)
+    paired = _pairs_of_sample(y, codes, owner, seen, least)
     evidence = np.maximum(chi, np.where(seen >= least, paired, -1))
-    chosen = np.sort(np.argsort(-evidence, kind="stable")[:terms])
-    chosen = chosen[chi[chosen] >= 0]
+    chosen = np.flatnonzero(seen >= least)
     place = np.full(len(every), -1)
     place[chosen] = np.arange(len(chosen))
     columns = place[codes]
