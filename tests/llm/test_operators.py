@@ -222,6 +222,8 @@ def test_grammar_finds_bare_credentials(spark):
     words = ["".join(random.choice(list("etaoinshrdlu"), 20)) for _ in range(400)]
     docs = spark.createDataFrame([(i, f"so password={h} and {w} end") for i, (h, w) in enumerate(zip(hexes, words))], "doc_id long, text string")
     model = secret_scan.learn(docs)
+    scores = [x.score for r in secret_scan.scan(docs, model).collect() for x in r.spans if x.kind == "assign"]
+    assert scores and all(x is not None for x in scores)  # base spans are scored too
     fresh = spark.createDataFrame([(1, "take 4f7be01d9c3a5e8b72 now"), (2, "take rthesndutaoinshedrul now"), (3, None)], "doc_id long, text string")
     same(secret_scan.scan(fresh, model).select("doc_id", secret_scan.written(F.col("spans"))), [(1, "like_assign:5:23"), (2, ""), (3, "")])
 
@@ -294,8 +296,8 @@ def test_pairs_count_with_the_defaults():
             labels.append(int(a == b))  # neither term says anything alone
         return labels, sets
 
-    for words, options in ((60, {}), (300, {"terms": 40})):  # 40 terms: the pair's must be among those that are kept
-        machine = toxicity.learn(*texts(1500, words), **options)
+    for words in (60, 300):
+        machine = toxicity.learn(*texts(1500, words))
         labels, sets = texts(500, words)  # not those learned from
         places = [p[p >= 0] for p in map(machine.places, sets)]
         scores = toxicity.sigmoid(machine.margins(np.concatenate(places), np.append(0, np.cumsum([len(p) for p in places]))))
@@ -304,6 +306,30 @@ def test_pairs_count_with_the_defaults():
         assert len(machine.hashes) < words / 2  # terms that carry nothing have left
 
 
+def test_margins_and_pair_evidence_against_plain_loops(monkeypatch):
+    random = np.random.default_rng(5)
+    sets = [np.unique(random.integers(0, 25, random.integers(0, 15))) for _ in range(300)]
+    columns, offsets = np.concatenate(sets), np.append(0, np.cumsum([len(x) for x in sets]))
+    machine = toxicity.Machine(np.arange(25), random.normal(size=25), random.normal(size=(25, 4)), 0.3)
+    plain = [0.3 + sum(machine.weights[i] for i in x) + sum(machine.factors[i] @ machine.factors[j] for i in x for j in x if i < j) for x in sets]
+    assert np.allclose(machine.margins(columns, offsets), plain)
+
+    y = random.integers(0, 2, len(sets)).astype(float)
+    seen = np.bincount(columns, minlength=25)
+    hits = np.bincount(columns, weights=np.repeat(y, np.diff(offsets)), minlength=25)
+    rate, best, tested = y.mean(), np.zeros(25), 0
+    odd = lambda i: np.log((hits[i] + rate) / (seen[i] - hits[i] + 1 - rate)) - np.log(rate / (1 - rate))
+    for i in range(25):
+        for j in set(range(25)) - {i}:
+            both = [label for x, label in zip(sets, y) if i in x and j in x]
+            if len(both) >= 3:
+                n, h, p = len(both), sum(both), toxicity.sigmoid(np.log(rate / (1 - rate)) + odd(i) + odd(j))
+                told = 2 * ((h * np.log(h / (n * p)) if h else 0) + ((n - h) * np.log((n - h) / (n * (1 - p))) if n - h else 0))
+                best[i], tested = max(best[i], told), tested + 1
+    monkeypatch.setattr(toxicity, "_TERMS", 7)
+    assert np.allclose(toxicity.pair_evidence(y, columns, offsets, seen, hits, 3), np.maximum(best - 2 * np.log(tested), 0), atol=1e-4)
+
+
 def test_toxicity_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     found = QUERIES["op4_toxicity"](spark, folder).join(table(spark, folder, "labels"), "doc_id").filter("held_out").collect()

@@ -5,11 +5,12 @@ inferred: a prefix tree of the values, whose states are merged in order of depth
 ending and of each next character, and those of all following states, differ by no more than a Hoeffding
 bound allows. A further automaton is inferred from other long runs of characters. Each candidate, a run of
 16 characters or more of the credential alphabet outside the base spans, is scored by the log-likelihood ratio of
-its best format against that background; spans above both thresholds are added as ``like_`` kinds.
+its best format against that background; spans above both thresholds are added as ``like_`` kinds. Base spans
+are scored by the format of their own kind, and stay whatever their score.
 
-The grammars are learned from a bounded sample: ``sample_docs`` rows with the smallest hash of the id and of
-their values ``per_kind`` with the smallest hash, values over ``longest`` characters left out. The scan covers
-every row and its whole text.
+The grammars are learned from a bounded sample of labelled values: all documents are searched, and of the different
+values of each kind ``per_kind`` with the smallest hash are taken, values over ``longest`` characters left out. The
+scan covers every row and its whole text, in time that grows with the text (a text of many megabytes too).
 
 Defined cases: null texts are empty. Without labelled credentials of a kind that kind adds no spans. Ties
 between formats go to the first kind listed. Repeated rows, null ids and extra columns need no care.
@@ -35,6 +36,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 #: Thresholds of an added span: nats in all, and nats per character.
 LEAST_TOTAL, LEAST_MEAN = 10.0, 0.4
 FLOOR = 1e-6
+#: The sample is drawn from this many ranges (as a power of 2) of the hash first.
+_SLICE_BITS = 6
 
 
 def base_spans(text):
@@ -175,6 +178,11 @@ def infer(rows, least=5):
     return Automaton(sorted(values.get(-1, []))), kinds
 
 
+def likelihood(value, kind, background, kinds):
+    """How much likelier a value is as one of its kind than as plain text (logarithm); None for a kind not learned."""
+    return kinds[kind].log_likelihood(value) - background.log_likelihood(value) if kind in kinds else None
+
+
 def like(value, background, kinds):
     """The kind whose format explains a candidate well enough, or None."""
     plain, best = background.log_likelihood(value), None
@@ -197,16 +205,21 @@ def _labelled(batches):
         yield record(schema, kinds, values)
 
 
-def learn(docs, sample_docs=20_000, per_kind=1500, longest=128, id_column="doc_id", text_column="text"):
-    order = F.xxhash64(F.col(id_column))
-    chosen = docs.select(F.col(id_column).alias("id")).filter("id IS NOT NULL").orderBy(order, id_column).limit(sample_docs)
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    # At most sample_docs ids, a bound that does not grow with the table.
-    found = rows.join(F.broadcast(chosen.distinct()), "id", "left_semi").select("text").mapInArrow(
-        _labelled, "kind int, value string").filter(F.length("value") <= longest).distinct()
-    first = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
-    return infer([(r.kind, r.value) for r in found.withColumn("place", first).filter(F.col("place") <= per_kind)
-                 .select("kind", "value").orderBy("kind", "value").collect()])
+def learn(docs, per_kind=1500, longest=128, id_column="doc_id", text_column="text"):
+    """Automata from at most ``per_kind`` different labelled values of each kind, up to ``longest`` characters long.
+
+    All documents are searched for values, so a rare format is learned wherever it is. The values that come first by
+    their hash are taken, in two steps: of each of ``2 ** _SLICE_BITS`` ranges of the hash, then of those together.
+    """
+    hashed = F.xxhash64("value")
+    slice_of = F.shiftrightunsigned(hashed, 64 - _SLICE_BITS)
+    in_slice = Window.partitionBy("kind", slice_of).orderBy(hashed, "value")
+    in_kind = Window.partitionBy("kind").orderBy(slice_of, hashed, "value")
+    found = (docs.select(F.col(text_column).alias("text")).mapInArrow(_labelled, "kind int, value string")
+             .filter(F.length("value") <= longest).distinct())
+    first = found.withColumn("place", F.row_number().over(in_slice)).filter(F.col("place") <= per_kind)
+    chosen = first.withColumn("place", F.row_number().over(in_kind)).filter(F.col("place") <= per_kind)
+    return infer([(r.kind, r.value) for r in chosen.select("kind", "value").orderBy("kind", "value").collect()])
 
 
 def _scan(model):
@@ -219,7 +232,7 @@ def _scan(model):
             every = []
             for text in texts_of(batch).to_pylist():
                 spans = base_spans(text)
-                found = [(start, kind, end, None) for kind, start, end, _ in spans]
+                found = [(start, kind, end, likelihood(value, kind, background, kinds)) for kind, start, end, value in spans]
                 for start, end, value in candidates(text, spans):
                     best = like(value, background, kinds)
                     if best is not None:
@@ -231,7 +244,7 @@ def _scan(model):
 
 
 def scan(docs, model, id_column="doc_id", text_column="text"):
-    """doc_id and spans (kind, start, end in code points, score of added spans) of every row."""
+    """doc_id and spans (kind, start, end in code points, score; null for a base kind without a format) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return (docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
             .mapInArrow(_scan(shared), "doc_id long, spans array<struct<kind:string,start:long,end:long,score:double>>"))
