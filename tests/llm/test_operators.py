@@ -1,9 +1,13 @@
 """Each operator against its plain version, on the smallest tables and on rows made to be awkward."""
 
+import time
+import tracemalloc
 import zlib
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as public
 import pytest
 from pyspark.sql import functions as F
@@ -508,6 +512,57 @@ def test_leaks_of_odd_items(spark, odd):
     assert clean.columns == docs.columns and clean.count() == len([1 for i, _ in rows if not any(i == d for d, _ in expected)])
 
 
+def test_windows_of_a_long_item_share_their_sums():
+    rng = np.random.default_rng(4)
+    item = [f"w{i}" for i in rng.integers(0, 3000, 20_000)]
+    index = decontamination.Index([(1, " ".join(item)), (2, " ".join(item[:2000])), (3, "never to be found in here")])
+    edited = list(item)
+    for i in range(0, 20_000, 60):
+        edited[i] = f"x{i}"
+    text = " ".join(["before"] * 50 + edited + [f"v{i}" for i in range(3000)])
+    words, offsets = decontamination.hashed_texts(pa.array([text, "other words", text]))
+    tracemalloc.start()
+    found, begun = {(t, i): (s, p) for t, i, s, p in index.matches(words, offsets)}, time.perf_counter()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found) == {(0, 0), (0, 1), (2, 0), (2, 1)} and found[0, 0] == found[2, 0]
+    assert peak < 200 << 20 and time.perf_counter() - begun < 60
+
+    every = decontamination.shingles(words[:offsets[1]], 5)
+    for i, (alike, place) in ((0, found[0, 0]), (1, found[0, 1])):
+        window, own = Counter(every[place:place + len(index.shingles[i])].tolist()), Counter(index.shingles[i].tolist())
+        assert alike == sum((window & own).values()) / sum((window | own).values())
+
+
+def test_prints_and_similarities_of_windows_are_those_of_each_alone():
+    rng = np.random.default_rng(9)
+    every = decontamination.mixed(rng.integers(0, 40, 3000).astype(np.uint64))
+    starts = np.sort(rng.choice(2900, 400, replace=False))
+    sizes = np.minimum(30, 2950 - starts)
+    values, weights = np.unique(every[100:130], return_counts=True)
+    shared = decontamination.Shared(values, weights)
+    number = 0
+    for begin, prints in decontamination.window_prints(every, starts, sizes):
+        for start, size, fingerprint in zip(starts[begin:], sizes[begin:], prints):
+            window = every[start:start + size]
+            assert (decontamination.simhash(window)[0] == fingerprint).all()
+            one, two = Counter(window.tolist()), Counter(every[100:130].tolist())
+            assert shared.similarity(every, int(start), int(start + size)) == sum((one & two).values()) / sum((one | two).values())
+            number += 1
+    assert number == 400
+
+
+def test_no_window_at_the_threshold_is_out_of_the_radius():
+    rng, missed = np.random.default_rng(3), 0
+    for _ in range(3000):
+        size = int(rng.integers(9, 120))
+        shared = -(-8 * 2 * size // 18)  # the fewest shared shingles that give 0.8
+        item = rng.integers(0, 1 << 62, size).astype(np.uint64)
+        window = np.append(item[:shared], rng.integers(0, 1 << 62, size - shared).astype(np.uint64))
+        missed += int(np.bitwise_count(decontamination.simhash(item) ^ decontamination.simhash(window)).sum()) > decontamination.RADIUS
+    assert missed == 0
+
+
 def test_leaks_take_no_other_row_of_their_id(spark):
     item = " ".join(f"w{i}" for i in range(20))
     rows = [(None, "so " + item), (None, "clean without id"), (None, None), (7, item + " end"), (7, "clean of a repeated id"), (8, "clean"), (9, item)]

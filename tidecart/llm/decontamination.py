@@ -5,10 +5,11 @@ five-word shingles. A document window for an item has as many shingles as the it
 shingles of the item: moving a window on to its first such shingle keeps all it shares with the item and its
 size, so its similarity can only grow and nothing is lost.
 
-Each window gets a 128-bit SimHash. Items are indexed by twelve blocks of their fingerprint, each under all
-values within two bits: fingerprints within 35 bits differ by at most two in some block, so the lookup returns
+Each window gets a 128-bit SimHash. Items of each length are indexed by twelve blocks of their fingerprint, each under
+all values within two bits: fingerprints within 35 bits differ by at most two in some block, so the lookup returns
 every item within the radius. Those are verified by the exact weighted Jaccard similarity of shingles, and
-pairs of ``similarity`` or more are results.
+pairs of ``similarity`` or more are results. From window to window the sums of bits and the shared shingles are
+carried on, so that neither time nor memory grows with windows times the length of an item.
 
 The index of a benchmark is broadcast in parts of at most ``part_items`` items and ``part_bytes`` bytes of
 text on average; a larger benchmark takes more passes over the documents.
@@ -30,6 +31,8 @@ from .texts import record, slices, spare, text_or_empty, texts_of, words_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 35, 12
+#: Shingles by which windows that share a table of sums may lie apart: 4,096 take 2 MB, and an item as much by its length.
+_SPAN = 4096
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BOUNDS = np.linspace(0, 128, BLOCKS + 1).astype(int)
 _RESULT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()),
@@ -76,13 +79,42 @@ def shingles(words, size):
     return mixed(total)
 
 
-def simhash(windows, sizes):
-    """Two 64-bit halves of the fingerprints of windows (hashes by row, of which the first ``sizes`` count)."""
-    halves = np.stack([windows, mixed(windows ^ _STEP)], axis=2)
-    bits = np.unpackbits(halves.view(np.uint8).reshape(*windows.shape, 16), axis=2, bitorder="little")
-    real = np.arange(windows.shape[1]) < sizes[:, None]
-    ones = np.einsum("wmb,wm->wb", bits, real, dtype=np.int64, casting="unsafe")
-    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").view(np.uint64)
+def hash_bits(hashes):
+    """128 bits of each shingle."""
+    return np.unpackbits(np.stack([hashes, mixed(hashes ^ _STEP)], axis=1).view(np.uint8).reshape(-1, 16), axis=1, bitorder="little")
+
+
+def majority(ones, sizes):
+    """Fingerprints (two 64-bit halves) from the number of ones by bit and the number of shingles."""
+    return np.packbits(2 * ones > np.asarray(sizes)[:, None], axis=1, bitorder="little").view(np.uint64)
+
+
+def simhash(hashes):
+    """The fingerprint of one sequence of shingles."""
+    ones = np.zeros(128, dtype=np.int64)
+    for begin in range(0, len(hashes), _SPAN):
+        ones += hash_bits(hashes[begin:begin + _SPAN]).sum(axis=0, dtype=np.int64)
+    return majority(ones[None, :], [len(hashes)])
+
+
+def window_prints(every, starts, sizes):
+    """Yields (first window, fingerprints) of runs of windows of ``every``, by ascending start.
+
+    A run shares one table of running sums, which ends where the next window begins after the last one's end, and
+    holds few more shingles than a window or ``_SPAN`` have.
+    """
+    stops, begin = np.maximum.accumulate(starts + sizes), 0
+    breaks = np.flatnonzero(starts[1:] >= stops[:-1]) + 1
+    edges = np.append(breaks, len(starts)).tolist()
+    for edge in edges:
+        while begin < edge:
+            end = min(edge, max(begin + 1, int(np.searchsorted(starts, starts[begin] + _SPAN))))
+            low, high = int(starts[begin]), int(stops[end - 1])
+            sums = np.zeros((high - low + 1, 128), dtype=np.int32)
+            np.cumsum(hash_bits(every[low:high]), axis=0, dtype=np.int32, out=sums[1:])
+            first = starts[begin:end] - low
+            yield begin, majority(sums[first + sizes[begin:end]] - sums[first], sizes[begin:end])
+            begin = end
 
 
 def block_values(fingerprints):
@@ -91,6 +123,42 @@ def block_values(fingerprints):
     return np.stack([(bits[:, a:b] << np.arange(b - a)).sum(axis=1) for a, b in zip(_BOUNDS[:-1], _BOUNDS[1:])], axis=1)
 
 
+_FLIPS = [[sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(width), n)]
+          for width in np.diff(_BOUNDS).tolist()]
+
+
+class Shared:
+    """The weighted Jaccard similarity of an item and of windows of one text, carried on from window to window."""
+
+    def __init__(self, values, weights):
+        self.weights = dict(zip(values.tolist(), weights.tolist()))
+        self.size = int(weights.sum())
+        self.begin, self.end, self.held, self.common = 0, 0, {}, 0
+
+    def _add(self, shingles):
+        for value in shingles.tolist():
+            if value in self.weights:
+                n = self.held[value] = self.held.get(value, 0) + 1
+                self.common += n <= self.weights[value]
+
+    def _drop(self, shingles):
+        for value in shingles.tolist():
+            if value in self.weights:
+                self.common -= self.held[value] <= self.weights[value]
+                self.held[value] -= 1
+
+    def similarity(self, every, begin, end):
+        """Of the window every[begin:end]; windows come by ascending begin and end."""
+        if begin >= self.end:
+            self.held, self.common = {}, 0
+            self._add(every[begin:end])
+        else:
+            self._drop(every[self.begin:begin])
+            self._add(every[self.end:end])
+        self.begin, self.end = begin, end
+        return self.common / (end - begin + self.size - self.common)
+
+
 class Index:
     """Items of one part of a benchmark, by shingle and by near values of fingerprint blocks."""
 
@@ -109,32 +177,23 @@ class Index:
         order = np.argsort(every, kind="stable")
         self.known, first = np.unique(every[order], return_index=True)
         self.items = np.split(owner[order], first[1:]) if len(first) else []
-        self.prints = np.concatenate([simhash(s[None, :], np.array([len(s)])) for s in self.shingles]) if self.ids else np.zeros((0, 2), dtype=np.uint64)
-        self.blocks = [{} for _ in range(BLOCKS)]
-        if self.ids:
-            for block, values in enumerate(block_values(self.prints).T):
-                width = _BOUNDS[block + 1] - _BOUNDS[block]
-                flips = [sum(1 << b for b in bits) for n in range(RADIUS // BLOCKS + 1) for bits in combinations(range(width), n)]
-                for item, value in enumerate(values.tolist()):
-                    for flip in flips:
-                        self.blocks[block].setdefault(value ^ flip, []).append(item)
-
-    def within_radius(self, fingerprint):
-        """Items whose fingerprint is within RADIUS bits."""
+        self.prints = (np.concatenate([simhash(s) for s in self.shingles]) if self.ids else np.zeros((0, 2), dtype=np.uint64))
+        # By shingle size and number of shingles, then by block and value.
+        self.blocks = {}
+        for item, (values, words) in enumerate(zip(block_values(self.prints).tolist(), self.words)):
+            alike = self.blocks.setdefault((min(SHINGLE, words), len(self.shingles[item])), [{} for _ in range(BLOCKS)])
+            for known, value, flips in zip(alike, values, _FLIPS):
+                for flip in flips:
+                    known.setdefault(value ^ flip, []).append(item)
+
+    def within_radius(self, size, length, values, fingerprint):
+        """Items of ``length`` shingles whose fingerprint is within RADIUS bits; ``values`` are those of its blocks."""
         found = set()
-        for block, value in zip(self.blocks, block_values(fingerprint[None, :])[0].tolist()):
+        for block, value in zip(self.blocks[size, length], values):
             found.update(block.get(value, ()))
         found = np.array(sorted(found), dtype=np.int64)
         return found[np.bitwise_count(self.prints[found] ^ fingerprint).sum(axis=1) <= RADIUS] if len(found) else found
 
-    def similarity(self, item, window):
-        """Weighted Jaccard similarity of a window's shingles and an item's."""
-        values, counts = np.unique(window, return_counts=True)
-        own, weights = self.counts[item]
-        at = np.minimum(np.searchsorted(own, values), len(own) - 1)
-        shared = np.minimum(counts, weights[at])[own[at] == values].sum()
-        return shared / (counts.sum() + weights.sum() - shared)
-
     def matches(self, words, offsets):
         """(text, item, similarity, first word) of all pairs of SIMILARITY or more, the best window of each."""
         best = {}
@@ -152,21 +211,21 @@ class Index:
                 for length in {len(self.shingles[i]) for i in self.items[place].tolist() if min(SHINGLE, self.words[i]) == size}:
                     wanted.setdefault(length, []).append((start, text, min(length, stop - start)))
             for length, rows in wanted.items():
-                for begin in range(0, len(rows), 1000):
-                    part = rows[begin:begin + 1000]
-                    start, real = np.array([r[0] for r in part]), np.array([r[2] for r in part])
-                    places = np.minimum(start[:, None] + np.arange(length), len(every) - 1)
-                    for fingerprint, (first, text, held) in zip(simhash(every[places], real), part):
-                        window = every[first:first + held]
-                        for item in self.within_radius(fingerprint).tolist():
-                            if len(self.shingles[item]) != length or min(SHINGLE, self.words[item]) != size:
-                                continue
-                            alike = self.similarity(item, window)
-                            if alike >= SIMILARITY:
-                                place = first - int(offsets[text])
-                                key = (text, item)
-                                if key not in best or (-alike, place) < best[key]:
-                                    best[key] = (-alike, place)
+                rows = np.array(rows, dtype=np.int64)
+                compared, current = {}, None
+                for begin, prints in window_prints(every, rows[:, 0], rows[:, 2]):
+                    part = rows[begin:begin + len(prints)].tolist()
+                    for (first, text, held), fingerprint, values in zip(part, prints, block_values(prints).tolist()):
+                        if text != current:
+                            compared, current = {}, text
+                        place = first - int(offsets[text])
+                        for item in self.within_radius(size, length, values, fingerprint).tolist():
+                            if item not in compared:
+                                compared[item] = Shared(*self.counts[item])
+                            alike = compared[item].similarity(every, first, first + held)
+                            key = (text, item)
+                            if alike >= SIMILARITY and (key not in best or (-alike, place) < best[key]):
+                                best[key] = (-alike, place)
         return [(text, item, -alike, place) for (text, item), (alike, place) in sorted(best.items())]
 
 
