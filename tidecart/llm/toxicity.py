@@ -81,6 +81,8 @@ class Machine:
 
 #: Terms of one block of pairs: its counts take some 4 MB.
 _TERMS = 1000
+#: Terms of texts whose gradients are computed together: some 10 MB for each factor held.
+_TOGETHER = 100_000
 
 
 def sigmoid(x):
@@ -119,12 +121,12 @@ def pair_evidence(y, columns, offsets, seen, hits, least):
             first, second = np.nonzero(counted)
             if not len(first):
                 continue
-            n, h = total[first, second].astype(np.float64), toxic[first, second].astype(np.float64)
+            n, h = total[first, second], toxic[first, second]
             p = sigmoid(np.log(rate / (1 - rate)) + odds[one[0] + first] + odds[other[0] + second])
-            told = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
-            np.maximum.at(found, one[0] + first, told)
-            if other is not one:
-                np.maximum.at(found, other[0] + second, told)
+            told = np.zeros(total.shape)
+            told[first, second] = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
+            found[slice(*one)] = np.maximum(found[slice(*one)], told.max(axis=1))
+            found[slice(*other)] = np.maximum(found[slice(*other)], told.max(axis=0))
             tested += len(first) * (1 if other is one else 2)
     return np.maximum(found - 2 * np.log(max(tested, 1)), 0)
 
@@ -174,17 +176,29 @@ def learn(labels, term_sets, least=3, factors=6, steps=60, rate=1.0, shrink=0.02
     # The adaptive penalty: nothing to speak of for terms that tell the labels apart, out of reach for chance.
     pull, pull_factors = shrink / (1 + chi[chosen]), shrink / (1 + evidence[chosen])
     w_seen, v_seen, b_seen = np.full(len(chosen), 1e-8), np.full(model.factors.shape, 1e-8), 1e-8
+    # Runs of whole texts, so that memory does not grow with the sample.
+    edges = np.unique(np.searchsorted(offsets, np.arange(0, offsets[-1] + _TOGETHER, _TOGETHER)).clip(0, len(y)))
+    if edges[-1] < len(y):
+        edges = np.append(edges, len(y))
     for _ in range(steps):
-        error = (sigmoid(model.margins(columns, offsets)) - y) * share
-        own = error[owner]
-        rows = model.factors[columns]
-        total = sums_by_text(rows, offsets)
-        dw = np.bincount(columns, weights=own, minlength=len(chosen))
-        dv = np.stack([np.bincount(columns, weights=own * (total[owner, f] - rows[:, f]), minlength=len(chosen))
-                       for f in range(factors)], axis=1)
+        dw, dv, pulled = np.zeros(len(chosen)), np.zeros((len(chosen), factors)), 0.0
+        for begin, end in zip(edges[:-1], edges[1:]):
+            some = columns[offsets[begin]:offsets[end]]
+            within = offsets[begin:end + 1] - offsets[begin]
+            rows = model.factors[some]
+            total = sums_by_text(rows, within)
+            margins = (model.intercept + sums_by_text(model.weights[some], within)
+                       + 0.5 * (total * total - sums_by_text(rows * rows, within)).sum(axis=1))
+            error = (sigmoid(margins) - y[begin:end]) * share[begin:end]
+            own = np.repeat(error, np.diff(within))
+            dw += np.bincount(some, weights=own, minlength=len(chosen))
+            seen_by = np.repeat(error[:, None] * total, np.diff(within), axis=0) - own[:, None] * rows
+            for f in range(factors):
+                dv[:, f] += np.bincount(some, weights=seen_by[:, f], minlength=len(chosen))
+            pulled += error.sum()
         w_seen += dw ** 2
         v_seen += dv ** 2
-        b_seen += error.sum() ** 2
+        b_seen += pulled ** 2
         step = rate / np.sqrt(w_seen)
         moved = model.weights - step * dw
         model.weights = np.sign(moved) * np.maximum(np.abs(moved) - step * pull, 0)
@@ -192,7 +206,7 @@ def learn(labels, term_sets, least=3, factors=6, steps=60, rate=1.0, shrink=0.02
         moved = model.factors - step * dv
         norm = np.linalg.norm(moved, axis=1, keepdims=True)
         model.factors = moved * np.maximum(1 - step * pull_factors[:, None] / np.maximum(norm, 1e-12), 0)
-        model.intercept -= rate / np.sqrt(b_seen) * error.sum()
+        model.intercept -= rate / np.sqrt(b_seen) * pulled
     used = (model.weights != 0) | (model.factors != 0).any(axis=1)
     return Machine(model.hashes[used], model.weights[used], model.factors[used], model.intercept)
 
