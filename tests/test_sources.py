@@ -284,3 +284,9 @@ def test_pages_are_forwarded_by_the_executors(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_decimals_keep_all_digits(spark):
+    row = spark.sql("SELECT CAST('12345678901234567890.123456789012345678' AS DECIMAL(38, 18)) AS v, CAST(NULL AS DECIMAL(5, 2)) AS n")
+    lines = snapshots.json_lines(row)
+    assert lines.first().linha == '{"v":12345678901234567890.123456789012345678,"n":null}'

@@ -14,6 +14,7 @@ def _typed(df, columns, **casts):
     ])
 
 
+#: The columns of the source tables in order, and the types of those that are cast.
 _CLEANING = {
     "transacoes_vendas": (
         ["id_transacao", "id_pedido", "id_usuario", "id_produto", "quantidade_produto",

@@ -213,31 +213,36 @@ def abandoned_cart_rate(spark, folder):
 # Cleaning and parsing
 
 
+def _as_text(df, *names):
+    """Columns as files without types hold them."""
+    return df.withColumns({name: F.col(name).cast("string") for name in names})
+
+
 @query
 def clean_transactions(spark, folder):
     sales = tables.sales(
         spark, folder, "id_transacao", "id_pedido", "id_usuario", "id_produto", "quantidade_produto",
         "valor_total_compra", "data_compra", "metodo_pagamento", "status_pedido", "id_carrinho",
     )
-    return cleaning.clean_transactions(sales)
+    return cleaning.clean_transactions(_as_text(sales, "valor_total_compra", "data_compra"))
 
 
 @query
 def clean_clients(spark, folder):
-    return cleaning.clean_clients(tables.customers(
+    return cleaning.clean_clients(_as_text(tables.customers(
         spark, folder, "id_usuario", "nome_usuario", "email_usuario", "data_cadastro",
         "segmento_cliente", "cidade", "estado", "pais",
-    ))
+    ), "data_cadastro"))
 
 
 @query
 def clean_products(spark, folder):
-    return cleaning.clean_products(tables.catalog(spark, folder))
+    return cleaning.clean_products(_as_text(tables.catalog(spark, folder), "preco_unitario", "estoque_disponivel"))
 
 
 @query
 def clean_web_events(spark, folder):
-    return cleaning.clean_web_events(tables.web_events(spark, folder))
+    return cleaning.clean_web_events(_as_text(tables.web_events(spark, folder), "timestamp_evento"))
 
 
 @query

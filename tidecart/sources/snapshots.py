@@ -20,15 +20,10 @@ SCHEMA = "chave string, pagina long, payload string, linhas long, publicado_em t
 def json_lines(df):
     """Rows as JSON text with an id that ascends in the order of the frame.
 
-    Null fields stay in the text, dates and times are ISO 8601. The id holds the partition in its
+    Null fields stay in the text, dates and times are ISO 8601, decimals are numbers with all their digits. The id holds the partition in its
     upper bits and counts from 0 in each.
     """
-    plain = [
-        F.col(f"`{f.name}`").cast("double").alias(f.name)
-        if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
-        for f in df.schema
-    ]
-    text = F.to_json(F.struct(*plain), {
+    text = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in df.schema]), {
         "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     })
     return df.select(text.alias("linha"), F.monotonically_increasing_id().alias("_id"))
