@@ -7,7 +7,7 @@ than the terms: their sum is half of (square of the sum minus sum of the squares
 
 Weights and factors are fitted with proximal AdaGrad steps on a bounded sample of labelled rows:
 ``per_label`` rows of each label, those with the smallest hash of the id, and on all their terms in ``least``
-texts or more. A term's evidence is the chi-square of the term alone or, if larger, of its best pair, by what the
+texts or more that tell the labels apart beyond chance, alone or in a pair, however many they are. A term's evidence is the chi-square of the term alone or, if larger, of its best pair, by what the
 pair tells beyond its two terms. Factor vectors shrink as groups, by this
 evidence, so terms that carry nothing alone or in a pair leave the model. Scores cover every row and its
 whole text. The pairs of all rows of the sample are counted, as products of blocks of the matrix of rows and terms.
@@ -79,6 +79,8 @@ class Machine:
         return np.where(self.hashes[at] == hashes, at, -1)
 
 
+#: Chi-square of one degree of freedom that one term in twenty reaches by chance.
+BY_CHANCE = 3.84
 #: Terms of one block of pairs: its counts take some 4 MB.
 _TERMS = 1000
 #: Terms of texts whose gradients are computed together: some 10 MB for each factor held.
@@ -163,7 +165,7 @@ def learn(labels, term_sets, least=3, factors=6, steps=60, rate=1.0, shrink=0.02
     chi = np.where(seen >= least, (hits - expected) ** 2 / np.maximum(expected * (1 - seen / (len(y) + 1)), 1e-9), -1)
     paired = _pairs_of_sample(y, codes, owner, seen, least)
     evidence = np.maximum(chi, np.where(seen >= least, paired, -1))
-    chosen = np.flatnonzero(seen >= least)
+    chosen = np.flatnonzero((chi >= BY_CHANCE) | (paired > 0))
     place = np.full(len(every), -1)
     place[chosen] = np.arange(len(chosen))
     columns = place[codes]
