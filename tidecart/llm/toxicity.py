@@ -81,8 +81,8 @@ class Machine:
 
 #: Chi-square of one degree of freedom that one term in twenty reaches by chance.
 BY_CHANCE = 3.84
-#: Terms of one block of pairs: its counts take some 4 MB.
-_TERMS = 1000
+#: Terms of one block of pairs: what a step holds of it takes some 30 MB for 8,000 texts.
+_TERMS = 400
 #: Terms of texts whose gradients are computed together: some 10 MB for each factor held.
 _TOGETHER = 100_000
 
