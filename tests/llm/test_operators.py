@@ -330,7 +330,8 @@ def test_margins_and_pair_evidence_against_plain_loops(monkeypatch):
                 n, h, p = len(both), sum(both), toxicity.sigmoid(np.log(rate / (1 - rate)) + odd(i) + odd(j))
                 told = 2 * ((h * np.log(h / (n * p)) if h else 0) + ((n - h) * np.log((n - h) / (n * (1 - p))) if n - h else 0))
                 best[i], tested = max(best[i], told), tested + 1
-    monkeypatch.setattr(toxicity, "_TERMS", 7)
+    monkeypatch.setattr(toxicity, "_CELLS", 50)  # several runs of terms, and of the texts that hold them
+    monkeypatch.setattr(toxicity, "_LISTED", 40)
     assert np.allclose(toxicity.pair_evidence(y, columns, offsets, seen, hits, 3), np.maximum(best - 2 * np.log(tested), 0), atol=1e-4)
 
 

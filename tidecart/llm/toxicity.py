@@ -10,7 +10,7 @@ Weights and factors are fitted with proximal AdaGrad steps on a bounded sample o
 texts or more that tell the labels apart beyond chance, alone or in a pair, however many they are. A term's evidence is the chi-square of the term alone or, if larger, of its best pair, by what the
 pair tells beyond its two terms. Factor vectors shrink as groups, by this
 evidence, so terms that carry nothing alone or in a pair leave the model. Scores cover every row and its
-whole text. The pairs of all rows of the sample are counted, as products of blocks of the matrix of rows and terms.
+whole text. The pairs of all rows of the sample are counted, text by text, for some terms at a time.
 
 Defined cases: null and empty texts have no terms and get the intercept's score; without both labels in the
 sample every score is 0. Labels that are null are not learned from; repeated labels count each time. Ties
@@ -81,8 +81,10 @@ class Machine:
 
 #: Chi-square of one degree of freedom that one term in twenty reaches by chance.
 BY_CHANCE = 3.84
-#: Terms of one block of pairs: what a step holds of it takes some 30 MB for 8,000 texts.
-_TERMS = 400
+#: Texts of label 1 are counted beside all texts in one number, exact up to 2^26 of each.
+_TOXIC = 2.0 ** 26
+#: Pairs of terms counted, and pairs of texts listed, in one step: some 30 MB each.
+_CELLS, _LISTED = 1_000_000, 500_000
 #: Terms of texts whose gradients are computed together: some 10 MB for each factor held.
 _TOGETHER = 100_000
 
@@ -100,36 +102,36 @@ def pair_evidence(y, columns, offsets, seen, hits, least):
     found = np.zeros(len(seen))
     rate = y.mean()
     odds = np.log((hits + rate) / (seen - hits + 1 - rate)) - np.log(rate / (1 - rate))
+    owner = np.repeat(np.arange(len(y)), np.diff(offsets))
+    columns = columns[np.lexsort((columns, owner))]  # ascending in each text: a pair is met once, at its lesser term
     order = np.argsort(columns, kind="stable")
-    owner = np.repeat(np.arange(len(y)), np.diff(offsets))[order]
-    sorted_columns = columns[order]
-    blocks = [(a, min(a + _TERMS, len(seen))) for a in range(0, len(seen), _TERMS)]
-
-    def rows_and_terms(block):
-        low, high = np.searchsorted(sorted_columns, block)
-        held = np.zeros((len(y), block[1] - block[0]), dtype=np.float32)
-        held[owner[low:high], sorted_columns[low:high] - block[0]] = 1
-        return held
-
-    positive, tested = y == 1, 0
-    for i, one in enumerate(blocks):
-        left = rows_and_terms(one)
-        for other in blocks[i:]:
-            right = left if other is one else rows_and_terms(other)
-            total, toxic = left.T @ right, left[positive].T @ right[positive]  # exact: counts far below 2^24
-            counted = total >= least
-            if other is one:
-                counted &= ~np.eye(len(total), dtype=bool)
-            first, second = np.nonzero(counted)
-            if not len(first):
-                continue
-            n, h = total[first, second], toxic[first, second]
-            p = sigmoid(np.log(rate / (1 - rate)) + odds[one[0] + first] + odds[other[0] + second])
-            told = np.zeros(total.shape)
-            told[first, second] = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
-            found[slice(*one)] = np.maximum(found[slice(*one)], told.max(axis=1))
-            found[slice(*other)] = np.maximum(found[slice(*other)], told.max(axis=0))
-            tested += len(first) * (1 if other is one else 2)
+    starts = np.searchsorted(columns[order], np.arange(len(seen) + 1))
+    after = order + 1
+    listed = np.append(0, np.cumsum(offsets[owner[order] + 1] - after))
+    marks = 1.0 + _TOXIC * (y[owner[order]] == 1)
+    tested, low = 0, 0
+    while low < len(seen):
+        width = len(seen) - low
+        high = min(low + max(1, _CELLS // width), len(seen))
+        counts = np.zeros((high - low) * width)
+        begin, last = starts[low], starts[high]
+        while begin < last:
+            end = min(max(np.searchsorted(listed, listed[begin] + _LISTED, side="right") - 1, begin + 1), last)
+            many = np.diff(listed[begin:end + 1])
+            partners = columns[np.arange(many.sum()) + np.repeat(after[begin:end] - (listed[begin:end] - listed[begin]), many)]
+            cells = np.repeat((columns[order[begin:end]] - low) * width, many) + partners - low
+            counts += np.bincount(cells, weights=np.repeat(marks[begin:end], many), minlength=len(counts))
+            begin = end
+        cells = np.flatnonzero(counts % _TOXIC >= least)
+        if len(cells):
+            first, second = low + cells // width, low + cells % width
+            n, h = counts[cells] % _TOXIC, counts[cells] // _TOXIC
+            p = sigmoid(np.log(rate / (1 - rate)) + odds[first] + odds[second])
+            told = 2 * (h * np.log(np.maximum(h, 1) / (n * p)) + (n - h) * np.log(np.maximum(n - h, 1) / (n * (1 - p))))
+            np.maximum.at(found, first, told)
+            np.maximum.at(found, second, told)
+            tested += 2 * len(cells)
+        low = high
     return np.maximum(found - 2 * np.log(max(tested, 1)), 0)
 
 
