@@ -585,7 +585,7 @@ def test_line_dedup_runs_no_python(spark):
     assert "rangepartitioning(h1" in plan and not any(w in plan for w in ("Python", "Pandas", "Arrow"))
 
 
-@pytest.mark.parametrize("salts", [1, 16])
+@pytest.mark.parametrize("salts", [1, 16, None])
 def test_exact_dedup_of_odd_rows(odd, salts):
     found = exact_dedup.groups(odd, salts=salts)
     same(found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest"))), brute.exact(TEXTS))
@@ -594,6 +594,13 @@ def test_exact_dedup_of_odd_rows(odd, salts):
     same(kept.select("doc_id"), {(r[1],) for r in brute.exact(TEXTS) if r[1] is not None} | {(None,)})
 
 
+def test_salts_grow_with_the_texts(spark, odd, monkeypatch):
+    docs = spark.range(100).selectExpr("id AS doc_id", "repeat('x', 1000) AS text")
+    assert exact_dedup.salts_for(docs) == exact_dedup.salts_for(odd) == exact_dedup.salts_for(odd.limit(0)) == 16
+    monkeypatch.setattr(exact_dedup, "SLICE_BYTES", 10)
+    assert exact_dedup.salts_for(docs) == 100
+
+
 def test_equal_digests_of_different_texts_stay_apart(spark):
     docs = spark.createDataFrame([(i, f"text {i // 2}") for i in range(20)], "doc_id long, text string")
     found = exact_dedup.groups(docs, digest=lambda text: b"same")

@@ -3,7 +3,8 @@
 1. Local: within a slice of an input partition, equal normalised texts meet in a hash table of contents;
    only one winner of each content goes on with its text.
 2. Salted: winners of a digest are dealt over ``salts`` groups and combined within (digest, salt, content),
-   so a text held by a third of all rows is never in one task.
+   so a text held by a third of all rows is never in one task. Unless it is given, the number of salts is the root of the
+   number of slices: a text in every slice then has as many winners in a salt as salts, and neither stage outgrows the other.
 3. Global: the salt winners, at most ``salts`` for each content, are combined within (digest, content).
 
 Between the stages run links of ids (row to local winner to salt winner to global winner); texts of rows
@@ -16,6 +17,7 @@ columns besides the id and the text are ignored.
 """
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .texts import lower_ascii, record, slices, spare, texts_of
+from .texts import SLICE_BYTES, lower_ascii, record, slices, spare, texts_of
 
 _LOCAL = "doc_id long, local_id long, digest binary, content string, held long"
 _LOCAL_ARROW = pa.schema([("doc_id", pa.int64()), ("local_id", pa.int64()), ("digest", pa.binary()),
@@ -54,8 +56,15 @@ def _local_winners(digest):
     return run
 
 
-def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256):
+def salts_for(docs, text_column="text"):
+    """The root of the number of slices that the texts fill, 16 at least."""
+    size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
+    return max(16, math.isqrt(size // SLICE_BYTES))
+
+
+def groups(docs, id_column="doc_id", text_column="text", salts=None, digest=sha256):
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest (binary)."""
+    salts = salts or salts_for(docs, text_column)
     rows = (docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
             .mapInArrow(_local_winners(digest), _LOCAL))
     # None of the three is ever null in a winner; said once here, no branch adds a filter that would tell it apart.
@@ -86,7 +95,7 @@ def groups(docs, id_column="doc_id", text_column="text", salts=16, digest=sha256
     ).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest")
 
 
-def keep_one(docs, id_column="doc_id", text_column="text", salts=16):
+def keep_one(docs, id_column="doc_id", text_column="text", salts=None):
     """The rows of ``docs`` that stay, with all their columns; of a repeated row one stays."""
     no_id = F.lit(-(2 ** 63))
     id_, digest, own_id, own_digest, place = spare(docs.columns, "id", "digest", "own_id", "own_digest", "place")
