@@ -83,8 +83,8 @@ class Machine:
 BY_CHANCE = 3.84
 #: Texts of label 1 are counted beside all texts in one number, exact up to 2^26 of each.
 _TOXIC = 2.0 ** 26
-#: Pairs of terms counted, and pairs of texts listed, in one step: some 30 MB each.
-_CELLS, _LISTED = 1_000_000, 500_000
+#: Pairs of terms counted, and pairs of texts listed, in one step: some 20 MB each.
+_CELLS, _LISTED = 250_000, 200_000
 #: Terms of texts whose gradients are computed together: some 10 MB for each factor held.
 _TOGETHER = 100_000
 
