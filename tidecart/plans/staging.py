@@ -1,13 +1,14 @@
 """Input folders for the streaming queries, derived from the given tables in several loads."""
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import products
 from ..schemas import TRANSACTION_MESSAGE, WEB_EVENT_MESSAGE
-from ..session import shared_folder
-from ..sources import lake, tables
+from ..session import settings, shared_folder
+from ..sources import folders, lake, tables
 from ..sources.monthly import MonthlyTable
 
 # Lines of one order arrive in different loads, so later loads touch days and quarters again.
@@ -51,6 +52,23 @@ def _in_loads(df, path, load=_LOAD, **options):
         part.repartition(files).write.options(**options).parquet(f"{path}/carga={number}")
 
 
+def _joined_in_loads(spark, folder, sales, path, **options):
+    """One folder per load, all written in one pass over the joined sales: partitions of the join become files of each load.
+
+    Neither the join nor its texts are shuffled again, and a file for each load is open in a task, so nothing is sorted.
+    Streams take files by age: those of a load are dated a second after those of the load before.
+    """
+    loads = sales.withColumn("carga", F.expr(_LOAD)).drop("linha")
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": LOADS}):
+        loads.write.options(**options).partitionBy("carga").parquet(path)
+    written = int(time.time() * 1000)
+    for number in range(LOADS):
+        load = f"{path}/carga={number}"
+        if not folders.exists(spark, load):
+            spark.createDataFrame([], loads.drop("carga").schema).write.options(**options).parquet(load)
+        folders.date_files(spark, load, written - 1000 * (LOADS - number))
+
+
 def files_per_batch(spark, path):
     """A third of the staged files, so the stream takes several micro-batches at any scale."""
     return max(1, -(-len(spark.read.parquet(path).inputFiles()) // LOADS))
@@ -83,9 +101,8 @@ def sales_messages(spark, folder):
     fields = TRANSACTION_MESSAGE.fieldNames()
 
     def write(path):
-        sales = tables.sales(spark, folder, *fields, "linha")
-        texts = sales.select(as_json(fields), "linha")
-        _in_loads(texts, path, **{"parquet.block.size": _TEXT_ROW_GROUP})
+        texts = tables.sales(spark, folder, *fields, "linha").select(as_json(fields), "linha")
+        _joined_in_loads(spark, folder, texts, path, **{"parquet.block.size": _TEXT_ROW_GROUP})
     return _once(spark, folder, "mensagens-vendas", write)
 
 

@@ -1,5 +1,7 @@
 """Session settings and the shared work folder. Nothing here names a master."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -28,3 +30,16 @@ def shared_folder(spark):
     if named:
         return named.rstrip("/")
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+
+
+@contextmanager
+def settings(spark, values):
+    """Runtime settings for the jobs run inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

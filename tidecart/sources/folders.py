@@ -34,6 +34,13 @@ def size(spark, name):
     return fs.getContentSummary(path).getLength()
 
 
+def date_files(spark, name, millis):
+    """Give the files of a folder one time of modification (milliseconds since 1970)."""
+    path, fs = _path(spark, name)
+    for status in fs.listStatus(path):
+        fs.setTimes(status.getPath(), millis, -1)
+
+
 def read_text(spark, name):
     path, fs = _path(spark, name)
     stream = fs.open(path)
