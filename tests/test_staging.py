@@ -60,3 +60,26 @@ def test_loads_without_rows_are_there(spark, stage, wanted, loads):
     assert stored.count() == tables.table(spark, folder, "lineitem").count()
     assert stored.select("carga").distinct().count() == loads
     assert staging.files_per_batch(spark, path) >= 1
+
+
+def test_join_orders_give_the_same_rows(spark):
+    """Also for lines without order or part, and orders without customer."""
+    folder = copies(spark, SMALL, "lineitem", "orders", "part", "customer",
+                    orders=lambda df: df.filter("o_orderkey % 5 > 0"), part=lambda df: df.filter("p_partkey % 3 > 0"),
+                    customer=lambda df: df.filter("c_custkey % 4 > 0"))
+    columns = ["id_pedido", "linha", "id_usuario", "nome_usuario", "item", "categoria", "id_carrinho"]
+    line, order, part, customer = (tables.table(spark, folder, n) for n in ("lineitem", "orders", "part", "customer"))
+    plain = line.join(order, line.l_orderkey == order.o_orderkey, "left").join(part, line.l_partkey == part.p_partkey, "left")
+    plain = plain.join(customer, order.o_custkey == customer.c_custkey, "left").selectExpr(
+        "l_orderkey", "l_linenumber", "o_custkey", "c_name", "p_name", "p_type", "concat_ws('-', o_custkey, to_date(o_orderdate))")
+    mine = tables.sales(spark, folder, *columns)
+    assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
+
+
+def test_joins_have_partitions_for_their_lines(spark, monkeypatch):
+    conf = lambda: int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = conf()
+    monkeypatch.setattr(staging, "_JOINED_BYTES", 1000)
+    with staging._join_settings(spark, SMALL):
+        assert conf() == -(-folders.size(spark, f"{SMALL}/lineitem.parquet") // 1000) > before
+    assert conf() == before

@@ -52,6 +52,18 @@ def _in_loads(df, path, load=_LOAD, **options):
         part.repartition(files).write.options(**options).parquet(f"{path}/carga={number}")
 
 
+# Of the Parquet file of the lines, what one partition of a join is to hold at most, so that its sort fits in memory.
+_JOINED_BYTES = 4 * 1024 * 1024
+# Shuffled bytes that a task is to join and write as text: a fourth of what adaptive execution puts together by default.
+_JOINED_TASK = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 * 1024 * 1024}
+
+
+def _join_settings(spark, folder):
+    """As many shuffle partitions as the lines need; adaptive execution puts together those that are too many."""
+    enough = -(-folders.size(spark, f"{folder}/lineitem.parquet") // _JOINED_BYTES)
+    return settings(spark, {"spark.sql.shuffle.partitions": max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))})
+
+
 def _joined_in_loads(spark, folder, sales, path, **options):
     """One folder per load, all written in one pass over the joined sales: partitions of the join become files of each load.
 
@@ -59,7 +71,7 @@ def _joined_in_loads(spark, folder, sales, path, **options):
     Streams take files by age: those of a load are dated a second after those of the load before.
     """
     loads = sales.withColumn("carga", F.expr(_LOAD)).drop("linha")
-    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": LOADS}):
+    with _join_settings(spark, folder), settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": LOADS, **_JOINED_TASK}):
         loads.write.options(**options).partitionBy("carga").parquet(path)
     written = int(time.time() * 1000)
     for number in range(LOADS):

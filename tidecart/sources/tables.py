@@ -33,18 +33,21 @@ def table(spark, folder, name):
 
 
 def sales(spark, folder, *columns):
-    """transacoes_vendas: one row per line item."""
+    """transacoes_vendas: one row per line item.
+
+    Parts are joined while the lines are narrow, and customers to the orders, of which there are fewer than lines.
+    """
     wanted = set(columns)
     df = table(spark, folder, "lineitem")
-    if wanted & (set(_FROM_ORDER) | set(_FROM_CUSTOMER)):
-        orders = table(spark, folder, "orders")
-        df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
     if wanted & set(_FROM_PART):
         part = table(spark, folder, "part")
         df = df.join(part, df.l_partkey == part.p_partkey, "left")
-    if wanted & set(_FROM_CUSTOMER):
-        customer = table(spark, folder, "customer")
-        df = df.join(customer, df.o_custkey == customer.c_custkey, "left")
+    if wanted & (set(_FROM_ORDER) | set(_FROM_CUSTOMER)):
+        orders = table(spark, folder, "orders")
+        if wanted & set(_FROM_CUSTOMER):
+            customer = table(spark, folder, "customer")
+            orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
     every = {**_FROM_LINE, **_FROM_ORDER, **_FROM_PART, **_FROM_CUSTOMER}
     return df.selectExpr(*[f"{every[c]} AS {c}" for c in columns])
 
