@@ -9,6 +9,10 @@ from tidecart.sources import folders, tables
 SMALL = "/root/testdata/sf0.001"
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def copies(spark, folder, *names, **changed):
     """A folder of the named tables, some of them changed."""
     path = staging.new_folder(spark, "tables")
@@ -62,6 +66,13 @@ def test_loads_without_rows_are_there(spark, stage, wanted, loads):
     assert staging.files_per_batch(spark, path) >= 1
 
 
+def test_no_table_is_broadcast_and_dimensions_meet_narrow_rows(spark):
+    """What comes to the driver does not depend on how large a dimension may be to be broadcast."""
+    plan = plan_of(staging._sales(spark, SMALL, "id_pedido", "id_usuario", "nome_usuario", "item", "linha"))
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 3
+    assert "Broadcast" in plan_of(tables.sales(spark, SMALL, "id_pedido", "nome_usuario", "item"))
+
+
 def test_join_orders_give_the_same_rows(spark):
     """Also for lines without order or part, and orders without customer."""
     folder = copies(spark, SMALL, "lineitem", "orders", "part", "customer",
@@ -72,8 +83,9 @@ def test_join_orders_give_the_same_rows(spark):
     plain = line.join(order, line.l_orderkey == order.o_orderkey, "left").join(part, line.l_partkey == part.p_partkey, "left")
     plain = plain.join(customer, order.o_custkey == customer.c_custkey, "left").selectExpr(
         "l_orderkey", "l_linenumber", "o_custkey", "c_name", "p_name", "p_type", "concat_ws('-', o_custkey, to_date(o_orderdate))")
-    mine = tables.sales(spark, folder, *columns)
-    assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
+    for strategy in (None, "merge"):
+        mine = tables.sales(spark, folder, *columns, strategy=strategy)
+        assert mine.exceptAll(plain).isEmpty() and plain.exceptAll(mine).isEmpty()
 
 
 def test_joins_have_partitions_for_their_lines(spark, monkeypatch):

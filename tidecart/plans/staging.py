@@ -58,6 +58,11 @@ _JOINED_BYTES = 4 * 1024 * 1024
 _JOINED_TASK = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16 * 1024 * 1024}
 
 
+def _sales(spark, folder, *columns):
+    """Sales for staging, joined in the same way at any size: no table comes to the driver to be broadcast."""
+    return tables.sales(spark, folder, *columns, strategy="merge")
+
+
 def _join_settings(spark, folder):
     """As many shuffle partitions as the lines need; adaptive execution puts together those that are too many."""
     enough = -(-folders.size(spark, f"{folder}/lineitem.parquet") // _JOINED_BYTES)
@@ -113,7 +118,7 @@ def sales_messages(spark, folder):
     fields = TRANSACTION_MESSAGE.fieldNames()
 
     def write(path):
-        texts = tables.sales(spark, folder, *fields, "linha").select(as_json(fields), "linha")
+        texts = _sales(spark, folder, *fields, "linha").select(as_json(fields), "linha")
         _joined_in_loads(spark, folder, texts, path, **{"parquet.block.size": _TEXT_ROW_GROUP})
     return _once(spark, folder, "mensagens-vendas", write)
 

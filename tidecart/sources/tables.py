@@ -32,21 +32,27 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def sales(spark, folder, *columns):
+def sales(spark, folder, *columns, strategy=None):
     """transacoes_vendas: one row per line item.
 
     Parts are joined while the lines are narrow, and customers to the orders, of which there are fewer than lines.
+    ``strategy`` names a join strategy for all of them; without it the optimizer chooses by size.
     """
     wanted = set(columns)
+
+    def other(name):
+        return table(spark, folder, name).hint(strategy) if strategy else table(spark, folder, name)
+
     df = table(spark, folder, "lineitem")
     if wanted & set(_FROM_PART):
-        part = table(spark, folder, "part")
+        part = other("part")
         df = df.join(part, df.l_partkey == part.p_partkey, "left")
     if wanted & (set(_FROM_ORDER) | set(_FROM_CUSTOMER)):
         orders = table(spark, folder, "orders")
         if wanted & set(_FROM_CUSTOMER):
-            customer = table(spark, folder, "customer")
+            customer = other("customer")
             orders = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
+        orders = orders.hint(strategy) if strategy else orders
         df = df.join(orders, df.l_orderkey == orders.o_orderkey, "left")
     every = {**_FROM_LINE, **_FROM_ORDER, **_FROM_PART, **_FROM_CUSTOMER}
     return df.selectExpr(*[f"{every[c]} AS {c}" for c in columns])
