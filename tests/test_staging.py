@@ -22,7 +22,7 @@ def copies(spark, folder, *names, **changed):
     return path
 
 
-@pytest.mark.parametrize("stage", ["sales_messages"])
+@pytest.mark.parametrize("stage", ["sales_messages", "bronze_sales"])
 def test_sales_are_joined_once_and_not_shuffled_again(spark, monkeypatch, stage):
     """Each line is read once, whatever the number of loads."""
     read, count = spark.sparkContext.accumulator(0), tables.table(spark, SMALL, "lineitem").count()
@@ -42,7 +42,7 @@ def test_sales_are_joined_once_and_not_shuffled_again(spark, monkeypatch, stage)
     assert read.value == count
 
 
-@pytest.mark.parametrize("stage", ["sales_messages"])
+@pytest.mark.parametrize("stage", ["sales_messages", "bronze_sales"])
 def test_loads_come_one_after_the_other(spark, stage):
     folder = copies(spark, SMALL, "lineitem", "orders", "part", "customer")
     path = getattr(staging, stage)(spark, folder)
@@ -56,7 +56,7 @@ def test_loads_come_one_after_the_other(spark, stage):
 
 
 @pytest.mark.parametrize("wanted, loads", [("false", 0), ("l_linenumber <= 2", 1)])
-@pytest.mark.parametrize("stage", ["sales_messages"])
+@pytest.mark.parametrize("stage", ["sales_messages", "bronze_sales"])
 def test_loads_without_rows_are_there(spark, stage, wanted, loads):
     folder = copies(spark, SMALL, "lineitem", "orders", "part", "customer", lineitem=lambda df: df.filter(wanted))
     path = getattr(staging, stage)(spark, folder)

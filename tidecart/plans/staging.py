@@ -40,8 +40,8 @@ def _once(spark, folder, name, write):
 _TEXT_ROW_GROUP = 8 * 1024 * 1024
 
 
-def _in_loads(df, path, load=_LOAD, **options):
-    """One folder per load, written one after the other: streams take files by age.
+def _in_loads(df, path, load, **options):
+    """One folder per load of a stored table, written one after the other: streams take files by age.
 
     Each load has as many files as the frame has partitions, so a third of the files is one load.
     """
@@ -93,7 +93,7 @@ def files_per_batch(spark, path):
 
 def bronze_sales(spark, folder):
     def write(path):
-        _in_loads(tables.sales(spark, folder, *SALES_COLUMNS, "linha"), path)
+        _joined_in_loads(spark, folder, _sales(spark, folder, *SALES_COLUMNS, "linha"), path)
     return _once(spark, folder, "vendas", write)
 
 
