@@ -100,8 +100,11 @@ def bronze_sales(spark, folder):
 def monthly_sales(spark, folder):
     """Sales stored by month of purchase."""
     columns = [*SALES_COLUMNS, "metodo_pagamento", "linha"]
-    path = _once(spark, folder, "vendas-por-mes", lambda path: MonthlyTable(path, "data_compra").write(tables.sales(spark, folder, *columns)))
-    return MonthlyTable(path, "data_compra")
+
+    def write(path):
+        with _join_settings(spark, folder):
+            MonthlyTable(path, "data_compra").write(_sales(spark, folder, *columns))
+    return MonthlyTable(_once(spark, folder, "vendas-por-mes", write), "data_compra")
 
 
 def published_ranking(spark, folder):
