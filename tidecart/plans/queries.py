@@ -617,7 +617,8 @@ def stream_carts_created(spark, folder):
 
 @query
 def stream_carts_converted(spark, folder):
-    return _checked_carts(_realtime(spark, folder, "carts_converted", "total long"), tables.sales(spark, folder, "id_carrinho"))
+    sales = tables.sales(spark, folder, "id_carrinho", strategy="merge")
+    return _checked_carts(_realtime(spark, folder, "carts_converted", "total long"), sales)
 
 
 def _sales_stream(spark, folder):
