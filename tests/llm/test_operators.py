@@ -473,6 +473,23 @@ def test_token_shards(spark, odd, small, source, monkeypatch):
     same(token_shards.write_and_read(docs, public.path("byte_bpe_50k.json")), expected)
 
 
+def test_marks_are_cut_off_words_before_they_are_looked_up():
+    """A word is encoded once whatever stands after it, and texts that are hard to cut have the library's ids."""
+    known = token_shards.Encoder(public.path("byte_bpe_50k.json"))
+    known.encode(pa.array(["x word x word, x word. x word.\nword x word,word!\nword x 3.14"]), 0)
+    assert set(known.young) == {"x", "word", "3"}
+    assert all(known.later.known(piece) for piece in (",", ".", "!", ",word", "\n", "word", ".14"))
+
+    chance = np.random.default_rng(7)
+    parts = ["a", "Bc", "7", "é", "東", "'s", "'", ".", ",", "!?", "\n", "\r\n", "\t", " ", " ", "  ", "\u00a0", "—", "_", "<|endoftext|>", "\0"]
+    texts = ["".join(chance.choice(parts, size=chance.integers(0, 9))) for _ in range(4000)] + ["".join(parts), "", "\n", "a.\n", "a.\nb", ".\n\nb"]
+    for slice_of in (texts, texts[1000:]):
+        held = pa.concat_arrays([pa.array(["not in the slice"]), pa.array(slice_of)])[1:]
+        ids, bounds = known.encode(held, 0)
+        for text, a, b in zip(slice_of, bounds[:-1], bounds[1:]):
+            assert ids[a:b].tolist() == known.library.encode(text, add_special_tokens=False).ids + [0], repr(text)
+
+
 def test_minimal_perfect_hash():
     for n in (1, 2, 3, 50, 3000):
         keys = [token_shards.key_of(i * 7) for i in range(n)]

@@ -88,27 +88,87 @@ def words_of(texts):
     return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64), offsets
 
 
-def joined_ids(texts, after_space, of_texts, end=None, special=()):
+_LETTER, _MARK, _LINE_END = 1, 2, 3
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", dtype=np.uint8)] = _LETTER
+_KIND[np.frombuffer(b".,;:!?", dtype=np.uint8)] = _MARK
+_KIND[ord("\n")] = _LINE_END
+
+
+def cuts_within(data, offsets):
+    """(places in ``data`` within words where GPT-2's pattern begins a match in any text, 1 + number of the word of each).
+
+    These are the places between an ASCII letter or digit and a mark, and those around a single line end between such
+    characters: no match holds both sides, and none looks further than the line end. ``offsets`` are those of the words.
+    """
+    kind = _KIND[data]
+    # Beside a word's ends nothing is seen of its neighbours.
+    places = np.flatnonzero(kind > _LETTER)
+    word = np.searchsorted(offsets, places, side="right") - 1
+    begins, ends = places == offsets[word], places + 1 == offsets[word + 1]
+    before = np.where(begins, 0, kind[places - 1])
+    after = np.where(ends, 0, kind[np.minimum(places + 1, len(data) - 1)])
+    marks = kind[places] == _MARK
+    alone = ~marks & np.isin(before, (_LETTER, _MARK)) & np.isin(after, (_LETTER, _MARK))
+    # A mark after a line end that stands alone is cut there already.
+    cut = np.concatenate([places[marks & (before == _LETTER)], places[alone], places[alone] + 1])
+    word = np.concatenate([word[marks & (before == _LETTER)], word[alone], word[alone]])
+    order = np.argsort(cut, kind="stable")
+    return cut[order], word[order] + 1
+
+
+def _cut(words, bounds):
+    """(pieces of all words, offsets by text, whether each is a later piece of its word)."""
+    _, offsets, data = words.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(data or b"", dtype=np.uint8)
+    if not offsets[-1]:
+        return words, bounds, np.zeros(len(words), dtype=bool)
+    places, word = cuts_within(data[:offsets[-1]], offsets)
+    later = np.insert(np.zeros(len(words), dtype=bool), word, True)
+    pieces = pa.StringArray.from_buffers(len(later), pa.py_buffer(np.insert(offsets, word, places.astype(np.int32))), words.buffers()[2])
+    return pieces, bounds + np.searchsorted(word, bounds, side="right"), later
+
+
+def _by_place(words, codes, later, after_space, inside):
+    """(ids of the words after a space and of those inside a word, code of each piece); a word may be asked for both."""
+    use = np.zeros((2, len(words)), dtype=bool)
+    use[0, codes[~later]] = True
+    use[1, codes[later]] = True
+    place = np.cumsum(use.ravel()) - 1
+    entries = after_space([words[i] for i in np.flatnonzero(use[0]).tolist()])
+    entries += inside([words[i] for i in np.flatnonzero(use[1]).tolist()])
+    return entries, place[np.where(later, codes + len(words), codes)]
+
+
+def joined_ids(texts, after_space, of_texts, end=None, special=(), inside=None):
     """Token ids of texts from the ids of their different words: (ids of all texts, offsets by text).
 
     ``after_space(words)`` gives the ids (bytes of 4-byte numbers) of each word with a space before it, or None where a
     neighbour can change them; ``of_texts(texts)`` those of texts as they are, for first words and for texts
     with such words or with one of the ``special`` strings. Each text is followed by the id ``end``, if there is one.
+    With ``inside``, words are cut further (``cuts_within``), and it gives the ids of pieces that no space is before, as
+    ``after_space`` does.
     """
     if not len(texts):
         return np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-    pieces = pc.split_pattern(texts, " ")
-    coded = pieces.flatten().dictionary_encode()
+    split = pc.split_pattern(texts, " ")
+    pieces, bounds, later = split.flatten(), split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py(), None
+    if inside is not None:
+        pieces, bounds, later = _cut(pieces, bounds)
+    coded = pieces.dictionary_encode()
     codes, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
-    bounds = pieces.offsets.to_numpy().astype(np.int64) - pieces.offsets[0].as_py()
-    entries = after_space(words)
+    if later is None:
+        entries = after_space(words)
+    else:
+        entries, codes = _by_place(words, codes, later, after_space, inside)
     unsafe = np.array([ids is None for ids in entries], dtype=bool)
     heads, sizes = bounds[:-1], np.diff(bounds)
     # The first word has no space before it; a text whose words depend on each other is one entry.
     alone = np.add.reduceat(unsafe[codes].astype(np.int64), heads) > unsafe[codes[heads]]
     for token in special:
         alone |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-    first = [words[c] for c in codes[heads].tolist()]
+    first = coded.dictionary.take(coded.indices.take(pa.array(heads))).to_pylist()
     alone |= np.array([w[-1].isspace() if w else n > 1 for w, n in zip(first, sizes.tolist())], dtype=bool)
     inner = ~np.repeat(alone, sizes)
     inner[heads] = True

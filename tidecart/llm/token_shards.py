@@ -17,12 +17,14 @@ names its slot directly. A lookup is two hashes and a check of the stored finger
 Global offsets need one number for each partition, the sum of those before it.
 
 Words between single spaces repeat, so their ids are kept in a bounded cache and words not in it are encoded
-together; texts with other white space at a space, or with a special token, are encoded whole.
+together. Where the library cuts as GPT-2 does, marks and single line ends are first cut off the words, which leaves fewer
+different ones. Texts with other white space at a space, or with a special token, are encoded whole.
 
 Defined cases: null and empty texts are the end id alone; rows with the same id are kept in the order of their
 texts, each under its own key; an empty table gives no shard and an empty result. Extra columns are ignored.
 """
 
+import json
 import os
 import uuid
 import zlib
@@ -62,43 +64,73 @@ class Encoder:
             self.begins[number] = token.startswith("Ġ")
         self.young, self.old, self.cached = {}, {}, cached  # two generations: what is not used falls out
         self.first = Recent(self.whole, 50_000)
+        self.later = Recent(None, cached // 4)  # pieces without a space before them
+        self.line_end = self.library.token_to_id("Ċ")
+        rules = json.loads(self.library.to_str())
+        pattern = rules["pre_tokenizer"] or {}
+        self.cuts = (self.line_end is not None and rules["normalizer"] is None and pattern.get("type") == "ByteLevel"
+                     and pattern["use_regex"] and not pattern["add_prefix_space"])
 
     def whole(self, text):
         """Ids as the bytes of 4-byte numbers, which join and store compactly."""
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int32).tobytes()
 
+    def together(self, words, separator, begins, apart=0):
+        """Ids of each word, encoded in texts of many: each starts with a separator, where ``begins`` holds for an id.
+
+        The first ``apart`` ids from there are the separator's alone and none of the word's.
+        """
+        found = []
+        for begin in range(0, len(words), 2000):
+            part = words[begin:begin + 2000]
+            ids = self.library.encode_batch_fast([separator + separator.join(part)], add_special_tokens=False)[0].ids
+            ids = np.array(ids, dtype=np.int32)
+            places = (4 * np.flatnonzero(begins(ids))).tolist() + [4 * len(ids)]
+            if len(places) != len(part) + 1:
+                raise ValueError("words could not be told apart")
+            data = ids.tobytes()
+            found += [data[a + 4 * apart:b] for a, b in zip(places[:-1], places[1:])]
+        return found
+
     def after_space(self, words):
         """Ids of each word with a space before it; None for words that a neighbour can change."""
         if len(self.young) > self.cached:
             self.old, self.young = self.young, {}
-        young, old, found, new = self.young, self.old, [None] * len(words), []
-        for i, word in enumerate(words):
-            ids = young.get(word)
-            if ids is None:
-                ids = old.get(word)
-                if ids is None:
-                    if word and not word[0].isspace() and not word[-1].isspace():
-                        new.append(i)
-                    continue
-                young[word] = ids
+        young, old = self.young, self.old
+        found = list(map(young.get, words))
+        new = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = old.get(word)
+            if ids is not None:
+                found[i] = young[word] = ids
+            elif word and not word[0].isspace() and not word[-1].isspace():
+                new.append(i)
+        for i, ids in zip(new, self.together([words[i] for i in new], " ", self.begins.__getitem__)):
+            found[i] = young[words[i]] = ids
+        return found
+
+    def inside(self, words):
+        """Ids of each later piece of a word; None for pieces that a neighbour can change. A line end comes by itself."""
+        found = list(map(self.later.known, words))
+        new = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if "\n" not in words[i]:
+                if not words[i][-1].isspace():
+                    new.append(i)
+            elif words[i] == "\n" or not words[i][-1].isspace():
+                found[i] = self.whole(words[i])
+        for i, ids in zip(new, self.together([words[i] for i in new], "\n", lambda ids: ids == self.line_end, 1)):
             found[i] = ids
-        # One text of many new words: each starts where a token starts with its space.
-        for begin in range(0, len(new), 2000):
-            part = new[begin:begin + 2000]
-            ids = self.library.encode_batch_fast([" " + " ".join([words[i] for i in part])], add_special_tokens=False)[0].ids
-            ids = np.array(ids, dtype=np.int32)
-            places = (4 * np.flatnonzero(self.begins[ids])).tolist() + [4 * len(ids)]
-            if len(places) != len(part) + 1:
-                raise ValueError("words could not be told apart")
-            data = ids.tobytes()
-            for i, a, b in zip(part, places[:-1], places[1:]):
-                found[i] = young[words[i]] = data[a:b]
+        for word, ids in zip(words, found):
+            if ids is not None:
+                self.later.put(word, ids)
         return found
 
     def encode(self, texts, end):
         """(ids of all texts, each ended with ``end``; offsets by text)."""
         return joined_ids(texts, self.after_space, lambda parts: [self.first(t) if len(t) < 64 else self.whole(t) for t in parts],
-                          end, self.special)
+                          end, self.special, self.inside if self.cuts else None)
 
 
 @lru_cache(maxsize=2)
