@@ -95,3 +95,21 @@ def test_joins_have_partitions_for_their_lines(spark, monkeypatch):
     with staging._join_settings(spark, SMALL):
         assert conf() == -(-folders.size(spark, f"{SMALL}/lineitem.parquet") // 1000) > before
     assert conf() == before
+
+
+def test_months_are_written_by_the_tasks_that_join_them(spark, monkeypatch):
+    """Each partition of the join has a file for each of its months, so its rows were not shuffled again."""
+    joined, made = tables.sales, []
+
+    def spread(*given, **options):
+        made.append(joined(*given, **options).repartition(3, "linha"))
+        return made[-1]
+
+    monkeypatch.setattr(tables, "sales", spread)
+    folder = copies(spark, SMALL, "lineitem", "orders")
+    stored = staging.monthly_sales(spark, folder)
+    expected = made[0].select(F.spark_partition_id(), F.trunc("data_compra", "month")).distinct().count()
+    assert len(spark.read.parquet(stored.path).inputFiles()) == expected > len(stored.months(spark))
+    columns = made[0].columns
+    rows = stored.read(spark).select(columns)
+    assert rows.exceptAll(made[0]).isEmpty() and made[0].exceptAll(rows).isEmpty()

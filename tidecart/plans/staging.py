@@ -98,12 +98,12 @@ def bronze_sales(spark, folder):
 
 
 def monthly_sales(spark, folder):
-    """Sales stored by month of purchase."""
+    """Sales stored by month of purchase, written by the tasks that join them: a file for each month from each of them."""
     columns = [*SALES_COLUMNS, "metodo_pagamento", "linha"]
 
     def write(path):
         with _join_settings(spark, folder):
-            MonthlyTable(path, "data_compra").write(_sales(spark, folder, *columns))
+            MonthlyTable(path, "data_compra").write(_sales(spark, folder, *columns), shuffle=False)
     return MonthlyTable(_once(spark, folder, "vendas-por-mes", write), "data_compra")
 
 

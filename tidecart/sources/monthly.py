@@ -35,15 +35,21 @@ class MonthlyTable:
     # The column whose month a row belongs to.
     at: str
 
-    def write(self, df, months=None):
-        """Replace the months of ``df``, or exactly ``months``: those of which it has no row become empty."""
+    def write(self, df, months=None, shuffle=True):
+        """Replace the months of ``df``, or exactly ``months``: those of which it has no row become empty.
+
+        Rows are brought together by month, in files of an even size. Without ``shuffle`` each partition of ``df`` writes a file
+        for each of its months, so that rows just joined need not be shuffled again: for frames of few, large partitions.
+        """
         spark = df.sparkSession
         rows = df.withColumn(MONTH, F.trunc(self.at, "month"))
         gone = set()
         if months is not None:
             rows = rows.filter(F.col(MONTH).isin(list(months)))
             gone = set(months) - {r[0] for r in rows.select(MONTH).distinct().collect()}
-        rows.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(self.path)
+        rows = rows.hint("rebalance", MONTH) if shuffle else rows
+        writer = rows.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd")
+        writer.partitionBy(MONTH).parquet(self.path)
         for month in gone:
             folders.delete(spark, f"{self.path}/{MONTH}={month.isoformat()}")
 
