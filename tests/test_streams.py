@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,31 @@ def test_no_stale_rank_and_no_double_count(spark, metrics):
         == sum(20 - p for p in range(1, 11)) + 50
 
 
+def test_totals_are_summed_once_for_the_quarters_that_a_batch_stored(spark, metrics):
+    table, summed = metrics.gold["produtos_agregados_trimestral"], spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        def tell(batches):
+            for batch in batches:
+                summed.add(batch.num_rows)
+                yield batch
+        folded = table.fold(df)
+        return folded.mapInArrow(tell, folded.schema)
+
+    metrics.gold[table.path.rsplit("/", 1)[-1]] = replace(table, fold=counted)
+    days = ["2023-11-01", "2024-02-01", "2024-02-02", "2024-03-01"]
+    metrics.top_products(spark.createDataFrame([sale(i, 1, 1 + i % 3, 1, 1.0, day) for i, day in enumerate(days)], SALES), 0)
+    assert summed.value == 4 and table.units_written(spark, 0) == {"2023T4", "2024T1"}
+    # A batch of another quarter reads that one only; sales without a date are stored and not ranked.
+    late = [sale(9, 1, 5, 1, 1.0, "2024-05-01"), (10, "p10", 1, 5, 7, 1.0, None, None)]
+    metrics.top_products(spark.createDataFrame(late, SALES), 1)
+    assert summed.value == 5 and table.units_written(spark, 1) == {"2024T2"}
+    assert sum(r.unidades_vendidas for r in table.read(spark).collect()) == 12
+    ranked = metrics.gold["produtos_top10_trimestral"].read(spark).collect()
+    assert sorted((r.ano, r.trimestre, r.id_produto) for r in ranked) == [
+        (2023, 4, 1), (2024, 1, 1), (2024, 1, 2), (2024, 1, 3), (2024, 2, 5)]
+
+
 def marks(spark, created, finished):
     ids = lambda names: spark.createDataFrame([(n,) for n in names], "id_carrinho string")
     return carts.mark(ids(created), True).unionByName(carts.mark(ids(finished), False))

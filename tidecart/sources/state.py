@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 from . import folders
 
 _UNIT = "unidade"
+# As Spark names the folder of an empty text.
+_NAMELESS = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -69,6 +71,11 @@ class StateTable:
         """Names of the units a batch touches: a few dozen at most, by design of the unit."""
         return {r[0] for r in df.select(self._unit_text()).distinct().collect()}
 
+    def units_written(self, spark, version):
+        """Names of the units that a batch stored; rows whose unit has an empty name (no date) belong to none."""
+        names = [n for n in folders.children(spark, f"{self.path}/versao={version}") if n.startswith(f"{_UNIT}=")]
+        return {n[len(_UNIT) + 1:] for n in names} - {_NAMELESS}
+
     def in_units(self, df, units):
         return df.filter(self._unit_text().isin(*units))
 

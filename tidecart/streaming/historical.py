@@ -81,20 +81,17 @@ class HistoricalMetrics:
     def top_products(self, sales, batch_id):
         """Add the batch's units to the quarters it touches and rank those quarters again.
 
-        Only the increments of the batch are written; totals are summed when they are ranked.
+        Only the increments of the batch are written, in one pass over its sales, and the names of their folders tell
+        the quarters; totals are summed when they are ranked, once.
         """
         spark = sales.sparkSession
         units, top10 = self.gold["produtos_agregados_trimestral"], self.gold["produtos_top10_trimestral"]
         self._compact(spark, batch_id, units, top10)
-        partial = products.units_by_quarter(sales).persist()
-        try:
-            quarters = units.units_of(partial)
-            if not quarters:
-                return
-            units.write(partial, batch_id)
-        finally:
-            partial.unpersist()
-        ranked = products.rank_in_quarter(units.read(spark, batch_id + 1, quarters))
+        if sales.isEmpty():
+            return
+        units.write(products.units_by_quarter(sales), batch_id)
+        quarters = units.units_written(spark, batch_id)
+        ranked = products.rank_in_quarter(units.read(spark, batch_id + 1, quarters)).persist()
         named = products.with_product_names(ranked, present(self.catalog)).persist()
         try:
             stored = top10.read(spark, batch_id, top10.units_of(named))
@@ -102,6 +99,7 @@ class HistoricalMetrics:
             top10.write(upsert.replace_group(stored, named, ["ano", "trimestre"]), batch_id)
         finally:
             named.unpersist()
+            ranked.unpersist()
         latest = products.newest_quarters_first(top10.read(spark, batch_id + 1))
         self.store.publish(latest, KEYS["top_products"])
 
