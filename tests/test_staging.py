@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidecart.plans import staging
 from tidecart.sources import folders, tables
+from tidecart.sources.monthly import MonthlyTable
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -113,3 +114,28 @@ def test_months_are_written_by_the_tasks_that_join_them(spark, monkeypatch):
     columns = made[0].columns
     rows = stored.read(spark).select(columns)
     assert rows.exceptAll(made[0]).isEmpty() and made[0].exceptAll(rows).isEmpty()
+
+
+def test_months_are_joined_in_tasks_that_need_not_spill(spark, monkeypatch):
+    """A task sorts lines, orders and what it writes, and a scan holds its rows to shuffle them: both are cut smaller than by default."""
+    names = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"
+    bytes_of = lambda: [spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(n)) for n in names]
+    before, written, write = bytes_of(), [], MonthlyTable.write
+
+    def told(*given, **options):
+        written.append(bytes_of())
+        write(*given, **options)
+
+    monkeypatch.setattr(MonthlyTable, "write", told)
+    staging.monthly_sales(spark, copies(spark, SMALL, "lineitem", "orders"))
+    assert all(task <= 32 * 1024 * 1024 < default for task, default in zip(written[0], before))
+    assert bytes_of() == before
+
+
+def test_scans_of_a_join_are_cut_by_size(spark, monkeypatch):
+    scans = lambda: tables.table(spark, SMALL, "lineitem").rdd.getNumPartitions()
+    size = folders.size(spark, f"{SMALL}/lineitem.parquet")
+    monkeypatch.setattr(staging, "_READ_BYTES", size // 8)
+    before = scans()
+    with staging._join_settings(spark, SMALL):
+        assert scans() >= 8 > before

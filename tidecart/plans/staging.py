@@ -63,10 +63,17 @@ def _sales(spark, folder, *columns):
     return tables.sales(spark, folder, *columns, strategy="merge")
 
 
+# What one task is to read of the tables at most: with many partitions to shuffle to, it holds all its rows to sort them.
+_READ_BYTES = 32 * 1024 * 1024
+
+
 def _join_settings(spark, folder):
     """As many shuffle partitions as the lines need; adaptive execution puts together those that are too many."""
     enough = -(-folders.size(spark, f"{folder}/lineitem.parquet") // _JOINED_BYTES)
-    return settings(spark, {"spark.sql.shuffle.partitions": max(enough, int(spark.conf.get("spark.sql.shuffle.partitions")))})
+    return settings(spark, {
+        "spark.sql.shuffle.partitions": max(enough, int(spark.conf.get("spark.sql.shuffle.partitions"))),
+        "spark.sql.files.maxPartitionBytes": _READ_BYTES,
+    })
 
 
 def _joined_in_loads(spark, folder, sales, path, **options):
@@ -97,12 +104,17 @@ def bronze_sales(spark, folder):
     return _once(spark, folder, "vendas", write)
 
 
+# Shuffled bytes that a task is to join and write by month. It sorts lines, orders and, by month, what it writes, all three held
+# at a time: half of what adaptive execution puts together by default, which makes half the files of still smaller tasks.
+_MONTHS_TASK = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 * 1024 * 1024}
+
+
 def monthly_sales(spark, folder):
     """Sales stored by month of purchase, written by the tasks that join them: a file for each month from each of them."""
     columns = [*SALES_COLUMNS, "metodo_pagamento", "linha"]
 
     def write(path):
-        with _join_settings(spark, folder):
+        with _join_settings(spark, folder), settings(spark, _MONTHS_TASK):
             MonthlyTable(path, "data_compra").write(_sales(spark, folder, *columns), shuffle=False)
     return MonthlyTable(_once(spark, folder, "vendas-por-mes", write), "data_compra")
 
