@@ -88,6 +88,19 @@ def test_amounts_are_summed_unrounded_and_bad_ones_refused(spark):
             total(bad)
 
 
+def test_sums_beyond_64_bits_are_exact(spark):
+    """In millionths 64 bits hold 9.2 million millions; what all sales add up to may be more."""
+    total = lambda *v: spark.createDataFrame([(x,) for x in v], "x double").agg(expressions.total("x")).first()[0]
+    assert total(*[9e12] * 3) == 2.7e13 and total(*[-9e12] * 3) == -2.7e13
+    assert total(9e12, 9e12, -9e12, -9e12, 0.000001, None) == 0.000001
+    assert total(9e12, 9e12, 0.25, -0.75) == 17999999999999.5
+    assert total(None) is None
+    frame = sales(spark, *[(u, 1, 1, 9e12, "2024-05-01") for u in (1, 2, 3)])
+    for exact in (True, False):
+        assert tuple(kpis.global_kpis(frame, exact).first()) == (2.7e13, 3, 9e12)
+    assert tuple(periods.revenue_per_user(frame).first()) == (3, 9e12)
+
+
 def test_facts_are_summed_before_a_large_dimension_is_joined(spark, customers):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -40,6 +40,17 @@ def test_united_days_equal_one_pass(spark, name):
         assert r.ticket_medio == r.vendas_totais / r.numero_pedidos
 
 
+def test_revenue_of_all_days_may_pass_64_bits_of_millionths(spark):
+    schema = "id_pedido string, id_carrinho string, valor_total_compra double, data_compra timestamp"
+    days = SketchedDays(new_folder(spark, "sketches"))
+    for batch in range(3):
+        days.add(spark.createDataFrame([(f"p{batch}", "c", 6e12, dt.datetime(2024, 5, 1 + batch))], schema), batch)
+    assert days.read(spark).schema["unidades"].dataType.simpleString() == "bigint"
+    found = {(r.periodo, r.inicio): r.vendas_totais for r in sketches.all_periods(days.read(spark)).collect()}
+    assert found["all", None] == found["month", dt.date(2024, 5, 1)] == 1.8e13
+    assert found["day", dt.date(2024, 5, 2)] == 6e12
+
+
 def test_repeated_batches_and_rows_change_no_count(spark):
     schema = "id_pedido string, id_carrinho string, valor_total_compra double, data_compra timestamp"
     days = SketchedDays(new_folder(spark, "sketches"))

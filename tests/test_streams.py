@@ -213,6 +213,20 @@ def test_realtime_snapshots(spark):
     assert payload("carts_converted") == {"total": 5}
 
 
+def test_streamed_revenue_may_pass_64_bits_of_millionths(spark):
+    """The sum passes them in the second of three batches, from what is stored of the first."""
+    path, store = new_folder(spark, "messages"), SnapshotStore(new_folder(spark, "snapshots"))
+    texts = spark.createDataFrame([(sale_text(n, value=5e12 + n),) for n in range(3)], "value string")
+    texts.repartition(3).write.option("maxRecordsPerFile", 1).parquet(path)
+    source = messages.folder_stream(spark, path, files_per_batch=1)
+    for name in ("global_kpis", "category_revenue"):
+        realtime.start_metric(name, source, store, new_folder(spark, "checkpoint"), **ALL).awaitTermination()
+    payload = lambda key: json.loads(store.fetch(spark, KEYS[key]).first().payload)
+    assert payload("global_kpis") == {
+        "receita_total_global": 15000000000003.0, "pedidos_totais_global": 3, "ticket_medio_global": 5000000000001.0}
+    assert payload("category_revenue") == [{"categoria": "x", "receita": 15000000000003.0}]
+
+
 def test_persist_drops_labels_and_survives_a_replay(spark):
     source = message_folder(spark, *[sale_text(n) for n in range(3)], "not json")
     path, checkpoints = new_folder(spark, "stored"), new_folder(spark, "checkpoint")

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, growth, period_start, total, units
+from ..functions.expressions import amount, growth, period_start, total, units, wide_sum
 
 
 def sales_per_period(sales, period="month"):
@@ -43,7 +43,7 @@ def revenue_by_user(sales):
 
 
 def _mean(summed, count):
-    return F.try_divide(amount(F.sum(summed)), count)
+    return F.try_divide(amount(wide_sum(F.col(summed))), count)
 
 
 def revenue_per_user(sales):

@@ -6,7 +6,7 @@ of the days' sketches holds what one sketch over all their sales would, whatever
 
 from pyspark.sql import functions as F
 
-from ..functions.expressions import amount, period_start, units
+from ..functions.expressions import amount, period_start, units, wide_sum
 
 #: Registers are 2 to the power of this; 12 gives a standard error of some 1.6 %.
 PRECISION = 12
@@ -26,12 +26,12 @@ def united(daily, *by):
     """Sketches of the same group put together."""
     return daily.groupBy(*by).agg(
         F.hll_union_agg("pedidos").alias("pedidos"), F.hll_union_agg("carrinhos").alias("carrinhos"),
-        F.sum("unidades").alias("unidades"), F.sum("linhas").alias("linhas"))
+        wide_sum(F.col("unidades")).alias("unidades"), F.sum("linhas").alias("linhas"))
 
 
 def folded(daily):
     """One row a day from the rows of several batches."""
-    return united(daily, "dia").select("dia", "pedidos", "carrinhos", "unidades", "linhas")
+    return united(daily, "dia").select("dia", "pedidos", "carrinhos", F.col("unidades").cast("long"), "linhas")
 
 
 def estimate(column):
